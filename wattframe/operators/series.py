@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattframe.functions.grid import at_hour, date_from_text, flow_label, short_country
@@ -22,19 +22,15 @@ def fuel_series_absolute(mart: DataFrame, fuels: Sequence[str]) -> DataFrame:
 def fuel_series_share(mart: DataFrame, fuels: Sequence[str]) -> DataFrame:
     """Chosen fuels' share of the year, in percent of the chosen fuels' total.
 
-    A year whose total is zero has no share (NULL). The total is a grouped sum joined
-    back by year: it is pre-aggregated before any exchange, where a window would bring
-    all rows of a year into one task.
+    A year whose total is zero, or an unknown year, has no share (NULL). The mart holds
+    one row per year, fuel and energy type, so a year's window is a few rows per
+    chosen fuel, and the mart is computed once.
     """
-    chosen = mart.where(F.col("fuel").isin(*fuels))
-    totals = chosen.groupBy("year").agg(F.sum("total_generation").alias("year_total"))
-    share = F.try_divide(
-        F.col("total_generation").cast("double"), F.col("year_total").cast("double")
-    )
+    in_year = F.sum("total_generation").over(Window.partitionBy("year")).cast("double")
+    share = F.try_divide(F.col("total_generation").cast("double"), in_year) * 100
     return (
-        chosen.join(totals, "year", "left")
-        .withColumn("value", share * 100)
-        .drop("year_total")
+        mart.where(F.col("fuel").isin(*fuels))
+        .withColumn("value", F.when(F.col("year").isNotNull(), share))
         .withColumnsRenamed({"fuel": "Fuel", "year": "Year"})
     )
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,28 +42,47 @@ def write_extract(rows: DataFrame, feed: Feed, path: str) -> None:
 def read_extracts(spark: SparkSession, paths: list[str], feed: Feed) -> DataFrame:
     """Extracts of one feed, conformed, whatever physical types they were written with.
 
-    When the footers agree this is one scan. When they do not, extracts are grouped by
-    schema and each group is one scan, so the plan grows with the number of distinct
-    schemas, not of files.
+    ``paths`` are files or folders, searched to any depth. When all footers agree this is
+    one scan. When they do not, files are grouped by schema and each group is one scan,
+    so the plan grows with the number of distinct schemas, not of files.
     """
     if not paths:
         raise FileNotFoundError(f"no {feed.name} extract given")
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
     try:
-        return conform(_scan(spark, paths).option("mergeSchema", True).parquet(*paths), feed)
+        return conform(reader.option("mergeSchema", True).parquet(*paths), feed)
     except AnalysisException:
         raise
-    except PySparkException:
-        groups: dict[str, list[str]] = {}
-        for path in paths:
-            groups.setdefault(_scan(spark, [path]).parquet(path).schema.json(), []).append(path)
-        if len(groups) == 1:
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_MERGE_SCHEMAS" not in str(error):
             raise
-    scans = [conform(_scan(spark, g).parquet(*g), feed) for g in groups.values()]
+    scans = [
+        conform(spark.read.parquet(*files), feed)
+        for files in _files_by_schema(spark, paths).values()
+    ]
     return reduce(DataFrame.unionByName, scans)
 
 
-def _scan(spark: SparkSession, paths: list[str]):
-    return spark.read.option("recursiveFileLookup", True)
+def _parquet_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Listing of Parquet files, which are not opened."""
+    return (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.parquet")
+        .option("recursiveFileLookup", True)
+        .load(paths)
+        .select("path")
+    )
+
+
+def _files_by_schema(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """File names by footer schema. Only names and footers pass through the driver."""
+    files = [r["path"] for r in _parquet_files(spark, paths).collect()]
+    with ThreadPoolExecutor(16) as pool:
+        schemas = pool.map(lambda f: spark.read.parquet(f).schema.json(), files)
+    groups: dict[str, list[str]] = {}
+    for file, schema in zip(files, schemas):
+        groups.setdefault(schema, []).append(file)
+    return groups
 
 
 def write_days(rows: DataFrame, path: str, day: str, cluster_by: tuple[str, ...], mode: str) -> None:
@@ -110,11 +131,5 @@ def load_exports(
 
 
 def file_census(spark: SparkSession, root: str) -> DataFrame:
-    """Number of Parquet files below ``root``. Lists files without opening them."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .option("recursiveFileLookup", True)
-        .load(root)
-    )
-    return files.agg(F.count("path").alias("n_files"))
+    """Number of Parquet files below ``root``."""
+    return _parquet_files(spark, [root]).agg(F.count("path").alias("n_files"))
