@@ -87,6 +87,38 @@ def test_refresh_rewrites_only_the_window(warehouse, make_landing):
         assert after[f"recorded_date=2024-01-{d:02d}"] == before[f"recorded_date=2024-01-{d:02d}"]
 
 
+def rows_of(marts):
+    return {n: sorted(map(tuple, m.collect()), key=repr) for n, m in marts.items()}
+
+
+def test_window_rebuild_equals_whole_rebuild(warehouse, make_landing):
+    """Readings of two years; a refresh that only touches the last days of the second."""
+    for name in FEEDS:
+        old = [(f"2023-{m:02d}-15T03", *ENTITIES[name], m, "2023-12-31") for m in range(1, 13)]
+        append_landing(make_landing(name, old), FEEDS[name], warehouse.path(f"landing_{name}"))
+        land(warehouse, make_landing, name, range(1, 19), 5)
+    run(warehouse, "2024-01-18")
+    dim = Path(warehouse.path("dim_generation"))
+    untouched = {p: p.stat().st_mtime_ns for p in dim.glob("recorded_date=2023-*/*.parquet")}
+    for name in FEEDS:
+        land(warehouse, make_landing, name, range(10, 21), 7, "2024-02-02")
+    partial = rows_of(run(warehouse, "2024-01-20", "refresh", rebuild_all=False))
+    assert len(untouched) == 12 and all(p.stat().st_mtime_ns == t for p, t in untouched.items())
+    assert partial["marts_generation"] == [
+        (2023, "Wind", "renewable", 78), (2024, "Wind", "renewable", 12 * 5 + 8 * 7),
+    ]
+    whole = rows_of(run(warehouse, "2024-01-20", "refresh"))
+    assert whole == partial
+    assert len(whole["marts_interchange"]) == 32
+
+
+def test_window_rebuild_without_tables_is_whole(warehouse, make_landing):
+    for name in FEEDS:
+        land(warehouse, make_landing, name, [1, 18], 5)
+    marts = run(warehouse, "2024-01-18", "refresh", rebuild_all=False)
+    assert [tuple(r)[3] for r in marts["marts_generation"].collect()] == [10]
+
+
 def test_refresh_keeps_days_that_the_source_lacks(warehouse, make_landing):
     """An empty result of a day never deletes what is stored."""
     land(warehouse, make_landing, "generation", [14, 15, 16], 1)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattframe.functions.grid import DEMAND_LABELS, as_date, demand_label
+from wattframe.operators.dimensions import bounded_broadcast
 
 #: Days of history in the forecast mart.
 FORECAST_DAYS = 30
@@ -51,7 +52,8 @@ def marts_forecast(
     """
     kept = readings.where(F.col("demand_type_id").isin(*DEMAND_LABELS) & trailing(as_of, days))
     if respondents is not None:
-        kept = kept.join(respondents.select("respondent_id"), "respondent_id", "left_semi")
+        wanted = bounded_broadcast(respondents.select("respondent_id").distinct())
+        kept = kept.join(wanted, "respondent_id", "left_semi")
     return kept.groupBy(
         "recorded_date",
         "recorded_hour",

@@ -4,19 +4,24 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattframe.checkpoints import cut_lineage
 from wattframe.feeds import FEEDS, Feed
 from wattframe.functions.grid import as_date
 from wattframe.operators.dimensions import dim_generation, dim_interchange
 from wattframe.operators.increments import FULL, MODES, REFRESH, WINDOW_DAYS, incoming
 from wattframe.operators.latest import latest_readings
 from wattframe.operators.marts import marts_forecast, marts_generation, marts_interchange
+from wattframe.operators.staging import stage
 from wattframe.operators.upsert import upsert
 from wattframe.plans.warehouse import Warehouse
 from wattframe.sources.landing import write_days
 
+#: Tables that a window-limited rebuild extends, so they must exist.
+DERIVED = ("dim_generation", "dim_interchange", "marts_generation", "marts_interchange")
+
 
 def build_readings(
     warehouse: Warehouse,
@@ -25,8 +30,9 @@ def build_readings(
     as_of: date | str,
     window_days: int = WINDOW_DAYS,
     merge_days: int | None = None,
-) -> None:
-    """Bring the feed's de-duplicated table up to date.
+    staged: DataFrame | None = None,
+) -> str:
+    """Bring the feed's de-duplicated table up to date; returns the mode that was run.
 
     * ``full`` replaces the table. A table that does not exist or is empty is always
       built in full.
@@ -40,50 +46,76 @@ def build_readings(
     target = warehouse.readings(feed)
     if target is None or target.isEmpty():
         mode = FULL
-    staged = incoming(
-        warehouse.staged(feed), mode, as_of=as_of, window_days=window_days, target=target
-    )
-    rows = latest_readings(staged, feed)
+    if staged is None:
+        staged = stage(warehouse.landing(feed), feed)
+    taken = incoming(staged, mode, as_of=as_of, window_days=window_days, target=target)
+    rows = latest_readings(taken, feed)
     path = warehouse.path(feed.readings_table)
     if mode == REFRESH:
         lookback = max(window_days, merge_days)
         recent = target.where(F.col("recorded_date") >= F.date_sub(as_date(as_of), lookback))
         rows = upsert(recent, rows, feed, as_of, merge_days)
-    if mode == FULL:
-        _replace_days(rows, path, feed)
-    else:
-        write_days(rows, path, "recorded_date", feed.cluster_by, "overwrite")
-
-
-def _replace_days(rows: DataFrame, path: str, feed: Feed) -> None:
-    """Whole-table rebuild: days that no longer exist go as well."""
-    (
-        rows.hint("rebalance", F.col("recorded_date"))
-        .sortWithinPartitions("recorded_date", *feed.cluster_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("recorded_date")
-        .parquet(path)
+    write_days(
+        rows, path, "recorded_date", feed.cluster_by, "overwrite", whole_table=mode == FULL
     )
+    return mode
+
 
+def build_dimensions(
+    warehouse: Warehouse, since: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Rebuild ``dim_generation`` and ``dim_interchange``, whole or from a day on.
+
+    A row depends on one reading and the seeds only, so rebuilding the days from
+    ``since`` is exact as long as the seeds have not changed.
+    """
+
+    def readings(name: str) -> DataFrame:
+        rows = warehouse.readings(FEEDS[name])
+        return rows if since is None else rows.where(F.col("recorded_date") >= since)
 
-def build_marts(warehouse: Warehouse, as_of: date | str) -> dict[str, DataFrame]:
-    """Rebuild the dimension tables and the three marts from the de-duplicated tables."""
-    readings = {name: warehouse.readings(feed) for name, feed in FEEDS.items()}
     authorities = warehouse.seed("balancing_authorities")
-    generation = warehouse.replace(
-        "dim_generation", dim_generation(readings["generation"], warehouse.fuels(), authorities)
-    )
-    interchange = warehouse.replace(
-        "dim_interchange", dim_interchange(readings["interchange"], authorities)
-    )
-    return {
-        "marts_generation": warehouse.replace("marts_generation", marts_generation(generation)),
-        "marts_interchange": warehouse.replace("marts_interchange", marts_interchange(interchange)),
-        "marts_forecast": warehouse.replace(
-            "marts_forecast", marts_forecast(readings["demand_forecast"], as_of)
-        ),
-    }
+    generation = dim_generation(readings("generation"), warehouse.fuels(), authorities)
+    interchange = dim_interchange(readings("interchange"), authorities)
+    for name, rows, cluster_by in (
+        ("dim_generation", generation, ("ba", "fuel")),
+        ("dim_interchange", interchange, ("provider_id", "recipient_id")),
+    ):
+        path = warehouse.path(name)
+        write_days(
+            rows, path, "recorded_date", cluster_by, "overwrite", whole_table=since is None
+        )
+    return warehouse.table("dim_generation"), warehouse.table("dim_interchange")
+
+
+def build_marts(
+    warehouse: Warehouse, as_of: date | str, since: Column | None = None
+) -> dict[str, DataFrame]:
+    """Rebuild the dimension tables and the three marts from the de-duplicated tables.
+
+    With ``since`` only the dimension days from there on are rewritten, and the marts
+    are recomputed for its year and later; older mart rows are kept. That reads at most
+    the window's years instead of all history.
+    """
+    generation, interchange = build_dimensions(warehouse, since)
+    year_start = F.make_date(F.col("year"), F.lit(1), F.lit(1))
+    marts = {}
+    for name, compute, dimension, day in (
+        ("marts_generation", marts_generation, generation, year_start),
+        ("marts_interchange", marts_interchange, interchange, F.col("recorded_date")),
+    ):
+        if since is None:
+            rows = compute(dimension)
+        else:
+            first = F.trunc(since, "year")
+            fresh = compute(dimension.where(F.col("recorded_date") >= first))
+            # the table is read and replaced in one step, so its rows are stored
+            # elsewhere first; a mart holds a few rows per day at most
+            rows = cut_lineage(warehouse.table(name).where(day < first).unionByName(fresh))
+        marts[name] = warehouse.replace(name, rows)
+    forecast = warehouse.readings(FEEDS["demand_forecast"])
+    marts["marts_forecast"] = warehouse.replace("marts_forecast", marts_forecast(forecast, as_of))
+    return marts
 
 
 def run(
@@ -92,9 +124,18 @@ def run(
     mode: str = FULL,
     window_days: int = WINDOW_DAYS,
     merge_days: int | None = None,
+    rebuild_all: bool = True,
 ) -> dict[str, DataFrame]:
-    """One transformation run: staging views, readings of the four feeds, dims, marts."""
-    warehouse.register_views()
-    for feed in FEEDS.values():
-        build_readings(warehouse, feed, mode, as_of, window_days, merge_days)
-    return build_marts(warehouse, as_of)
+    """One transformation run: staging views, readings of the four feeds, dims, marts.
+
+    Dims and marts are rebuilt whole. With ``rebuild_all=False`` a refresh rebuilds only
+    what its window can have changed; use it while the seeds stay the same.
+    """
+    staged = warehouse.register_views()
+    partial = mode == REFRESH and not rebuild_all and all(warehouse.has(t) for t in DERIVED)
+    done = {
+        build_readings(warehouse, feed, mode, as_of, window_days, merge_days, staged[name])
+        for name, feed in FEEDS.items()
+    }
+    since = F.date_sub(as_date(as_of), window_days) if partial and done == {REFRESH} else None
+    return build_marts(warehouse, as_of, since)

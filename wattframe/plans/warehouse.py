@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from wattframe.feeds import FEEDS, Feed
 from wattframe.operators.dimensions import fuel_lookup
@@ -31,36 +32,47 @@ class Warehouse:
     def seed(self, name: str) -> DataFrame:
         return read_seed(self.spark, name, self.path(name))
 
-    def staged(self, feed: Feed) -> DataFrame:
-        return stage(self.landing(feed), feed)
-
     def fuels(self) -> DataFrame:
         return fuel_lookup(self.seed("energy_sources"))
 
-    def readings(self, feed: Feed) -> DataFrame | None:
-        """The feed's de-duplicated table, or None before its first build."""
+    def _open(self, table: str, schema: T.StructType | None = None) -> DataFrame | None:
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         try:
-            return self.spark.read.schema(feed.readings_schema).parquet(
-                self.path(feed.readings_table)
-            )
+            return reader.parquet(self.path(table))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return None
 
+    def has(self, table: str) -> bool:
+        return self._open(table) is not None
+
+    def readings(self, feed: Feed) -> DataFrame | None:
+        """The feed's de-duplicated table, or None before its first build."""
+        return self._open(feed.readings_table, feed.readings_schema)
+
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """A built table, published under its name."""
+        built = self.spark.read.parquet(self.path(name))
+        built.createOrReplaceTempView(name)
+        return built
 
     def replace(self, name: str, rows: DataFrame) -> DataFrame:
-        """Full rebuild of a table, published under its name."""
+        """Full rebuild of a table."""
         rows.write.mode("overwrite").parquet(self.path(name))
-        built = self.table(name)
-        built.createOrReplaceTempView(name)
-        return built
+        return self.table(name)
+
+    def register_views(self) -> dict[str, DataFrame]:
+        """Landing and staging views and the fuel lookup, lazily, under their names.
 
-    def register_views(self) -> None:
-        """Staging views and the fuel lookup, lazily, under their names."""
+        Returns the staged feeds. Opening a partitioned table lists its folders, so a run
+        opens each landing table here, once.
+        """
+        staged = {}
         for feed in FEEDS.values():
-            self.landing(feed).createOrReplaceTempView(feed.landing_table)
-            self.staged(feed).createOrReplaceTempView(feed.staging_view)
+            landing = self.landing(feed)
+            landing.createOrReplaceTempView(feed.landing_table)
+            staged[feed.name] = stage(landing, feed)
+            staged[feed.name].createOrReplaceTempView(feed.staging_view)
         self.fuels().createOrReplaceTempView("fuel_lookup")
+        return staged

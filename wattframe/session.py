@@ -14,6 +14,8 @@ def local_session(name: str, cores: int | str = 8, memory: str = "8g") -> SparkS
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
+        # the default of 10,000 tasks to list folders suits a cluster, not one machine
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(cores))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

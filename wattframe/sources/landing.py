@@ -85,19 +85,27 @@ def _files_by_schema(spark: SparkSession, paths: list[str]) -> dict[str, list[st
     return groups
 
 
-def write_days(rows: DataFrame, path: str, day: str, cluster_by: tuple[str, ...], mode: str) -> None:
+def write_days(
+    rows: DataFrame,
+    path: str,
+    day: str,
+    cluster_by: tuple[str, ...],
+    mode: str,
+    whole_table: bool = False,
+) -> None:
     """Rows as a table partitioned by ``day``, sorted on ``cluster_by`` inside each file.
 
     The rebalance brings each day into few files and lets adaptive execution split a day
     that is larger than the advisory size, so a hot day is never one task. The sort gives
     row groups narrow min/max ranges on the cluster columns. Overwriting replaces only
-    the days present in ``rows``.
+    the days present in ``rows``, unless ``whole_table`` is set; a table is never read
+    and replaced as a whole in one query.
     """
     (
         rows.hint("rebalance", F.col(day))
         .sortWithinPartitions(day, *cluster_by)
         .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole_table else "dynamic")
         .partitionBy(day)
         .parquet(path)
     )
