@@ -26,6 +26,7 @@ from checks.tables import (
     INTERCHANGE,
     NEIGHBOURS,
     SOURCE_OF_PART,
+    SUBREGION,
     TYPE_OF_EVENT,
     UNITS,
 )
@@ -222,6 +223,25 @@ _BACKFILL = (
 )
 
 
+def _delivered_again() -> str:
+    return (
+        "SELECT * REPLACE (value + 1 AS value, ingestion_time + INTERVAL 1 DAY AS ingestion_time) "
+        f"FROM ({_landing(GENERATION)})"
+    )
+
+
+def _stored_refresh() -> str:
+    early = f"SELECT * FROM ({_landing(GENERATION)}) WHERE partition_date <= DATE '{BUILT_TO}'"
+    landed = f"SELECT * FROM ({early}) UNION ALL SELECT * FROM ({_delivered_again()})"
+    windowed = f"SELECT * FROM ({landed}) WHERE partition_date >= DATE '{REFRESHED}' - 7"
+    key = ", ".join(GENERATION.key)
+    return (
+        f"WITH t AS ({_latest(GENERATION, _staged(GENERATION, early))}), "
+        f"s AS ({_latest(GENERATION, _staged(GENERATION, windowed))}) "
+        f"SELECT * FROM t ANTI JOIN s USING ({key}) UNION ALL SELECT * FROM s"
+    )
+
+
 def _windows(kind: str) -> str:
     feeds = " UNION ALL ".join(
         f"SELECT '{f.name}' AS feed, '{f.route}' AS route, {f.lag_days} AS lag" for f in FEEDS.values()
@@ -362,6 +382,15 @@ ORACLE: dict[str, str] = {
         "event_type AS fuel, strftime(ts, '%Y-%m-%d') AS recorded_date, "
         "CASE WHEN event_type <> 'error' THEN value END AS interchange FROM events"
     ),
+    "landing_table": _show(
+        f"SELECT * FROM ({_landing(SUBREGION)}) UNION ALL SELECT * FROM ({_landing(SUBREGION)})",
+        *_RAW,
+    ),
+    "seed_table": (
+        "SELECT CAST(c_custkey AS VARCHAR) AS energy_source_code, "
+        "c_name || ', \"' || c_mktsegment || '\"' AS energy_source_name FROM customer"
+    ),
+    "stored_refresh": _show_readings(_stored_refresh()),
     "page_slice": f"SELECT * FROM ({_PAGE}) ORDER BY {', '.join(PAGE_KEY)} LIMIT 1000 OFFSET 1000",
     "page_index": (
         "SELECT CAST(place // 1000 AS BIGINT) AS page, count(*) AS n_rows, "

@@ -20,6 +20,7 @@ from checks.tables import (
     portable,
     read,
 )
+from wattframe.checkpoints import shared_folder
 from wattframe.feeds import Feed
 from wattframe.operators import series
 from wattframe.operators.calendar import DAILY, MONTHLY, REFRESH, ingest_windows
@@ -40,7 +41,9 @@ from wattframe.operators.marts import (
 from wattframe.operators.paging import number_rows, page_count, page_slice
 from wattframe.operators.staging import stage
 from wattframe.operators.upsert import upsert
-from wattframe.sources.landing import conform
+from wattframe.plans.build import build_readings
+from wattframe.plans.warehouse import Warehouse
+from wattframe.sources.landing import append_landing, conform, load_all, read_landing
 from wattframe.sources.marts import coerce_mart
 from wattframe.sources.pages import (
     normalize_feed_columns,
@@ -49,7 +52,7 @@ from wattframe.sources.pages import (
     stamp,
     union_pages,
 )
-from wattframe.sources.seeds import normalize_seed_columns
+from wattframe.sources.seeds import normalize_seed_columns, read_seed, write_seed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -269,6 +272,46 @@ def _page_counts(spark: SparkSession, d: str) -> DataFrame:
     return per_type.withColumn("pages", page_count(F.col("total")))
 
 
+def _landing_table(spark: SparkSession, d: str) -> DataFrame:
+    """Two extracts of the same rows, one with measures as text, landed and read back."""
+    root = shared_folder(spark)
+    rows = landing(spark, d, SUBREGION)
+    rows.write.parquet(f"{root}/a/exact.parquet")
+    rows.withColumn("value", F.col("value").cast("string")).write.parquet(f"{root}/a/text.parquet")
+    load_all(spark, [f"{root}/a"], SUBREGION, f"{root}/landing")
+    return portable(read_landing(spark, f"{root}/landing", SUBREGION))
+
+
+def _stored_refresh(spark: SparkSession, d: str) -> DataFrame:
+    """A stored table built to BUILT_TO, then refreshed from a corrected delivery."""
+    house = Warehouse(spark, shared_folder(spark))
+    path = house.path(GENERATION.landing_table)
+    rows = landing(spark, d, GENERATION)
+    early = rows.where(F.col("partition_date") <= F.lit(BUILT_TO).cast("date"))
+    append_landing(early, GENERATION, path)
+    build_readings(house, GENERATION, "full", BUILT_TO)
+    corrected = rows.withColumns(
+        {
+            "value": F.col("value") + 1,
+            "ingestion_time": F.col("ingestion_time") + F.expr("interval 1 day"),
+        }
+    )
+    append_landing(corrected, GENERATION, path)
+    build_readings(house, GENERATION, "refresh", REFRESHED)
+    return portable(house.readings(GENERATION))
+
+
+def _seed_table(spark: SparkSession, d: str) -> DataFrame:
+    """A reference table written as CSV with published headers, and read back."""
+    path = f"{shared_folder(spark)}/energy_sources"
+    raw = read(spark, d, "customer").select(
+        F.col("c_custkey").cast("string").alias("Energy Source Code"),
+        F.concat("c_name", F.lit(', "'), "c_mktsegment", F.lit('"')).alias("Energy Source Name"),
+    )
+    write_seed(raw, path)
+    return read_seed(spark, "energy_sources", path)
+
+
 QUERIES: dict[str, Query] = {
     # staging
     "stg_generation": _stg(GENERATION),
@@ -335,6 +378,9 @@ QUERIES: dict[str, Query] = {
     "stamp_partition_date": _stamp,
     "conform_landing": _conform,
     "coerce_mart": _coerce,
+    "landing_table": _landing_table,
+    "seed_table": _seed_table,
+    "stored_refresh": _stored_refresh,
     "page_slice": lambda spark, d: page_slice(_paged(spark, d), PAGE_KEY, 1, 1000),
     "page_index": _page_index,
     "page_counts": _page_counts,

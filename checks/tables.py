@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattframe.feeds import FEEDS, MEASURE, Feed
+from wattframe.operators.dimensions import bounded_broadcast
 from wattframe.sources.pages import page_schema
 
 FUEL_OF_EVENT = {"view": "wnd", "click": "col", "purchase": "sun", "signup": "nuc"}
@@ -147,7 +148,7 @@ def pages(spark: SparkSession, sf_dir: str, feed: Feed) -> DataFrame:
     )
     body = F.struct("total", F.when(F.col("lost"), F.array()).otherwise(F.array(row)).alias("data"))
     return (
-        events.join(declared, "partition_date")
+        events.join(bounded_broadcast(declared), "partition_date")
         .select(
             F.col("partition_date").alias("extract_date"),
             F.to_json(F.struct(body.alias("response"))).alias("body"),

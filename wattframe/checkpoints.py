@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,3 +26,9 @@ def cut_lineage(rows: DataFrame) -> DataFrame:
     """``rows`` computed once and stored reliably; a lost executor does not recompute it."""
     ensure_checkpoint_dir(rows.sparkSession)
     return rows.checkpoint()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below the checkpoint folder, for tables that live as long as a job."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/tables-{uuid.uuid4().hex}"

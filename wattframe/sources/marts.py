@@ -64,8 +64,9 @@ def read_mart(spark: SparkSession, name: str, csv_path: str) -> tuple[DataFrame,
 
 
 def load_marts(
-    spark: SparkSession, csv_paths: dict[str, str]
+    spark: SparkSession, csv_paths: dict[str, str], cache: bool = False
 ) -> tuple[dict[str, DataFrame], dict[str, str]]:
-    """Every mart in ``csv_paths`` and its source."""
+    """Every mart in ``csv_paths`` and its source, kept in the session's cache if asked."""
     read = {name: read_mart(spark, name, path) for name, path in csv_paths.items()}
-    return {n: df for n, (df, _) in read.items()}, {n: tag for n, (_, tag) in read.items()}
+    marts = {name: mart.cache() if cache else mart for name, (mart, _) in read.items()}
+    return marts, {name: source for name, (_, source) in read.items()}
