@@ -5,11 +5,13 @@ from datetime import date
 from pathlib import Path
 
 import pytest
+from plans import planned
 
 from wattframe.feeds import FEEDS
+from wattframe.operators.increments import incoming, within_window
 from wattframe.operators.latest import latest_readings
 from wattframe.operators.staging import stage
-from wattframe.plans.build import build_readings, run
+from wattframe.plans.build import build_dimensions, build_readings, run
 from wattframe.plans.warehouse import Warehouse
 from wattframe.sources.landing import append_landing, read_landing
 from wattframe.sources.seeds import SEED_COLUMNS, write_seed
@@ -194,3 +196,43 @@ def test_streamed_pages_land_once(spark, tmp_path):
     assert table.count() == 2
     assert {r["partition_date"] for r in table.collect()} == {date(2024, 1, 5)}
     assert [float(r["num_units"]) for r in latest_readings(stage(table, FEED), FEED).collect()] == [6.5]
+
+
+def test_window_and_high_water_mark_prune_days(spark, warehouse, make_landing):
+    land(warehouse, make_landing, "generation", range(1, 19), 1)
+    build_readings(warehouse, FEED, "full", "2024-01-18")
+    staged = stage(warehouse.landing(FEED), FEED)
+    target = warehouse.readings(FEED)
+    for taken in (
+        incoming(staged, "refresh", as_of="2024-01-18"),
+        incoming(staged, "backfill", target=target),
+        target.where(within_window("2024-01-18")),
+    ):
+        scans = [line for line in planned(taken).splitlines() if "FileScan" in line]
+        filters = scans[0].split("PartitionFilters: [")[1].split("], PushedFilters")[0]
+        assert ">=" in filters or "> Subquery" in filters or "> scalar-subquery" in filters
+
+
+def test_dimension_tables_are_written_by_day(warehouse, make_landing):
+    for name in ("generation", "interchange"):
+        land(warehouse, make_landing, name, range(1, 19), 1)
+        build_readings(warehouse, FEEDS[name], "full", "2024-01-18")
+    build_dimensions(warehouse)
+    for name in ("dim_generation", "dim_interchange"):
+        days = sorted(p.name for p in Path(warehouse.path(name)).glob("recorded_date=*"))
+        assert len(days) == 18
+        assert warehouse.table(name).count() == 18
+
+
+def test_dimension_too_large_to_broadcast(warehouse, make_landing, monkeypatch):
+    for name in ("generation", "interchange"):
+        land(warehouse, make_landing, name, [1, 2, 3], 1)
+        build_readings(warehouse, FEEDS[name], "full", "2024-01-18")
+    small = [sorted(d.collect()) for d in build_dimensions(warehouse)]
+    monkeypatch.setattr("wattframe.operators.dimensions.fits_broadcast", lambda *_: False)
+    monkeypatch.setattr("wattframe.plans.build.fits_broadcast", lambda *_: False)
+    warehouse.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert [sorted(d.collect()) for d in build_dimensions(warehouse)] == small
+    finally:
+        warehouse.spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -33,8 +33,13 @@ USA_SHORT = "USA"
 FOREIGN_REGIONS = ("Canada", "Mexico")
 
 
-def as_date(day: date | str | Column) -> Column:
-    """A run date given as a literal or an expression, always typed DATE."""
+def as_date(day: date | str | Column | None) -> Column:
+    """A run date given as a literal or an expression, always typed DATE.
+
+    None stands for the current date; give a date where reruns must agree.
+    """
+    if day is None:
+        return F.current_date()
     return (day if isinstance(day, Column) else F.lit(str(day))).cast("date")
 
 

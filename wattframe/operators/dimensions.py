@@ -12,16 +12,14 @@ BROADCAST_MAX_ROWS = 100_000
 BROADCAST_MAX_BYTES = 32 * 1024 * 1024
 
 
-def bounded_broadcast(
+def fits_broadcast(
     dimension: DataFrame,
     max_rows: int = BROADCAST_MAX_ROWS,
     max_bytes: int = BROADCAST_MAX_BYTES,
-) -> DataFrame:
-    """``dimension`` with a broadcast hint if its measured size allows one.
+) -> bool:
+    """Whether the measured size is within the bounds.
 
-    Runs one small job that reads at most ``max_rows + 1`` rows. A larger dimension is
-    returned without a hint: the join is then a shuffle join, in which adaptive
-    execution splits the partitions of hot keys.
+    Runs one small job that reads at most ``max_rows + 1`` rows.
     """
     size = (
         dimension.limit(max_rows + 1)
@@ -31,8 +29,20 @@ def bounded_broadcast(
         )
         .first()
     )
-    small = size["n_rows"] <= max_rows and (size["n_bytes"] or 0) <= max_bytes
-    return F.broadcast(dimension) if small else dimension
+    return size["n_rows"] <= max_rows and (size["n_bytes"] or 0) <= max_bytes
+
+
+def bounded_broadcast(
+    dimension: DataFrame,
+    max_rows: int = BROADCAST_MAX_ROWS,
+    max_bytes: int = BROADCAST_MAX_BYTES,
+) -> DataFrame:
+    """``dimension`` with a broadcast hint if its measured size allows one.
+
+    A larger dimension is returned without a hint: the join is then a shuffle join, in
+    which adaptive execution splits the partitions of hot keys.
+    """
+    return F.broadcast(dimension) if fits_broadcast(dimension, max_rows, max_bytes) else dimension
 
 
 def fuel_lookup(energy_sources: DataFrame) -> DataFrame:

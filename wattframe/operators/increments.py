@@ -21,7 +21,7 @@ def mode_for(run_date: date, today: date) -> str:
     return REFRESH if run_date == today else BACKFILL
 
 
-def within_window(as_of: date | str, window_days: int = WINDOW_DAYS) -> Column:
+def within_window(as_of: date | str | None = None, window_days: int = WINDOW_DAYS) -> Column:
     return F.col("recorded_date") >= F.date_sub(as_date(as_of), window_days)
 
 

@@ -35,13 +35,13 @@ def marts_interchange(interchange: DataFrame) -> DataFrame:
     )
 
 
-def trailing(as_of: date | str, days: int = FORECAST_DAYS) -> Column:
+def trailing(as_of: date | str | None = None, days: int = FORECAST_DAYS) -> Column:
     return F.col("recorded_date") >= F.date_sub(as_date(as_of), days)
 
 
 def marts_forecast(
     readings: DataFrame,
-    as_of: date | str,
+    as_of: date | str | None = None,
     days: int = FORECAST_DAYS,
     respondents: DataFrame | None = None,
 ) -> DataFrame:

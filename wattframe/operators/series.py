@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from wattframe.functions.grid import at_hour, date_from_text, flow_label, short_country
 
+# Fuels shown before a choice is made.
+DEFAULT_FUELS = ("Solar", "Petroleum", "Natural gas", "Nuclear", "Wind", "Coal")
 
-def fuel_series_absolute(mart: DataFrame, fuels: Sequence[str]) -> DataFrame:
+
+def fuel_series_absolute(mart: DataFrame, fuels: Sequence[str] = DEFAULT_FUELS) -> DataFrame:
     """Chosen fuels' generation in millions."""
     return (
         mart.where(F.col("fuel").isin(*fuels))
@@ -19,7 +22,7 @@ def fuel_series_absolute(mart: DataFrame, fuels: Sequence[str]) -> DataFrame:
     )
 
 
-def fuel_series_share(mart: DataFrame, fuels: Sequence[str]) -> DataFrame:
+def fuel_series_share(mart: DataFrame, fuels: Sequence[str] = DEFAULT_FUELS) -> DataFrame:
     """Chosen fuels' share of the year, in percent of the chosen fuels' total.
 
     A year whose total is zero, or an unknown year, has no share (NULL). The mart holds

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wattframe.checkpoints import cut_lineage
 from wattframe.feeds import FEEDS, Feed
 from wattframe.functions.grid import as_date
-from wattframe.operators.dimensions import dim_generation, dim_interchange
+from wattframe.operators.dimensions import dim_generation, dim_interchange, fits_broadcast
 from wattframe.operators.increments import FULL, MODES, REFRESH, WINDOW_DAYS, incoming
 from wattframe.operators.latest import latest_readings
 from wattframe.operators.marts import marts_forecast, marts_generation, marts_interchange
@@ -74,16 +74,23 @@ def build_dimensions(
         rows = warehouse.readings(FEEDS[name])
         return rows if since is None else rows.where(F.col("recorded_date") >= since)
 
-    authorities = warehouse.seed("balancing_authorities")
-    generation = dim_generation(readings("generation"), warehouse.fuels(), authorities)
+    authorities, fuels = warehouse.seed("balancing_authorities"), warehouse.fuels()
+    generation = dim_generation(readings("generation"), fuels, authorities)
     interchange = dim_interchange(readings("interchange"), authorities)
+    # broadcast joins leave the rows in the tasks that scanned their days
+    shuffled = not (fits_broadcast(authorities) and fits_broadcast(fuels))
     for name, rows, cluster_by in (
         ("dim_generation", generation, ("ba", "fuel")),
         ("dim_interchange", interchange, ("provider_id", "recipient_id")),
     ):
-        path = warehouse.path(name)
         write_days(
-            rows, path, "recorded_date", cluster_by, "overwrite", whole_table=since is None
+            rows,
+            warehouse.path(name),
+            "recorded_date",
+            cluster_by,
+            "overwrite",
+            whole_table=since is None,
+            rebalance=shuffled,
         )
     return warehouse.table("dim_generation"), warehouse.table("dim_interchange")
 

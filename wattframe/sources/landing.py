@@ -92,18 +92,23 @@ def write_days(
     cluster_by: tuple[str, ...],
     mode: str,
     whole_table: bool = False,
+    rebalance: bool = True,
 ) -> None:
     """Rows as a table partitioned by ``day``, sorted on ``cluster_by`` inside each file.
 
     The rebalance brings each day into few files and lets adaptive execution split a day
-    that is larger than the advisory size, so a hot day is never one task. The sort gives
-    row groups narrow min/max ranges on the cluster columns. Overwriting replaces only
-    the days present in ``rows``, unless ``whole_table`` is set; a table is never read
-    and replaced as a whole in one query.
+    that is larger than the advisory size, so a hot day is never one task. Leave it out
+    when every task already holds few days, as after a scan of a table of days: nothing
+    is exchanged then. The sort gives row groups narrow min/max ranges on the cluster
+    columns.
+
+    Overwriting replaces only the days present in ``rows``, unless ``whole_table`` is
+    set; a table is never read and replaced as a whole in one query.
     """
+    if rebalance:
+        rows = rows.hint("rebalance", F.col(day))
     (
-        rows.hint("rebalance", F.col(day))
-        .sortWithinPartitions(day, *cluster_by)
+        rows.sortWithinPartitions(day, *cluster_by)
         .write.mode(mode)
         .option("partitionOverwriteMode", "static" if whole_table else "dynamic")
         .partitionBy(day)
