@@ -386,6 +386,12 @@ ORACLE: dict[str, str] = {
         f"SELECT * FROM ({_landing(SUBREGION)}) UNION ALL SELECT * FROM ({_landing(SUBREGION)})",
         *_RAW,
     ),
+    "streamed_landing": _show(
+        f"SELECT * EXCLUDE (ingestion_time) FROM ({_arrived(GENERATION)})",
+        ["partition_date"],
+        [],
+        ["value"],
+    ),
     "seed_table": (
         "SELECT CAST(c_custkey AS VARCHAR) AS energy_source_code, "
         "c_name || ', \"' || c_mktsegment || '\"' AS energy_source_name FROM customer"

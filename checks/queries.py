@@ -14,6 +14,7 @@ from checks.tables import (
     SUBREGION,
     balancing_authorities,
     energy_sources,
+    envelopes,
     history,
     landing,
     pages,
@@ -53,6 +54,7 @@ from wattframe.sources.pages import (
     union_pages,
 )
 from wattframe.sources.seeds import normalize_seed_columns, read_seed, write_seed
+from wattframe.streaming.landing import stream_landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -282,6 +284,17 @@ def _landing_table(spark: SparkSession, d: str) -> DataFrame:
     return portable(read_landing(spark, f"{root}/landing", SUBREGION))
 
 
+def _streamed_landing(spark: SparkSession, d: str) -> DataFrame:
+    """Pages written as files of lines, picked up by the stream, read back from landing."""
+    root = shared_folder(spark)
+    envelopes(spark, d, GENERATION).select("body").write.text(f"{root}/pages")
+    stream = stream_landing(
+        spark, f"{root}/pages", GENERATION, f"{root}/landing", f"{root}/progress", lines=True
+    )
+    stream.awaitTermination()
+    return portable(read_landing(spark, f"{root}/landing", GENERATION).drop("ingestion_time"))
+
+
 def _stored_refresh(spark: SparkSession, d: str) -> DataFrame:
     """A stored table built to BUILT_TO, then refreshed from a corrected delivery."""
     house = Warehouse(spark, shared_folder(spark))
@@ -379,6 +392,7 @@ QUERIES: dict[str, Query] = {
     "conform_landing": _conform,
     "coerce_mart": _coerce,
     "landing_table": _landing_table,
+    "streamed_landing": _streamed_landing,
     "seed_table": _seed_table,
     "stored_refresh": _stored_refresh,
     "page_slice": lambda spark, d: page_slice(_paged(spark, d), PAGE_KEY, 1, 1000),

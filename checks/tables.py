@@ -132,10 +132,8 @@ def balancing_authorities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def pages(spark: SparkSession, sf_dir: str, feed: Feed) -> DataFrame:
-    """Parsed envelopes with the day of their extract. Built as JSON text and parsed
-    with the page schema, as page files are."""
-    schema = page_schema(feed)
+def envelopes(spark: SparkSession, sf_dir: str, feed: Feed) -> DataFrame:
+    """Pages as JSON text (``body``), with the day of their extract."""
     events = landing(spark, sf_dir, feed).withColumn(
         "lost", F.col(feed.parties[1].raw_name) == "error"
     )
@@ -146,15 +144,18 @@ def pages(spark: SparkSession, sf_dir: str, feed: Feed) -> DataFrame:
     row = F.struct(
         *(F.col(c).alias(c.replace("_", "-")) for c in [*names, "value", "value_units"])
     )
-    body = F.struct("total", F.when(F.col("lost"), F.array()).otherwise(F.array(row)).alias("data"))
-    return (
-        events.join(bounded_broadcast(declared), "partition_date")
-        .select(
-            F.col("partition_date").alias("extract_date"),
-            F.to_json(F.struct(body.alias("response"))).alias("body"),
-        )
-        .select("extract_date", F.from_json("body", schema).alias("page"))
-        .select("extract_date", "page.*")
+    page = F.struct("total", F.when(F.col("lost"), F.array()).otherwise(F.array(row)).alias("data"))
+    return events.join(bounded_broadcast(declared), "partition_date").select(
+        F.col("partition_date").alias("extract_date"),
+        F.to_json(F.struct(page.alias("response"))).alias("body"),
+    )
+
+
+def pages(spark: SparkSession, sf_dir: str, feed: Feed) -> DataFrame:
+    """Pages parsed with the page schema, as page files are."""
+    parsed = F.from_json("body", page_schema(feed)).alias("page")
+    return envelopes(spark, sf_dir, feed).select("extract_date", parsed).select(
+        "extract_date", "page.*"
     )
 
 

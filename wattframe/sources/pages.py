@@ -38,9 +38,15 @@ def page_schema(feed: Feed) -> T.StructType:
     )
 
 
-def read_pages(spark: SparkSession, path: str | list[str], feed: Feed) -> DataFrame:
-    """Page files, one envelope per file. A page has a bounded size, so files are tasks."""
-    return spark.read.schema(page_schema(feed)).json(path, multiLine=True, mode="FAILFAST")
+def read_pages(
+    spark: SparkSession, path: str | list[str], feed: Feed, lines: bool = False
+) -> DataFrame:
+    """Page files of one envelope each, or of one envelope per line.
+
+    A page has a bounded size, so a file of one page is never a large task; files of
+    lines are split.
+    """
+    return spark.read.schema(page_schema(feed)).json(path, multiLine=not lines, mode="FAILFAST")
 
 
 def normalize_feed_columns(rows: DataFrame) -> DataFrame:

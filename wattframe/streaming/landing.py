@@ -13,7 +13,12 @@ from wattframe.sources.pages import page_rows, page_schema
 
 
 def stream_landing(
-    spark: SparkSession, pages: str, feed: Feed, landing: str, checkpoint: str
+    spark: SparkSession,
+    pages: str,
+    feed: Feed,
+    landing: str,
+    checkpoint: str,
+    lines: bool = False,
 ) -> StreamingQuery:
     """Append the pages that are new since the last call, then stop.
 
@@ -22,7 +27,7 @@ def stream_landing(
     the landing table allows copies, and :func:`latest_readings` resolves them.
     """
     arriving = spark.readStream.schema(page_schema(feed)).json(
-        pages, multiLine=True, mode="FAILFAST", recursiveFileLookup=True
+        pages, multiLine=not lines, mode="FAILFAST", recursiveFileLookup=True
     )
     rows = page_rows(arriving).withColumns(
         {
