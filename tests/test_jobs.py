@@ -9,6 +9,7 @@ from wattframe.__main__ import main
 from wattframe.feeds import FEEDS
 from wattframe.plans import jobs
 from wattframe.plans.warehouse import Warehouse
+from wattframe.sources.marts import read_mart
 from wattframe.sources.pages import TotalMismatch
 
 SEEDS = {
@@ -109,3 +110,8 @@ def test_command_line(spark, house, tmp_path, capsys):
     assert house.table("marts_generation").first()["total_generation"] == 6
     with pytest.raises(SystemExit):
         main([*root, "run"])
+    reader = spark.newSession()  # a session that has not built anything
+    names = Warehouse(reader, house.root).publish()
+    assert {"int_generation", "dim_interchange", "marts_forecast"} <= set(names)
+    mart, source = read_mart(reader, "marts_generation", "/absent.csv")
+    assert source == "table" and mart.first()["total_generation"] == 6.0

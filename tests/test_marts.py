@@ -144,7 +144,7 @@ def test_flow_list_holds_every_pair(flows):
 
 
 def test_coercion(spark):
-    rows = [("12.5", "2024", None, "2024.01.31", "x"), ("n/a", "y", "renewable", "2024-01-31", " 7 "), (None,) * 5]
+    rows = [("12.5", "2024.0", None, "2024.01.31", "x"), ("n/a", "y", "renewable", "2024-01-31", " 7 "), (None,) * 5]
     raw = spark.createDataFrame(
         rows, "total_generation string, year string, energy_type string, recorded_date string, interchange string"
     )

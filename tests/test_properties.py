@@ -87,7 +87,8 @@ def test_output_schemas(make_landing, authorities, sources):
 
     frames = {}
     for name, feed in FEEDS.items():
-        frames[name] = latest_readings(stage(make_landing(name, [("2024-01-05T01", "a", "b", 1, "2024-02-01")]), feed), feed)
+        rows = make_landing(name, [("2024-01-05T01", "a", "b", 1, "2024-02-01")])
+        frames[name] = latest_readings(stage(rows, feed), feed)
         expected = {f.name: f.dataType for f in feed.readings_schema}
         assert kinds(frames[name]) == expected
     fuels = fuel_lookup(sources)

@@ -190,7 +190,8 @@ def test_a_hot_day_is_split(spark, tmp_path):
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
     try:
         rows = spark.range(0, 60_000, numPartitions=8).select(
-            F.when(F.col("id") % 3 > 0, F.col("id") % 20).otherwise(0).alias("n"), F.sha2(F.col("id").cast("string"), 256).alias("x")
+            F.when(F.col("id") % 3 > 0, F.col("id") % 20).otherwise(0).alias("n"),
+            F.sha2(F.col("id").cast("string"), 256).alias("x"),
         ).select(F.date_add(F.lit("2024-01-01").cast("date"), F.col("n").cast("int")).alias("day"), "x")
         write_days(rows, str(tmp_path / "t"), "day", ("x",), "append")
     finally:

@@ -14,6 +14,16 @@ from wattframe.operators.staging import stage
 from wattframe.sources.landing import read_landing
 from wattframe.sources.seeds import SEED_COLUMNS, read_seed
 
+#: Tables that builds write.
+BUILT = (
+    *(feed.readings_table for feed in FEEDS.values()),
+    "dim_generation",
+    "dim_interchange",
+    "marts_generation",
+    "marts_interchange",
+    "marts_forecast",
+)
+
 
 @dataclass(frozen=True)
 class Warehouse:
@@ -62,6 +72,13 @@ class Warehouse:
         rows.write.mode("overwrite").parquet(self.path(name))
         return self.table(name)
 
+    def publish(self) -> list[str]:
+        """Views of all tables built so far, for a session that only reads them."""
+        names = [t for t in BUILT if self.has(t)]
+        for name in names:
+            self.table(name)
+        return names
+
     def register_views(self) -> dict[str, DataFrame]:
         """Landing and staging views and the fuel lookup, lazily, under their names.
 

@@ -43,7 +43,7 @@ def coerce_mart(mart: DataFrame) -> DataFrame:
     ``Unknown``. Columns the mart does not have are skipped."""
     rules = {
         "total_generation": F.col("total_generation").try_cast("double"),
-        "year": F.col("year").try_cast("bigint"),
+        "year": F.col("year").try_cast("double").try_cast("bigint"),
         "energy_type": F.coalesce(F.col("energy_type").cast("string"), F.lit("Unknown")),
         "fuel": F.col("fuel").cast("string"),
         "recorded_date": date_from_text(F.col("recorded_date")),
@@ -55,11 +55,14 @@ def coerce_mart(mart: DataFrame) -> DataFrame:
 def read_mart(spark: SparkSession, name: str, csv_path: str) -> tuple[DataFrame, str]:
     """The mart and where it came from: ``table``, or ``csv`` when there is no such table.
 
-    The CSV is read with the mart's declared types."""
+    The CSV is read with the mart's declared types, and its header must name its columns.
+    """
     try:
         return coerce_mart(spark.table(name)), "table"
     except AnalysisException:
-        fallback = spark.read.schema(MART_SCHEMAS[name]).csv(csv_path, header=True, escape='"')
+        fallback = spark.read.schema(MART_SCHEMAS[name]).csv(
+            csv_path, header=True, enforceSchema=False, escape='"'
+        )
         return fallback, "csv"
 
 
