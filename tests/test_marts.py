@@ -1,6 +1,6 @@
 """B13, B14, B20, D2, F1, S1-S5, D5, D6, F2, F5, F6, E5, A17, A18."""
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -44,6 +44,14 @@ def test_forecast_labels_nulls_and_horizon(make_landing):
     }
 
 
+def test_horizon_defaults_to_the_current_date(make_landing):
+    today = date.today()
+    rows = [(f"{today - timedelta(days=n)}T03", "a", "d", n, "2024-02-01") for n in (3, 28, 33)]
+    staged = stage(make_landing(FEED.name, rows), FEED)
+    got = marts_forecast(latest_readings(staged, FEED)).collect()
+    assert sorted(int(r["value"]) for r in got) == [3, 28]
+
+
 def test_forecast_respondents(spark, make_landing):
     rows = [("2024-01-05T03", who, "d", 1, "2024-02-01") for who in ("a", "b", "rollup")]
     known = spark.createDataFrame([("A",), ("B",), ("B",)], "respondent_id string")

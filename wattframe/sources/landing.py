@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattframe.feeds import Feed
 
@@ -48,41 +48,59 @@ def read_extracts(spark: SparkSession, paths: list[str], feed: Feed) -> DataFram
     """
     if not paths:
         raise FileNotFoundError(f"no {feed.name} extract given")
-    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
-    try:
-        return conform(reader.option("mergeSchema", True).parquet(*paths), feed)
-    except AnalysisException:
-        raise
-    except (PySparkException, Py4JJavaError) as error:
-        if "CANNOT_MERGE_SCHEMAS" not in str(error):
-            raise
+    whole = _agreed_schema(spark, paths)
+    if whole is not None:
+        return conform(_parquet(spark).schema(whole).parquet(*paths), feed)
+    files = [r["path"] for r in _listing(spark, paths).collect()]
     scans = [
-        conform(spark.read.parquet(*files), feed)
-        for files in _files_by_schema(spark, paths).values()
+        conform(spark.read.schema(schema).parquet(*group), feed)
+        for schema, group in _files_by_schema(spark, files)
     ]
     return reduce(DataFrame.unionByName, scans)
 
 
-def _parquet_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Listing of Parquet files, which are not opened."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .option("recursiveFileLookup", True)
-        .load(paths)
-        .select("path")
+def _parquet(spark: SparkSession) -> DataFrameReader:
+    return spark.read.options(recursiveFileLookup=True, pathGlobFilter="*.parquet")
+
+
+def _listing(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Names of the Parquet files below ``paths``; no file is opened."""
+    listed = spark.read.format("binaryFile").options(
+        recursiveFileLookup=True, pathGlobFilter="*.parquet"
     )
+    return listed.load(paths).select("path")
 
 
-def _files_by_schema(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
-    """File names by footer schema. Only names and footers pass through the driver."""
-    files = [r["path"] for r in _parquet_files(spark, paths).collect()]
-    with ThreadPoolExecutor(16) as pool:
-        schemas = pool.map(lambda f: spark.read.parquet(f).schema.json(), files)
-    groups: dict[str, list[str]] = {}
-    for file, schema in zip(files, schemas):
-        groups.setdefault(schema, []).append(file)
-    return groups
+def _agreed_schema(spark: SparkSession, paths: list[str]) -> T.StructType | None:
+    """The merged schema of all files, or None if a column's types conflict.
+
+    Footers are read by tasks."""
+    try:
+        return _parquet(spark).option("mergeSchema", True).parquet(*paths).schema
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_MERGE_SCHEMAS" not in str(error):
+            raise
+        return None
+
+
+def _files_by_schema(
+    spark: SparkSession, files: list[str]
+) -> list[tuple[T.StructType, list[str]]]:
+    """Files grouped by schema, by halving until a part agrees.
+
+    Types usually change at some point in time, so few parts need a look. Only file names
+    and schemas pass through the driver.
+    """
+    parts, groups = [files], {}
+    while parts:
+        part = parts.pop()
+        schema = _agreed_schema(spark, part)
+        if schema is None:
+            middle = len(part) // 2
+            parts += [part[:middle], part[middle:]]
+        else:
+            groups.setdefault(schema.json(), (schema, []))[1].extend(part)
+    return list(groups.values())
 
 
 def write_days(
@@ -145,4 +163,4 @@ def load_exports(
 
 def file_census(spark: SparkSession, root: str) -> DataFrame:
     """Number of Parquet files below ``root``."""
-    return _parquet_files(spark, [root]).agg(F.count("path").alias("n_files"))
+    return _listing(spark, [root]).agg(F.count("path").alias("n_files"))
