@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from functools import partial
+from typing import TypeVar
 
-from pyspark.sql import Column, DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattframe.checkpoints import cut_lineage
@@ -19,6 +24,18 @@ from wattframe.operators.upsert import upsert
 from wattframe.plans.warehouse import Warehouse
 from wattframe.sources.landing import write_days
 
+T = TypeVar("T")
+
+
+def _together(spark: SparkSession, works: Sequence[Callable[[], T]]) -> list[T]:
+    """Independent builds at the same time, so that one's last tasks overlap the next's
+    first. The first error is raised after all have ended."""
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(works)) as pool:
+        started = [pool.submit(inherit(work)) for work in works]
+    return [work.result() for work in started]
+
+
 #: Tables that a window-limited rebuild extends, so they must exist.
 DERIVED = ("dim_generation", "dim_interchange", "marts_generation", "marts_interchange")
 
@@ -79,10 +96,8 @@ def build_dimensions(
     interchange = dim_interchange(readings("interchange"), authorities)
     # broadcast joins leave the rows in the tasks that scanned their days
     shuffled = not (fits_broadcast(authorities) and fits_broadcast(fuels))
-    for name, rows, cluster_by in (
-        ("dim_generation", generation, ("ba", "fuel")),
-        ("dim_interchange", interchange, ("provider_id", "recipient_id")),
-    ):
+
+    def store(name: str, rows: DataFrame, cluster_by: tuple[str, str]) -> None:
         write_days(
             rows,
             warehouse.path(name),
@@ -92,6 +107,14 @@ def build_dimensions(
             whole_table=since is None,
             rebalance=shuffled,
         )
+
+    _together(
+        warehouse.spark,
+        [
+            partial(store, "dim_generation", generation, ("ba", "fuel")),
+            partial(store, "dim_interchange", interchange, ("provider_id", "recipient_id")),
+        ],
+    )
     return warehouse.table("dim_generation"), warehouse.table("dim_interchange")
 
 
@@ -106,23 +129,32 @@ def build_marts(
     """
     generation, interchange = build_dimensions(warehouse, since)
     year_start = F.make_date(F.col("year"), F.lit(1), F.lit(1))
-    marts = {}
-    for name, compute, dimension, day in (
-        ("marts_generation", marts_generation, generation, year_start),
-        ("marts_interchange", marts_interchange, interchange, F.col("recorded_date")),
-    ):
-        if since is None:
-            rows = compute(dimension)
-        else:
-            first = F.trunc(since, "year")
-            fresh = compute(dimension.where(F.col("recorded_date") >= first))
-            # the table is read and replaced in one step, so its rows are stored
-            # elsewhere first; a mart holds a few rows per day at most
-            rows = cut_lineage(warehouse.table(name).where(day < first).unionByName(fresh))
-        marts[name] = warehouse.replace(name, rows)
     forecast = warehouse.readings(FEEDS["demand_forecast"])
-    marts["marts_forecast"] = warehouse.replace("marts_forecast", marts_forecast(forecast, as_of))
-    return marts
+
+    def build(
+        name: str, compute: Callable[[DataFrame], DataFrame], dimension: DataFrame, day: Column
+    ) -> DataFrame:
+        if since is None:
+            return warehouse.replace(name, compute(dimension))
+        first = F.trunc(since, "year")
+        fresh = compute(dimension.where(F.col("recorded_date") >= first))
+        # the table is read and replaced in one step, so its rows are stored elsewhere
+        # first; a mart holds a few rows per day at most
+        kept = warehouse.table(name).where(day < first)
+        return warehouse.replace(name, cut_lineage(kept.unionByName(fresh)))
+
+    works = {
+        "marts_generation": partial(
+            build, "marts_generation", marts_generation, generation, year_start
+        ),
+        "marts_interchange": partial(
+            build, "marts_interchange", marts_interchange, interchange, F.col("recorded_date")
+        ),
+        "marts_forecast": lambda: warehouse.replace(
+            "marts_forecast", marts_forecast(forecast, as_of)
+        ),
+    }
+    return dict(zip(works, _together(warehouse.spark, list(works.values()))))
 
 
 def run(
@@ -136,13 +168,19 @@ def run(
     """One transformation run: staging views, readings of the four feeds, dims, marts.
 
     Dims and marts are rebuilt whole. With ``rebuild_all=False`` a refresh rebuilds only
-    what its window can have changed; use it while the seeds stay the same.
+    what its window can have changed. Use that only while the seeds stay the same and
+    the runs before it have finished, or their days stay out of the dims and marts.
     """
     staged = warehouse.register_views()
-    partial = mode == REFRESH and not rebuild_all and all(warehouse.has(t) for t in DERIVED)
-    done = {
-        build_readings(warehouse, feed, mode, as_of, window_days, merge_days, staged[name])
-        for name, feed in FEEDS.items()
-    }
-    since = F.date_sub(as_date(as_of), window_days) if partial and done == {REFRESH} else None
+    extend = mode == REFRESH and not rebuild_all and all(warehouse.has(t) for t in DERIVED)
+    done = _together(
+        warehouse.spark,
+        [
+            partial(build_readings, warehouse, feed, mode, as_of, window_days, merge_days, staged[name])
+            for name, feed in FEEDS.items()
+        ],
+    )
+    since = None
+    if extend and set(done) == {REFRESH}:
+        since = F.date_sub(as_date(as_of), window_days)
     return build_marts(warehouse, as_of, since)
