@@ -278,6 +278,12 @@ def test_pages_cover_everything_once(paged):
     assert page_slice(paged, key, 9, 600).count() == 0
 
 
+def test_rows_without_a_period_come_first(spark):
+    rows = spark.range(30).select(F.when(F.col("id") % 3 > 0, F.format_string("p%02d", "id")).alias("period"), "id")
+    pages = [[r["id"] for r in page_slice(rows, ["period", "id"], p, 7).orderBy("period", "id").collect()] for p in range(5)]
+    assert sum(pages, []) == [r["id"] for r in rows.orderBy("period", "id").collect()]
+
+
 def test_positions_equal_brute_force(paged):
     got = number_rows(paged, ["period", "k"])
     brute = sorted((r["period"], r["k"], r["id"]) for r in paged.collect())

@@ -69,12 +69,22 @@ def page_slice(
     touched = (
         per_period.select(lead, "size", _running_total("size", lead).alias("start"))
         .where((F.col("start") < last) & (F.col("start") + F.col("size") > first))
-        .agg(F.min(lead).alias("low"), F.max(lead).alias("high"), F.min("start").alias("start"))
+        .agg(
+            F.min(lead).alias("low"),
+            F.max(lead).alias("high"),
+            F.bool_or(F.col(lead).isNull()).alias("has_null"),
+            F.min("start").alias("start"),
+        )
         .first()
     )
     if touched["start"] is None:
         return rows.where(F.lit(False))
-    near = rows.where(F.col(lead).between(F.lit(touched["low"]), F.lit(touched["high"])))
+    in_page = F.lit(False)
+    if touched["low"] is not None:
+        in_page = F.col(lead).between(F.lit(touched["low"]), F.lit(touched["high"]))
+    if touched["has_null"]:
+        in_page = in_page | F.col(lead).isNull()
+    near = rows.where(in_page)
     position = F.col("position") + F.lit(touched["start"])
     return (
         number_rows(near, order_by)
