@@ -280,8 +280,9 @@ def test_pages_cover_everything_once(paged):
 
 def test_rows_without_a_period_come_first(spark):
     rows = spark.range(30).select(F.when(F.col("id") % 3 > 0, F.format_string("p%02d", "id")).alias("period"), "id")
-    pages = [[r["id"] for r in page_slice(rows, ["period", "id"], p, 7).orderBy("period", "id").collect()] for p in range(5)]
-    assert sum(pages, []) == [r["id"] for r in rows.orderBy("period", "id").collect()]
+    key = ["period", "id"]
+    paged = [r["id"] for p in range(5) for r in page_slice(rows, key, p, 7).orderBy(*key).collect()]
+    assert paged == [r["id"] for r in rows.orderBy("period", "id").collect()]
 
 
 def test_positions_equal_brute_force(paged):
