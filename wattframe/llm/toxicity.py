@@ -27,6 +27,8 @@ BEGINNINGS = (4, 5, 6)
 #: Labelled texts of each class that a model is fitted on, at most.
 PER_CLASS = 5000
 GRADES = 4
+#: Standard errors by which a feature's share must differ between toxic and clean texts.
+LEAST_Z = 4.0
 _SIGNS = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32
     for c in range(256)
@@ -119,6 +121,17 @@ def grades(features: list, counts: list, toxic: np.ndarray) -> np.ndarray:
     return np.where(toxic == 1, 1 + np.searchsorted(cuts, uses, side="left"), 0)
 
 
+def telling(at: np.ndarray, toxic: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
+    """Features of several texts whose share differs clearly between toxic and clean ones; the
+    rest mostly tell which texts were sampled."""
+    one = np.bincount(at[toxic], minlength=FEATURES)
+    zero = np.bincount(at[~toxic], minlength=FEATURES)
+    share = (one + zero) / (n_toxic + n_clean)
+    error = np.sqrt(share * (1 - share) * (1 / n_toxic + 1 / n_clean))
+    z = np.abs(one / n_toxic - zero / n_clean) / np.maximum(error, 1e-12)
+    return (one + zero >= 3) & (z >= LEAST_Z)
+
+
 def train(
     features: list, counts: list, grade: np.ndarray, rounds: int = 300, penalty: float = 2e-4
 ) -> Model:
@@ -126,9 +139,8 @@ def train(
     at = np.concatenate(features).astype(np.int64)
     value = np.log1p(np.concatenate(counts)).astype(np.float32)
     row = np.repeat(np.arange(len(features)), [len(f) for f in features])
-    # a feature of one or two texts only says which texts were sampled
-    common = np.bincount(at, minlength=FEATURES)[at] >= 3
-    at, value, row = at[common], value[common], row[common]
+    told = telling(at, grade[row] > 0, (grade > 0).sum(), (grade == 0).sum())[at]
+    at, value, row = at[told], value[told], row[told]
     n, steps = len(grade), GRADES - 1
     weights = np.zeros(FEATURES)
     # thresholds ascend: the first, then logs of the gaps
