@@ -14,6 +14,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -30,7 +31,9 @@ _OWNER = [("doc", "<i8"), ("tag", "<u4")]
 _SEGMENT = np.dtype([("anchor", "<u8"), ("text", "<u8"), *_OWNER, ("start", "<u4"), ("windows", "u1")])
 _DECISION = np.dtype([*_OWNER, ("start", "<u4"), ("windows", "<u4"), ("shard", "<u2")])
 #: Bytes of a hash that are sent. Fewer of an anchor's only bring unlike segments together.
-_SENT = {"anchor": 5, "text": 8}
+_SENT = {"anchor": 4, "text": 7}
+#: Suffix arrays for each shard of anchors.
+FINER = 16
 _SEPARATOR = 0xFF  # no byte of UTF-8
 
 
@@ -96,7 +99,7 @@ def _pack(entries: np.ndarray) -> bytes:
             columns.append(np.diff(column, prepend=column.dtype.type(0)).tobytes())
         else:
             columns.append(column.tobytes())
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(columns))
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(columns))
 
 
 def _unpack(data: bytes, kind: np.dtype) -> np.ndarray:
@@ -211,7 +214,9 @@ def _settle(scanned: DataFrame, shards: int) -> DataFrame:
             )
             group = np.cumsum(np.diff(entries["anchor"], prepend=~entries["anchor"][:1]) != 0) - 1
             several = np.bincount(group, new)[group] > 1
-            out.append(_decide(entries[several], shard))
+            entries = entries[several]
+            part = mix(entries["anchor"]) % np.uint64(max(1, min(FINER, _SETTLED // shards)))
+            out.append(_decide(entries, shard + shards * part.astype(np.int64)))
         all_ = np.concatenate(out)
         rows = [(p, _pack(x)) for p, x in _dealt(all_, _owner_part(all_["doc"], shards))]
         columns = list(zip(*rows)) or [[], []]
@@ -224,23 +229,33 @@ def _settle(scanned: DataFrame, shards: int) -> DataFrame:
 
 
 def _texts_by_owner(docs: DataFrame, shards: int) -> DataFrame:
-    """(part, doc_id, body): compressed texts, dealt by their id."""
+    """(part, doc_ids, sizes, bodies): texts dealt by their id, some in one compressed piece."""
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressor = zstandard.ZstdCompressor(level=3)
         for batch, data in texts(batches):
             ids = batch.column("doc_id").to_pylist()
-            part = _owner_part(np.array([i if i is not None else j for j, i in enumerate(ids)], np.int64), shards)
+            known = np.array([i if i is not None else j for j, i in enumerate(ids)], np.int64)
+            part = _owner_part(known, shards)
+            rows: list[list] = [[], [], [], []]
+            for p in np.unique(part).tolist():
+                own = np.flatnonzero(part == p).tolist()
+                some = [data[i] or b"" for i in own]
+                values = (
+                    p,
+                    [ids[i] for i in own],
+                    [len(x) for x in some],
+                    compressor.compress(b"".join(some)),
+                )
+                for column, value in zip(rows, values):
+                    column.append(value)
+            kinds = [pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
+            names = ["part", "doc_ids", "sizes", "bodies"]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(part.astype(np.int32)),
-                    batch.column("doc_id"),
-                    pa.array([compressor.compress(x or b"") for x in data], pa.binary()),
-                ],
-                names=["part", "doc_id", "body"],
+                [pa.array(r, k) for r, k in zip(rows, kinds)], names=names
             )
 
-    return docs.mapInArrow(pack, "part int, doc_id long, body binary")
+    return docs.mapInArrow(pack, "part int, doc_ids array<long>, sizes array<long>, bodies binary")
 
 
 def _owned(left: pa.Table, right: pa.Table) -> Iterator[tuple[int | None, bytes, int, np.ndarray]]:
@@ -248,37 +263,47 @@ def _owned(left: pa.Table, right: pa.Table) -> Iterator[tuple[int | None, bytes,
     found = [_unpack(x, _DECISION) for x in right.column("data").to_pylist()]
     decisions = np.concatenate([np.zeros(0, _DECISION), *found])
     decisions = decisions[np.argsort(decisions["doc"], kind="stable")]
+    docs = np.ascontiguousarray(decisions["doc"])
     decompressor = zstandard.ZstdDecompressor()
-    for doc, body in zip(left.column("doc_id").to_pylist(), left.column("body").to_pylist()):
-        text = decompressor.decompress(body)
-        tag = xxhash.xxh3_64_intdigest(text) & 0xFFFFFFFF
-        own = decisions[:0]
-        if doc is not None:
-            a, b = np.searchsorted(decisions["doc"], [doc, doc + 1])
-            own = decisions[a:b]
-            own = own[own["tag"] == tag]
-        yield doc, text, tag, own
-
-
-def _extract(bodies: DataFrame, decisions: DataFrame) -> DataFrame:
-    """(part, doc, tag, start, body): segments with their bytes, for the shard that compares."""
+    for batch in left.to_batches(max_chunksize=1):
+        row = batch.to_pylist()[0]
+        joined, at = decompressor.decompress(row["bodies"]), 0
+        known = np.array([0 if i is None else i for i in row["doc_ids"]], np.int64)
+        begins = np.searchsorted(docs, known, "left").tolist()
+        ends = np.searchsorted(docs, known, "right").tolist()
+        for doc, size, a, b in zip(row["doc_ids"], row["sizes"], begins, ends):
+            text = joined[at : at + size]
+            at += size
+            tag = xxhash.xxh3_64_intdigest(text) & 0xFFFFFFFF
+            own = decisions[:0]
+            if doc is not None:
+                own = decisions[a:b]
+                own = own[own["tag"] == tag]
+            yield doc, text, tag, own
+
+
+def _extract(bodies: DataFrame, decisions: DataFrame, shards: int) -> DataFrame:
+    """(part, finer, doc, tag, start, body): segments with their bytes, for the shard that
+    compares them."""
 
     def extract(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows: list[list] = [[], [], [], [], []]
+        rows: list[list] = [[], [], [], [], [], []]
         for doc, text, tag, own in _owned(left, right):
             own = own[own["shard"] != _SETTLED]
             for start, windows, shard in zip(
                 own["start"].tolist(), own["windows"].tolist(), own["shard"].tolist()
             ):
                 body = text[start : start + windows + WINDOW - 1]
-                for column, value in zip(rows, (shard, doc, tag, start, body)):
+                values = (shard % shards, shard // shards, doc, tag, start, body)
+                for column, value in zip(rows, values):
                     column.append(value)
-        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-        names = ["part", "doc", "tag", "start", "body"]
+        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        names = ["part", "finer", "doc", "tag", "start", "body"]
         return pa.table([pa.array(r, k) for r, k in zip(rows, kinds)], names=names)
 
     grouped = bodies.groupBy("part").cogroup(decisions.groupBy("part"))
-    return grouped.applyInArrow(extract, "part int, doc long, tag long, start long, body binary")
+    schema = "part int, finer int, doc long, tag long, start long, body binary"
+    return grouped.applyInArrow(extract, schema)
 
 
 def repeated_windows(
@@ -313,15 +338,20 @@ def repeated_windows(
 
 
 def _compare(extracted: DataFrame, shards: int) -> DataFrame:
-    """(part, data): decisions on windows found by the suffix array of each shard."""
+    """(part, data): decisions on windows found by the suffix arrays of each shard."""
 
     def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        doc = table.column("doc").to_numpy()
-        which, first, count = repeated_windows(table.column("body").to_pylist(), doc)
-        out = np.zeros(len(which), _DECISION)
-        out["doc"], out["tag"] = doc[which], table.column("tag").to_numpy()[which]
-        out["start"] = table.column("start").to_numpy()[which] + first
-        out["windows"], out["shard"] = count, _SETTLED
+        found = [np.zeros(0, _DECISION)]
+        for finer in pc.unique(table.column("finer")).to_pylist():
+            some = table.filter(pc.equal(table.column("finer"), finer))
+            doc = some.column("doc").to_numpy()
+            which, first, count = repeated_windows(some.column("body").to_pylist(), doc)
+            own = np.zeros(len(which), _DECISION)
+            own["doc"], own["tag"] = doc[which], some.column("tag").to_numpy()[which]
+            own["start"] = some.column("start").to_numpy()[which] + first
+            own["windows"], own["shard"] = count, _SETTLED
+            found.append(own)
+        out = np.concatenate(found)
         rows = [(p, _pack(x)) for p, x in _dealt(out, _owner_part(out["doc"], shards))]
         columns = list(zip(*rows)) or [[], []]
         return pa.table(
@@ -343,11 +373,11 @@ def remove_repeated(
     rows that share an id don't remove each other's bytes. An empty table gives no rows.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    shards = min(4 * shuffle_width(docs.sparkSession), _SETTLED - 1)
+    shards = min(shuffle_width(docs.sparkSession), _SETTLED - 1)
     scanned = _scan(rows.filter("doc_id is not null and text is not null"), shards)
     decisions = cut_lineage(_settle(scanned, shards))
     bodies = _texts_by_owner(rows, shards)
-    compared = cut_lineage(_compare(_extract(bodies, decisions), shards))
+    compared = cut_lineage(_compare(_extract(bodies, decisions, shards), shards))
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[list] = [[], [], [], [], [], []]
