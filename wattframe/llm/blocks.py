@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattframe.llm.common import shuffle_width
+from wattframe.llm.common import cut_lineage, shuffle_width
+from wattframe.llm.graph import components
 
 BLOCK_ROWS = 1024
 
@@ -51,3 +52,56 @@ def runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
         held = table.slice(cuts[-1])
     if held is not None and held.num_rows:
         yield held
+
+
+def confirm_together(
+    pairs: DataFrame, sets: DataFrame, linked: Callable[[np.ndarray, np.ndarray], bool]
+) -> DataFrame:
+    """The (a, b) of ``pairs`` whose ``sets`` (node, found: 64-bit values) are linked.
+
+    Pairs that hang together meet in cells of two blocks of nodes, and a node's set is sent
+    once to each cell in which it has a pair, not with every pair. Where a node has several sets,
+    one of them is enough.
+    """
+    pairs = cut_lineage(pairs)
+    groups = components(pairs).withColumnRenamed("component", "group")
+    sizes = groups.groupBy("group").agg(F.count("*").alias("n"))
+    block = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK_ROWS)).cast("int")
+    placed = groups.join(sizes, "group").select("node", "group", block.alias("block"))
+    one = placed.withColumnsRenamed({"node": "a", "block": "a_block"})
+    two = placed.drop("group").withColumnsRenamed({"node": "b", "block": "b_block"})
+    cell = ["group", "left", "right"]
+    dealt = pairs.join(one, "a").join(two, "b").select(
+        "group",
+        F.least("a_block", "b_block").alias("left"),
+        F.greatest("a_block", "b_block").alias("right"),
+        "a",
+        "b",
+    )
+    needed = dealt.select(*cell, F.explode(F.array("a", "b")).alias("node")).distinct()
+    bodies = needed.join(sets, "node").select(
+        *cell, F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "found"
+    )
+    rows = bodies.unionAll(dealt.withColumn("found", F.lit(None).cast("binary")))
+    rows = rows.repartition(shuffle_width(pairs.sparkSession), *cell).sortWithinPartitions(*cell)
+
+    def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in runs(batches, cell):
+            known: dict[int, list[np.ndarray]] = {}
+            edges = []
+            for r in run.select(["a", "b", "found"]).to_pylist():
+                if r["b"] is None:
+                    known.setdefault(r["a"], []).append(np.frombuffer(r["found"], np.uint64))
+                else:
+                    edges.append((r["a"], r["b"]))
+            keep = [
+                (a, b)
+                for a, b in edges
+                if any(linked(u, v) for u in known.get(a, ()) for v in known.get(b, ()))
+            ]
+            columns = list(zip(*keep)) or [[], []]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in columns], names=["a", "b"]
+            )
+
+    return rows.mapInArrow(check, "a long, b long")

@@ -41,6 +41,48 @@ class Cached(dict):
         return value
 
 
+#: Bytes that divide words: ASCII white space.
+BLANKS = bytes([9, 10, 11, 12, 13, 32])
+_STEP = 0x9E3779B97F4A7C15
+
+
+class WordHasher:
+    """Hashes of all words of some texts at once, A-Z lower-cased.
+
+    ``dividers`` are the bytes that belong to no word. A word's hash is a polynomial in scrambled
+    bytes modulo 2^64, scrambled again.
+    """
+
+    def __init__(self, dividers: bytes = BLANKS):
+        self.codes = mix(np.arange(1, 257, dtype=np.uint64))
+        self.codes[list(dividers)] = 0
+        self.powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+    def __call__(self, joined: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Where each word begins, and its hash."""
+        codes = self.codes[np.frombuffer(joined.lower(), np.uint8)]
+        inside = codes != 0
+        inside[1:] &= codes[:-1] == 0
+        starts = np.flatnonzero(inside)
+        if not len(starts):
+            return starts, np.zeros(0, np.uint64)
+        n = len(codes)
+        if len(self.powers[0]) < n:
+            for i, base in enumerate((_STEP, pow(_STEP, -1, 1 << 64))):
+                steps = np.full(n, base, np.uint64)
+                steps[0] = 1
+                self.powers[i] = np.cumprod(steps, dtype=np.uint64)
+        codes *= self.powers[0][:n]
+        return starts, mix(np.add.reduceat(codes, starts) * self.powers[1][starts])
+
+    def by_text(self, data: list[bytes | None]) -> list[np.ndarray]:
+        """The hashes of each text's words."""
+        found = [x or b"" for x in data]
+        starts, hashes = self(b"\n".join(found))
+        ends = np.cumsum([len(x) + 1 for x in found])
+        return np.split(hashes, np.searchsorted(starts, ends[:-1])) if found else []
+
+
 def word_hashes() -> Cached:
     """64-bit hash of a word."""
     return Cached(xxhash.xxh3_64_intdigest)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattframe.llm.common import Cached, hashed, shingles, texts, word_hashes
+from wattframe.llm.common import WordHasher, shingles, texts
 
 WINDOW, SHINGLE = 13, 5
 #: Bytes of benchmark text held in memory at a time. A larger benchmark is matched in parts of
@@ -28,18 +28,13 @@ WINDOW, SHINGLE = 13, 5
 PART_BYTES = 8 << 20
 #: Slots of the table that tells most shingles of no window at once.
 SLOTS = 1 << 20
-_WORDS = bytes(
-    c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32
-    for c in range(256)
+#: ASCII bytes that belong to no word: all but digits and letters.
+_DIVIDERS = bytes(
+    c for c in range(128) if not (48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122)
 )
 ADDED = ("n_words", "n_hit", "n_items", "items", "items_sha256", "contaminated")
 
 
-def words(data: bytes | None, cache: Cached) -> np.ndarray:
-    """Hashes of the words: ASCII digits and letters, lower-cased, and all beyond ASCII."""
-    return hashed((data or b"").translate(_WORDS).split(), cache)
-
-
 @dataclass
 class Windows:
     """Windows of some items, over one array of item words."""
@@ -102,11 +97,11 @@ class Windows:
 
 def windows_of(items: Iterable[tuple[str, str]], window: int) -> Windows:
     """The distinct windows of (id, text) items, with the ids of the items that have them."""
-    cache, seen, parts, at = word_hashes(), {}, [], 0
+    hasher, seen, parts, at = WordHasher(_DIVIDERS), {}, [], 0
     owners: list[set[str]] = []
     start, length = [], []
     for item, text in items:
-        found = words(text.encode("utf-8", "surrogatepass"), cache)
+        found = hasher.by_text([text.encode("utf-8", "surrogatepass")])[0]
         size = min(window, len(found))
         for i in range(len(found) - size + 1 if size else 0):
             w = seen.setdefault(found[i : i + size].tobytes(), len(owners))
@@ -136,11 +131,10 @@ def _document_counts(docs: DataFrame, part: Windows, text: str) -> dict[tuple[in
     probe.index({s: [(f, 0, np.arange(len(f)))] for s, f in distinct.items()})
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = word_hashes()
+        hasher = WordHasher(_DIVIDERS)
         totals = {size: np.zeros(len(f), np.int64) for size, f in distinct.items()}
         for _, data in texts(batches, text):
-            for x in data:
-                doc = words(x, cache)
+            for doc in hasher.by_text(data):
                 for size, total in totals.items():
                     _, _, which = probe.hits(size, shingles(doc, size))
                     total[np.unique(which)] += 1
@@ -225,14 +219,13 @@ def find_contamination(
 
     def search(part: Windows | None):
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            cache = word_hashes()
+            hasher = WordHasher(_DIVIDERS)
             for some, data in texts(batches, text):
                 before = [[None] * len(data)] * 2
                 if names[0] in some.schema.names:
                     before = [some.column(c).to_pylist() for c in names[:2]]
                 places, items, counts = [], [], []
-                for x, old, old_items in zip(data, *before):
-                    doc = words(x, cache)
+                for doc, old, old_items in zip(hasher.by_text(data), *before):
                     counts.append(len(doc))
                     covered = np.zeros(len(doc) + 1, np.int64)
                     spans = np.frombuffer(old or b"", np.int64).reshape(-1, 2)

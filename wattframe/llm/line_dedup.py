@@ -14,19 +14,13 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattframe.llm.common import (
-    cut_lineage,
-    hashed,
-    mix,
-    shuffle_width,
-    texts,
-    word_hashes,
-)
+from wattframe.llm.blocks import confirm_together
+from wattframe.llm.common import WordHasher, cut_lineage, mix, shuffle_width, texts
 
 #: Lines with fewer words are no duplicates of anything.
 MIN_WORDS = 5
@@ -34,57 +28,80 @@ MIN_WORDS = 5
 OVERLAP, SIZES = 7, 3
 #: Slots of the table of word counts, whose size does not depend on the data.
 COUNT_SLOTS = 1 << 16
+#: Bits of the filter of lines that have candidates; its size does not depend on the data. Where
+#: it is full, more lines are sent along, none is lost.
+FILTER_BITS = 1 << 26
 #: Candidates of a line that are verified first; each further portion is so many times larger.
-FIRST_PORTION, GROWTH = 4, 8
-_ENTRY = np.dtype([("token", "<u8"), ("line", "<u8"), ("bits", "<u8"), ("size", "<u2"), ("place", "<u2")])
+FIRST_PORTION, GROWTH = 2, 8
+_LONG = 65535
+#: Lines of up to so many words have a bit map of 64 or 128 bits, longer ones of 256.
+_SMALL, _MIDDLE = 56, 112
+_MAPS = ("map0", "map1", "map2", "map3")
+_ENTRY = np.dtype(
+    [("token", "<u8"), ("line", "<u8"), *((m, "<u8") for m in _MAPS), ("size", "<u2"), ("place", "u1")]
+)
+_PLACE = np.dtype([("set", "<u8"), ("rest", "<u8"), ("doc", "<i8"), ("number", "<u4")])
 
 
 class Lines:
-    """The lines of some texts as flat arrays of words."""
-
-    def __init__(self, data: list[bytes | None], cache):
-        self.text, self.number, words, sizes = [], [], [], []
-        for i, x in enumerate(data):
-            for j, line in enumerate((x or b"").lower().split(b"\n")):
-                found = line.split()
-                if len(found) >= MIN_WORDS:
-                    self.text.append(i)
-                    self.number.append(j)
-                    sizes.append(len(found))
-                    words += found
-        self.words = hashed(words, cache)
-        self.line = np.repeat(np.arange(len(sizes)), sizes)
-
-    def sets(self, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct words and their lines; rare words first if counts by slot are given."""
-        order = np.lexsort((self.words, self.line))
-        words, line = self.words[order], self.line[order]
+    """The lines of some texts that are long enough, as flat arrays of words."""
+
+    def __init__(self, data: list[bytes | None], hasher: WordHasher):
+        found = [x or b"" for x in data]
+        joined = b"\n".join(found)
+        starts, words = hasher(joined)
+        feeds = np.flatnonzero(np.frombuffer(joined, np.uint8) == 10)
+        line = np.searchsorted(feeds, starts)
+        ends = np.cumsum([len(x) + 1 for x in found])
+        enough = np.bincount(line, minlength=len(feeds) + 1) >= MIN_WORDS
+        kept = enough[line]
+        self.words, line = words[kept], line[kept]
+        chosen = np.flatnonzero(enough)
+        # each line's text, and its number there
+        begins = np.concatenate([[0], feeds + 1])
+        self.text = np.searchsorted(ends, begins[chosen], "right")
+        first = np.searchsorted(begins, np.concatenate([[0], ends[:-1]]))
+        self.number = chosen - first[self.text] if len(chosen) else chosen
+        self.line = (np.cumsum(enough) - 1)[line]
+        self.n = len(chosen)
+
+    def sets(self, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct words, rare ones first, and where the lines start."""
+        key = self.line.astype(np.uint64) << np.uint64(40)
+        key |= ranks[slot(self.words)].astype(np.uint64) << np.uint64(24)
+        key |= self.words >> np.uint64(24) & np.uint64(0xFFFFFF)
+        order = np.argsort(key)
+        words, line, key = self.words[order], self.line[order], key[order]
+        # words of one rank that agree in 24 bits: their order must be that of whole hashes
+        tied = np.flatnonzero((key[1:] == key[:-1]) & (words[1:] != words[:-1]))
+        if len(tied):
+            order = np.lexsort((words, key))
+            words, line = words[order], line[order]
         new = np.ones(len(words), bool)
         new[1:] = (words[1:] != words[:-1]) | (line[1:] != line[:-1])
         words, line = words[new], line[new]
-        if counts is not None:
-            order = np.lexsort((words, counts[slot(words)], line))
-            words = words[order]
-        return words, line
+        return words, np.flatnonzero(np.diff(line, prepend=-1))
 
 
 def slot(words: np.ndarray) -> np.ndarray:
     return (words >> np.uint64(48)).astype(np.int64)
 
 
-def _ids(words: np.ndarray, starts: np.ndarray) -> list[bytes]:
-    """128 bits for each set of words, from its words in any fixed order."""
-    data, ends = words.tobytes(), [*(starts[1:] * 8).tolist(), len(words) * 8]
-    return [xxhash.xxh3_128_digest(data[a:b]) for a, b in zip((starts * 8).tolist(), ends)]
+def _ids(words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits for each set of words."""
+    if not len(starts):
+        return words[:0], words[:0]
+    one = mix(np.add.reduceat(mix(words ^ np.uint64(0x5851F42D4C957F2D)), starts))
+    return one, mix(np.add.reduceat(mix(words + np.uint64(0x14057B7EF767814F)), starts))
 
 
-def word_counts(docs: DataFrame) -> np.ndarray:
-    """How many lines of the corpus hold the words of each slot."""
+def word_ranks(docs: DataFrame) -> np.ndarray:
+    """Slots of words in the order of how often the corpus has their words."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, total = word_hashes(), np.zeros(COUNT_SLOTS, np.int64)
+        hasher, total = WordHasher(), np.zeros(COUNT_SLOTS, np.int64)
         for _, data in texts(batches):
-            words, _ = Lines(data, cache).sets()
+            _, words = hasher(b"\n".join(x or b"" for x in data))
             total += np.bincount(slot(words), minlength=COUNT_SLOTS)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["slot", "n"])
@@ -94,61 +111,116 @@ def word_counts(docs: DataFrame) -> np.ndarray:
     counts = np.zeros(COUNT_SLOTS, np.int64)
     for r in rows.collect():  # at most COUNT_SLOTS rows
         counts[r["slot"]] = r["n"]
-    return counts
-
-
-def _prefixes(docs: DataFrame, counts: np.ndarray, parts: int) -> DataFrame:
-    """(part, entries): prefix words of lines with what bounds their overlap, packed by word."""
-
-    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = word_hashes()
-        for _, data in texts(batches):
-            words, line = Lines(data, cache).sets(counts)
+    ranks = np.empty(COUNT_SLOTS, np.uint16)
+    ranks[np.argsort(counts, kind="stable")] = np.arange(COUNT_SLOTS)
+    return ranks
+
+
+def _pack(entries: np.ndarray) -> bytes:
+    columns = [np.ascontiguousarray(entries[n]).tobytes() for n in entries.dtype.names]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(columns))
+
+
+def _unpack(data: bytes, kind: np.dtype) -> np.ndarray:
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    out, at = np.zeros(len(raw) // kind.itemsize, kind), 0
+    for name in kind.names:
+        size = kind[name].itemsize * len(out)
+        out[name] = np.frombuffer(raw[at : at + size], kind[name])
+        at += size
+    return out
+
+
+def _scan(docs: DataFrame, ranks: np.ndarray, parts: int) -> DataFrame:
+    """(part, kind, data): prefix words of lines with what bounds their overlap, dealt by word
+    (kind 0), and the places of all lines, dealt by set (kind 1)."""
+
+    def deal(part: np.ndarray, kind: int, entries: np.ndarray) -> list[tuple]:
+        order = np.argsort(part, kind="stable")
+        entries, part = entries[order], part[order]
+        cuts = np.flatnonzero(np.diff(part, prepend=-1))
+        ends = np.append(cuts[1:], len(part))
+        return [(int(part[a]), kind, _pack(entries[a:b])) for a, b in zip(cuts, ends)]
+
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher()
+        for batch, data in texts(batches):
+            lines = Lines(data, hasher)
+            words, starts = lines.sets(ranks)
             if not len(words):
                 continue
-            starts = np.flatnonzero(np.diff(line, prepend=-1))
+            ids, rest = _ids(words, starts)
             sizes = np.diff(np.append(starts, len(words)))
-            ids = np.frombuffer(b"".join(x[:8] for x in _ids(words, starts)), "<u8")
-            bits = np.bitwise_or.reduceat(np.uint64(1) << (mix(words) >> np.uint64(58)), starts)
+            places = np.zeros(lines.n, _PLACE)
+            places["set"], places["rest"], places["number"] = ids, rest, lines.number
+            places["doc"] = batch.column("doc_id").to_numpy()[lines.text]
             # equal sets of these texts count once
-            _, first = np.unique(ids, return_index=True)
-            chosen = np.zeros(len(starts), bool)
-            chosen[first] = True
+            chosen = np.zeros(lines.n, bool)
+            chosen[np.unique(ids, return_index=True)[1]] = True
             place = np.arange(len(words)) - np.repeat(starts, sizes)
-            prefix = sizes - (3 * sizes + 3) // 4 + 1
-            keep = (place < np.repeat(prefix, sizes)) & np.repeat(chosen, sizes)
-            which = np.repeat(np.arange(len(starts)), sizes)[keep]
+            prefix = np.where(chosen, sizes - (3 * sizes + 3) // 4 + 1, 0)
+            keep = place < np.repeat(prefix, sizes)
+            which = np.repeat(np.arange(lines.n), prefix)
+            maps = bit_maps(words, starts, sizes)
             entries = np.zeros(len(which), _ENTRY)
             entries["token"], entries["line"] = words[keep], ids[which]
-            entries["bits"], entries["place"] = bits[which], np.minimum(place[keep], 65535)
-            entries["size"] = np.minimum(sizes[which], 65535)
-            part = (mix(entries["token"]) % np.uint64(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            entries, part = entries[order], part[order]
-            cuts = np.flatnonzero(np.diff(part, prepend=-1))
-            ends = np.append(cuts[1:], len(part))
+            for name, bits in zip(_MAPS, maps):
+                entries[name] = bits[which]
+            entries["size"] = np.minimum(sizes, _LONG)[which]
+            entries["place"] = np.minimum(place[keep], 255)
+            rows = deal((mix(entries["token"]) % np.uint64(parts)).astype(np.int64), 0, entries)
+            rows += deal((mix(places["set"]) % np.uint64(parts)).astype(np.int64), 1, places)
+            kinds = [pa.int32(), pa.int32(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(part[cuts].astype(np.int32)),
-                    pa.array([entries[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
-                ],
-                names=["part", "entries"],
+                [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["part", "kind", "data"]
             )
 
-    return docs.select("text").mapInArrow(pack, "part int, entries binary")
+    return docs.mapInArrow(scan, "part int, kind int, data binary")
+
+
+def bit_maps(words: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """Four times 64 bits for each set: the larger it is, the more of them are used."""
+    scrambled = mix(words)
+    bit = np.uint64(1) << (scrambled >> np.uint64(58))
+    used = np.where(sizes <= _SMALL, 1, np.where(sizes <= _MIDDLE, 2, 4))
+    which = scrambled.astype(np.uint8) & np.repeat(used - 1, sizes).astype(np.uint8)
+    return [
+        np.bitwise_or.reduceat(np.where(which == i, bit, np.uint64(0)), starts) for i in range(4)
+    ]
+
+
+def _differing(maps: list[np.ndarray], size: np.ndarray, a: np.ndarray, b: np.ndarray):
+    """Bits in which the maps of the sets a and b differ, folded to that of the smaller set."""
+    least = np.minimum(size[a], size[b])
+    apart = np.zeros(len(a), np.int64)
+    x, y = [m[a] for m in maps], [m[b] for m in maps]
+    for level, some in enumerate((least <= _SMALL, (least > _SMALL) & (least <= _MIDDLE), least > _MIDDLE)):
+        u, v = [m[some] for m in x], [m[some] for m in y]
+        if level < 2:
+            u, v = ([m[0] | m[2], m[1] | m[3]] for m in (u, v))
+        if level < 1:
+            u, v = ([m[0] | m[1]] for m in (u, v))
+        apart[some] = sum(np.bitwise_count(p ^ q).astype(np.int64) for p, q in zip(u, v))
+    return apart
 
 
 def match_entries(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of lines that share a prefix word and may overlap enough."""
+    entries = entries[np.argsort(entries["token"])]
+    edge = np.append(np.flatnonzero(np.diff(entries["token"])) + 1, len(entries))
+    # words of one line say nothing
+    single = np.diff(edge, prepend=0) == 1
+    entries = entries[~np.repeat(single, np.diff(edge, prepend=0))]
     entries = entries[np.lexsort((entries["line"], entries["size"], entries["token"]))]
     same = np.ones(len(entries), bool)
     for name in ("token", "line"):
         same[1:] &= entries[name][1:] == entries[name][:-1]
     same[:1] = False
     entries = entries[~same]
-    token, line, bits = entries["token"], entries["line"], entries["bits"]
+    token, line = (np.ascontiguousarray(entries[n]) for n in ("token", "line"))
+    maps = [np.ascontiguousarray(entries[n]) for n in _MAPS]
     size, place = entries["size"].astype(np.int64), entries["place"].astype(np.int64)
-    big = size >= 65535  # longer than the entry can say: neither bound applies
+    huge = size >= _LONG  # longer than the entry can say: no bound applies
     a = np.arange(max(len(entries) - 1, 0))
     left, right = [], []
     step = 1
@@ -156,46 +228,71 @@ def match_entries(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         a = a[a + step < len(entries)]
         b = a + step
         # sizes ascend within a word: a line too long ends the search for a
-        near = (token[a] == token[b]) & ((4 * size[a] >= 3 * size[b]) | big[b])
+        near = (token[a] == token[b]) & ((4 * size[a] >= 3 * size[b]) | huge[b])
         a, b = a[near], b[near]
         total = size[a] + size[b]
-        most = 1 + np.minimum(size[a] - place[a], size[b] - place[b]) - 1
-        fits = OVERLAP * most >= SIZES * total
-        apart = np.bitwise_count(bits[a] ^ bits[b]).astype(np.int64)
-        fits &= OVERLAP * (total - apart) >= 2 * SIZES * total
-        fits |= big[b]
+        # the shared word and all behind it, at most
+        fits = OVERLAP * np.minimum(size[a] - place[a], size[b] - place[b]) >= SIZES * total
+        fits |= huge[b]
         fits &= line[a] != line[b]
-        left.append(line[a[fits]])
-        right.append(line[b[fits]])
+        a_, b_, total = a[fits], b[fits], total[fits]
+        some = (OVERLAP * (total - _differing(maps, size, a_, b_)) >= 2 * SIZES * total) | huge[b_]
+        left.append(line[a_[some]])
+        right.append(line[b_[some]])
         step += 1
     none = np.zeros(0, np.uint64)
     return np.concatenate([none, *left]), np.concatenate([none, *right])
 
 
-def _candidates(prefixes: DataFrame) -> DataFrame:
-    """(line, others): for each line the lines that it may match, packed."""
+def _candidates(entries: np.ndarray) -> list[tuple]:
+    """(line, n, others): for each line the lines that it may match, in a mixed order."""
+    a, b = match_entries(entries)
+    line, other = np.concatenate([a, b]), np.concatenate([b, a])
+    order = np.lexsort((mix(line ^ mix(other)), line))
+    line, other = line[order], other[order]
+    new = np.ones(len(line), bool)
+    new[1:] = (line[1:] != line[:-1]) | (other[1:] != other[:-1])
+    line, other = line[new], other[new].view(np.int64)
+    cuts = np.flatnonzero(np.diff(line, prepend=line[:1] ^ np.uint64(1)))
+    ends = np.append(cuts[1:], len(line))
+    keys = line[cuts].view(np.int64).tolist()
+    return [(k, int(e - s), other[s:e].tobytes()) for k, s, e in zip(keys, cuts, ends)]
+
+
+def _copies(places: np.ndarray) -> np.ndarray:
+    """The places of equal sets but the first."""
+    places = places[
+        np.lexsort((places["number"], places["doc"], places["rest"], places["set"]))
+    ]
+    new = np.ones(len(places), bool)
+    new[1:] = (places["set"][1:] != places["set"][:-1]) | (places["rest"][1:] != places["rest"][:-1])
+    first = np.flatnonzero(new)[np.cumsum(new) - 1]
+    own = (places["doc"] == places["doc"][first]) & (places["number"] == places["number"][first])
+    return places[~own]
+
+
+def _match(scanned: DataFrame) -> DataFrame:
+    """(kind, line, n, others): candidates of lines (kind 0); and lines equal to an earlier one
+    (kind 1), as document and packed numbers."""
 
     def match(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        joined = b"".join(x.as_py() for c in table.column("entries").chunks for x in c)
-        a, b = match_entries(np.frombuffer(joined, _ENTRY))
-        line, other = np.concatenate([a, b]), np.concatenate([b, a])
-        order = np.lexsort((mix(line ^ mix(other)), line))
-        line, other = line[order], other[order]
-        new = np.ones(len(line), bool)
-        new[1:] = (line[1:] != line[:-1]) | (other[1:] != other[:-1])
-        line, other = line[new], other[new]
-        cuts = np.flatnonzero(np.diff(line, prepend=line[:1] ^ np.uint64(1)))
-        ends = np.append(cuts[1:], len(line))
+        own = {0: [np.zeros(0, _ENTRY)], 1: [np.zeros(0, _PLACE)]}
+        for kind, data in zip(table.column("kind").to_pylist(), table.column("data").to_pylist()):
+            own[kind].append(_unpack(data, _ENTRY if kind == 0 else _PLACE))
+        rows = [(0, *r) for r in _candidates(np.concatenate(own[0]))]
+        gone = _copies(np.concatenate(own[1]))
+        gone = gone[np.argsort(gone["doc"], kind="stable")]
+        cuts = np.flatnonzero(np.diff(gone["doc"], prepend=gone["doc"][:1] - 1))
+        for a, b in zip(cuts, np.append(cuts[1:], len(gone))):
+            numbers = gone["number"][a:b].astype("<i8").tobytes()
+            rows.append((1, int(gone["doc"][a]), int(b - a), numbers))
+        columns = list(zip(*rows)) or [[], [], [], []]
+        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary()]
         return pa.table(
-            [
-                pa.array(line[cuts].view(np.int64)),
-                pa.array((ends - cuts).astype(np.int64)),
-                pa.array([other[s:e].tobytes() for s, e in zip(cuts, ends)], pa.binary()),
-            ],
-            names=["line", "n", "others"],
+            [pa.array(c, k) for c, k in zip(columns, kinds)], names=["kind", "line", "n", "others"]
         )
 
-    return prefixes.groupBy("part").applyInArrow(match, "line long, n long, others binary")
+    return scanned.groupBy("part").applyInArrow(match, "kind int, line long, n long, others binary")
 
 
 def _portion(candidates: DataFrame, start: int, end: int) -> DataFrame:
@@ -209,68 +306,91 @@ def _portion(candidates: DataFrame, start: int, end: int) -> DataFrame:
             ]
             a = np.repeat(lines, [len(x) for x in lists])
             b = np.concatenate([np.zeros(0, np.int64), *lists])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"]
-            )
+            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in pairs], names=["a", "b"])
 
     some = candidates.filter(F.col("n") > start).select("line", "others")
     return some.mapInArrow(take, "a long, b long").distinct()
 
 
-def _line_sets(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """(set_id, line, doc_id, number, tokens) of every line that is long enough."""
+def _filter(candidates: DataFrame) -> np.ndarray:
+    """One bit for each line that has candidates."""
+    slot_ = F.pmod("line", F.lit(FILTER_BITS))
+    words = candidates.select(
+        F.shiftright(slot_, 6).alias("word"),
+        F.expr(f"shiftleft(1L, cast(pmod(line, {FILTER_BITS}) & 63 AS INT))").alias("bit"),
+    )
+    found = np.zeros(FILTER_BITS >> 6, np.int64)
+    # at most FILTER_BITS / 64 rows
+    rows = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    found[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
+    return found.view(np.uint64)
+
+
+def _line_sets(docs: DataFrame, ranks: np.ndarray, filled: np.ndarray) -> DataFrame:
+    """(line, doc_id, number, tokens) of the lines that the filter passes."""
 
     def list_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = word_hashes()
-        for part, data in texts(batches):
-            lines = Lines(data, cache)
-            words, line = lines.sets(counts)
-            starts = np.flatnonzero(np.diff(line, prepend=-1))
-            ids = _ids(words, starts)
-            ends = [*(starts[1:] * 8).tolist(), len(words) * 8]
+        hasher = WordHasher()
+        for batch, data in texts(batches):
+            lines = Lines(data, hasher)
+            words, starts = lines.sets(ranks)
+            ids, _ = _ids(words, starts)
+            bit = ids % np.uint64(FILTER_BITS)
+            passed = filled[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))
+            some = np.flatnonzero(passed & np.uint64(1))
+            docs_ = batch.column("doc_id").to_numpy()[lines.text[some]]
+            # of equal sets of these texts the first
+            order = np.lexsort((lines.number[some], docs_, ids[some]))
+            some, docs_ = some[order], docs_[order]
+            first = np.unique(ids[some], return_index=True)[1]
+            some, docs_ = some[first], docs_[first]
+            ends = np.append(starts[1:], len(words))
             raw = words.tobytes()
-            tokens = [raw[a:b] for a, b in zip((starts * 8).tolist(), ends)]
-            keys = part.column("doc_id").take(pa.array(lines.text, pa.int64()))
-            short = np.frombuffer(b"".join(x[:8] for x in ids), np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(ids, pa.binary()),
-                    pa.array(short),
-                    keys,
-                    pa.array(lines.number, pa.int32()),
-                    pa.array(tokens, pa.binary()),
+                    pa.array(ids[some].view(np.int64)),
+                    pa.array(docs_.astype(np.int64)),
+                    pa.array(lines.number[some].astype(np.int32)),
+                    pa.array([raw[8 * starts[i] : 8 * ends[i]] for i in some], pa.binary()),
                 ],
-                names=["set_id", "line", "doc_id", "number", "tokens"],
+                names=["line", "doc_id", "number", "tokens"],
             )
 
-    schema = "set_id binary, line long, doc_id long, number int, tokens binary"
-    return docs.mapInArrow(list_lines, schema)
+    return docs.mapInArrow(list_lines, "line long, doc_id long, number int, tokens binary")
+
+
+def _linked(u: np.ndarray, v: np.ndarray) -> bool:
+    words = np.sort(np.concatenate([u, v]))
+    both = int((words[1:] == words[:-1]).sum())
+    return OVERLAP * both >= SIZES * len(words)
 
 
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(line) of the later line of each pair whose sets are similar enough."""
-
-    def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            left, right = batch.column("left").to_pylist(), batch.column("right").to_pylist()
-            for x, y in zip(left, right):
-                u, v = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                words = np.sort(np.concatenate([u, v]))
-                both = int((words[1:] == words[:-1]).sum())
-                keep.append(OVERLAP * both >= SIZES * len(words))
-            later = batch.select(["line"])
-            yield later.filter(pa.array(keep, pa.bool_()))
-
-    one = sets.select(
-        F.col("line").alias("a"), F.col("first").alias("a_first"), F.col("tokens").alias("left")
+    links = confirm_together(
+        pairs, sets.select(F.col("line").alias("node"), F.col("tokens").alias("found")), _linked
     )
-    two = sets.select(
-        F.col("line").alias("b"), F.col("first").alias("b_first"), F.col("tokens").alias("right")
-    )
-    joined = pairs.join(one, "a").join(two, "b").filter("a_first <> b_first")
+    one = sets.select(F.col("line").alias("a"), F.col("first").alias("a_first"))
+    two = sets.select(F.col("line").alias("b"), F.col("first").alias("b_first"))
+    joined = links.join(one, "a").join(two, "b").filter("a_first <> b_first")
     later = F.when(F.col("a_first") > F.col("b_first"), F.col("a")).otherwise(F.col("b"))
-    return joined.select(later.alias("line"), "left", "right").mapInArrow(check, "line long")
+    return joined.select(later.alias("line"))
+
+
+def _numbers(copies: DataFrame) -> DataFrame:
+    """(doc_id, number) of packed numbers."""
+
+    def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            numbers = [np.frombuffer(x, np.int64) for x in batch.column("others").to_pylist()]
+            docs = np.repeat(batch.column("line").to_numpy(), [len(x) for x in numbers])
+            joined = np.concatenate([np.zeros(0, np.int64), *numbers]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(docs), pa.array(joined)], names=["doc_id", "number"]
+            )
+
+    return copies.select("line", "others").mapInArrow(split, "doc_id long, number int")
 
 
 def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -281,27 +401,23 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     doc_id, then number. Every line is compared with all of the input, also with those that go
     themselves. Lines with fewer than five words match nothing. Null texts have no lines; rows
     with a null id take no part. Lines of one number in rows that share an id count as one place,
-    so none of them is earlier than the other.
+    so none of them is earlier than the other. An empty table gives no rows.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = rows.filter("doc_id is not null and text is not null")
-    counts = word_counts(rows)
-    prefixes = _prefixes(rows, counts, 4 * shuffle_width(docs.sparkSession))
-    candidates = cut_lineage(_candidates(prefixes))
-    listed = _line_sets(rows, counts)
-    place = F.struct("doc_id", "number")
-    light = listed.select("set_id", "doc_id", "number")
-    firsts = light.groupBy("set_id").agg(F.min(place).alias("first"))
-    copies = light.join(firsts, "set_id").filter(place > F.col("first")).select("doc_id", "number")
-    wanted = candidates.select("line").distinct()
-    sets = listed.join(wanted, "line", "left_semi").groupBy("line").agg(
-        F.min(F.struct("doc_id", "number", "tokens")).alias("of")
-    )
-    sets = sets.select(
+    ranks = word_ranks(rows)
+    matched_parts = cut_lineage(_match(_scan(rows, ranks, shuffle_width(docs.sparkSession))))
+    copies = _numbers(matched_parts.filter("kind = 1"))
+    candidates = matched_parts.filter("kind = 0").drop("kind")
+    longest = candidates.agg(F.max("n")).first()[0] or 0
+    if not longest:
+        return copies
+    listed = _line_sets(rows, ranks, _filter(candidates))
+    sets = listed.groupBy("line").agg(F.min(F.struct("doc_id", "number", "tokens")).alias("of"))
+    sets = sets.join(candidates.select("line").distinct(), "line", "left_semi").select(
         "line", F.struct("of.doc_id", "of.number").alias("first"), F.col("of.tokens").alias("tokens")
     )
     sets = cut_lineage(sets)
-    longest = candidates.agg(F.max("n")).first()[0] or 0
     matched, open_ = None, candidates
     start, end = 0, FIRST_PORTION
     while start < longest:
@@ -309,8 +425,6 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         matched = cut_lineage(found if matched is None else matched.unionAll(found).distinct())
         open_ = candidates.filter(F.col("n") > end).join(matched, "line", "left_anti")
         start, end = end, end * GROWTH
-    if matched is None:
-        return copies
     near = sets.join(matched, "line", "left_semi").select("first.doc_id", "first.number")
     return copies.unionAll(near)
 
@@ -318,11 +432,11 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 def line_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_lines, n_removed and removed (sorted numbers of the
     lines that go). A null text has no lines, an empty one has one."""
+    lines = F.size(F.split(text, "\n", -1)).cast("long")
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"),
-        F.coalesce(F.size(F.split(text, "\n", -1)), F.lit(0)).cast("long").alias("n_lines"),
+        F.when(F.col(text).isNull(), 0).otherwise(lines).cast("long").alias("n_lines"),
     )
-    rows = rows.withColumn("n_lines", F.when(F.col("n_lines") < 0, 0).otherwise(F.col("n_lines")))
     gone = _by_document(repeated_lines(docs, doc_id, text))
     joined = rows.join(gone, rows.doc_id == gone.gone_id, "left")
     removed = F.coalesce("removed", F.array().cast("array<int>"))
@@ -351,11 +465,9 @@ def drop_repeated_lines(
     lines = F.split(text, "\n", -1)
     kept = F.filter(lines, lambda line, i: ~F.array_contains("_removed", i))
     new = F.when(F.col("_removed").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
-    out = joined.withColumn(text, new)
+    changed = {text: new}
     if size in docs.columns:
         kind = docs.schema[size].dataType
-        changed = F.length(text).cast(kind if isinstance(kind, T.NumericType) else "long")
-        out = out.withColumn(
-            size, F.when(F.col("_removed").isNull(), F.col(size)).otherwise(changed)
-        )
-    return out.select(*docs.columns)
+        length = F.length(new).cast(kind if isinstance(kind, T.NumericType) else "long")
+        changed[size] = F.when(F.col("_removed").isNull(), F.col(size)).otherwise(length)
+    return joined.withColumns(changed).select(*docs.columns)

@@ -3,9 +3,9 @@
 The hashes of a text's word shingles fall into bins, each bin keeps its least hash, and an empty
 bin takes over that of a bin chosen by a fixed random order (the same for all texts). Bands of
 bins are buckets. In each bucket one text is the centre of a star, and only the star's edges are
-candidates; they are confirmed on the full shingle sets. Where a bucket then still holds several
-components, pairs between them that agree in enough bins are confirmed too, so that stars
-lose no link. Texts with equal sets are one node.
+candidates; they are confirmed on the full shingle sets. Buckets that still hold several
+components get another centre in the next round. Where several components are left after the last,
+pairs between them whose bins (one bit of each is kept) agree enough are confirmed too, so that stars lose no link. Texts with equal sets are one node.
 """
 
 from __future__ import annotations
@@ -18,17 +18,26 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattframe.llm.blocks import deal_blocks, runs
-from wattframe.llm.common import cut_lineage, free_name, hashed, mix, shingle_set, texts, word_hashes
+from wattframe.llm.blocks import confirm_together, deal_blocks, runs
+from wattframe.llm.common import (
+    WordHasher,
+    cut_lineage,
+    free_name,
+    mix,
+    shingle_set,
+    texts,
+)
 from wattframe.llm.graph import components
 
 SHINGLE, PERCENT = 5, 75
-BINS = 256
+BINS = 2048
 BANDS, ROWS = 32, 4
-#: Bins that must agree for a pair between components to be confirmed on its full sets: 4.5
-#: standard errors below the similarity of links.
-LEAST_AGREEING = 0.63
+#: Estimated similarity from which a pair between components is confirmed on its full sets: 4.5
+#: standard errors of the estimate below that of links. A bin agrees by chance in half of the cases.
+LEAST_ESTIMATE = 0.684
 _PROBES = 48
+#: Rounds of stars before pairs between components are looked at.
+STAR_ROUNDS = 2
 
 
 def _probes() -> np.ndarray:
@@ -43,7 +52,7 @@ PROBES = _probes()
 
 def bin_minima(found: np.ndarray) -> np.ndarray:
     """The least hash of each bin, from sorted distinct hashes; empty bins are filled."""
-    bins = (found >> np.uint64(56)).astype(np.int64)
+    bins = (found >> np.uint64(53)).astype(np.int64)
     first = np.flatnonzero(np.diff(bins, prepend=-1))
     filled = np.zeros(BINS, bool)
     filled[bins[first]] = True
@@ -76,11 +85,11 @@ def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     a text has no words."""
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = word_hashes()
+        hasher = WordHasher()
         for part, data in texts(batches):
             counts, sets, bands, bins = [], [], [], []
-            for x in data:
-                found = shingle_set(hashed((x or b"").lower().split(), cache), SHINGLE)
+            for words in hasher.by_text(data):
+                found = shingle_set(words, SHINGLE)
                 counts.append(len(found))
                 if not len(found):
                     sets.append(None), bands.append(None), bins.append(None)
@@ -88,7 +97,7 @@ def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
                 minima = bin_minima(found)
                 sets.append(xxhash.xxh3_128_digest(found.tobytes()))
                 bands.append(band_keys(minima))
-                bins.append((mix(minima) & np.uint64(255)).astype(np.uint8).tobytes())
+                bins.append(np.packbits((mix(minima) & np.uint64(1)).astype(np.uint8)).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
@@ -111,12 +120,9 @@ def _sets(docs: DataFrame, nodes: DataFrame, doc_id: str, text: str) -> DataFram
     rows = docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).alias("text"))
 
     def shingle(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = word_hashes()
+        hasher = WordHasher()
         for part, data in texts(batches):
-            sets = [
-                shingle_set(hashed((x or b"").lower().split(), cache), SHINGLE).tobytes()
-                for x in data
-            ]
+            sets = [shingle_set(x, SHINGLE).tobytes() for x in hasher.by_text(data)]
             yield pa.RecordBatch.from_arrays(
                 [part.column("node"), pa.array(sets, pa.binary())], names=["node", "found"]
             )
@@ -124,28 +130,44 @@ def _sets(docs: DataFrame, nodes: DataFrame, doc_id: str, text: str) -> DataFram
     return rows.join(nodes, "node", "left_semi").mapInArrow(shingle, "node long, found binary")
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The (a, b) of ``pairs`` whose sets reach the similarity."""
+def _linked(u: np.ndarray, v: np.ndarray) -> bool:
+    both = len(np.intersect1d(u, v, assume_unique=True))
+    return 100 * both >= PERCENT * (len(u) + len(v) - both)
 
-    def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = batch.column("left").to_pylist(), batch.column("right").to_pylist()
-            keep = []
-            for x, y in zip(left, right):
-                u, v = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(u, v, assume_unique=True))
-                keep.append(100 * both >= PERCENT * (len(u) + len(v) - both))
-            ids = batch.select(["a", "b"])
-            yield ids.filter(pa.array(keep, pa.bool_()))
 
-    left = sets.select(F.col("node").alias("a"), F.col("found").alias("left"))
-    right = sets.select(F.col("node").alias("b"), F.col("found").alias("right"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return joined.mapInArrow(check, "a long, b long")
+def _stars(members: DataFrame, turn: int) -> DataFrame:
+    """(a, b): one centre of each bucket, another in each turn, with the members of other
+    components."""
+    order = F.struct(F.xxhash64("node", "bucket", F.lit(turn)), "node", "component")
+    centres = members.groupBy("bucket").agg(F.min(order).alias("centre"))
+    edges = members.join(centres, "bucket").filter("component <> centre.component")
+    centre = F.col("centre.node")
+    return edges.select(
+        F.least("node", centre).alias("a"), F.greatest("node", centre).alias("b")
+    ).distinct()
+
+
+def _joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components of the nodes that have links, with further links."""
+    if labels is not None:
+        old = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        links = old.unionAll(links)
+    return components(links)
+
+
+def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members with their component, of the buckets that hold several components."""
+    labelled = members.join(labels, "node", "left").select(
+        "bucket", "node", F.coalesce("component", "node").alias("component")
+    )
+    mixed = labelled.groupBy("bucket").agg(
+        F.min("component").alias("least"), F.max("component").alias("most")
+    )
+    return labelled.join(mixed.filter("least <> most").select("bucket"), "bucket", "left_semi")
 
 
 def _between(members: DataFrame) -> DataFrame:
-    """Pairs of one bucket in different components that agree in enough bins.
+    """Pairs of one bucket in different components whose bins agree enough.
 
     A pair that shares several buckets comes from the first."""
 
@@ -163,7 +185,7 @@ def _between(members: DataFrame) -> DataFrame:
             flat = group.column("bands").combine_chunks().flatten()
             bands = flat.to_numpy(zero_copy_only=False).reshape(n, -1)
             joined = b"".join(group.column("bins").to_pylist())
-            bins = np.frombuffer(joined, np.uint8).reshape(n, -1)
+            bins = np.frombuffer(joined, np.uint64).reshape(n, -1)
             a, b = [], []
             for i in range(n - 1):
                 j = np.arange(i + 1, n)
@@ -176,7 +198,8 @@ def _between(members: DataFrame) -> DataFrame:
                     continue
                 shared = bands[j] == bands[i]
                 j = j[bands[i][shared.argmax(axis=1)] == bucket]
-                j = j[(bins[j] == bins[i]).mean(axis=1) >= LEAST_AGREEING]
+                apart = np.bitwise_count(bins[j] ^ bins[i]).sum(axis=1, dtype=np.int64)
+                j = j[1 - 2 * apart / BINS >= LEAST_ESTIMATE]
                 a.append(np.full(len(j), node[i]))
                 b.append(node[j])
             if a:
@@ -205,30 +228,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     nodes = known.join(firsts, "set_id").filter("doc_id = node")
     nodes = cut_lineage(nodes.select("node", "n_shingles", "bands", "bins"))
     placed = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = placed.groupBy("bucket").agg(
-        F.min("node").alias("least"),
-        F.max("node").alias("most"),
-        # another centre in each band, so that a text meets several
-        F.min(F.struct(F.xxhash64("node", "bucket"), "node"))["node"].alias("centre"),
-    )
-    shared = shared.filter("least <> most").select("bucket", "centre")
-    members = cut_lineage(placed.join(shared, "bucket").select("bucket", "node", "centre"))
+    shared = placed.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"))
+    shared = shared.filter("least <> most").select("bucket")
+    members = cut_lineage(placed.join(shared, "bucket").select("bucket", "node"))
     sets = cut_lineage(_sets(docs, members.select("node").distinct(), doc_id, text))
-    stars = members.filter("node <> centre").select(
-        F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")
-    )
-    links = cut_lineage(_confirm(stars.distinct(), sets))
-    labels = components(links)
-    labelled = members.join(labels, "node", "left").select(
-        "bucket", "node", F.coalesce("component", "node").alias("component")
-    )
-    mixed = labelled.groupBy("bucket").agg(
-        F.min("component").alias("least"), F.max("component").alias("most")
-    )
-    mixed = mixed.filter("least <> most").select("bucket")
-    open_ = labelled.join(mixed, "bucket", "left_semi").join(nodes, "node")
-    more = _confirm(_between(open_), sets)
-    labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more))
+    labels, open_ = None, members.withColumn("component", F.col("node"))
+    for turn in range(STAR_ROUNDS):
+        links = confirm_together(_stars(open_, turn), sets, _linked)
+        labels = _joined(labels, links)
+        open_ = cut_lineage(_mixed(members if turn == 0 else open_.select("bucket", "node"), labels))
+    more = confirm_together(_between(open_.join(nodes, "node")), sets, _linked)
+    labels = _joined(labels, more)
     by_set = firsts.join(labels, "node", "left").select(
         "set_id", F.coalesce("component", "node").alias("component_id")
     )
