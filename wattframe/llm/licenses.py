@@ -59,21 +59,26 @@ def canonical(text: Column) -> Column:
     A null stays null; a text without words becomes empty.
     """
     words = F.regexp_replace(text, COPYRIGHT_LINE, " ")
-    words = F.regexp_replace(F.lower(words), r"[^\p{L}\p{N}]+", " ")
-    words = F.trim(words)
-    spelled = F.lit(False)
-    for old in SPELLINGS:
-        spelled = spelled | F.contains(words, F.lit(old))
-    changed = words
-    for old, new in SPELLINGS.items():
-        changed = F.regexp_replace(changed, rf"\b{old}\b", new)
-    return F.when(spelled, changed).otherwise(words)
+    words = F.trim(F.regexp_replace(F.lower(words), r"[^\p{L}\p{N}]+", " "))
+
+    def spelled(form: Column) -> Column:
+        found, changed = F.lit(False), form
+        for old, new in SPELLINGS.items():
+            found = found | F.contains(form, F.lit(old))
+            changed = F.regexp_replace(changed, rf"\b{old}\b", new)
+        return F.when(found, changed).otherwise(form)
+
+    return _once(words, spelled)
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)``, with the value computed once however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def canonical_digest(text: Column) -> Column:
     """SHA-256 of the canonical form; null where that is empty."""
-    form = canonical(text)
-    return F.when(form != "", F.sha2(form.cast("binary"), 256))
+    return _once(canonical(text), lambda form: F.when(form != "", F.sha2(form.cast("binary"), 256)))
 
 
 def known_table(spark: SparkSession, known=KNOWN) -> DataFrame:
