@@ -383,7 +383,7 @@ QUERIES: dict[str, Query] = {
     "ingest_windows_monthly": _windows(MONTHLY),
     "page_ingest": _page_ingest,
     "reconcile_counts": lambda spark, d: portable(
-        reconcile(pages(spark, d, GENERATION), "extract_date")
+        reconcile(pages(spark, d, GENERATION, lossy=True), "extract_date")
     ),
     "union_pages": _union_pages,
     "normalize_feed_columns": _normalize_feed,

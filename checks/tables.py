@@ -132,11 +132,11 @@ def balancing_authorities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def envelopes(spark: SparkSession, sf_dir: str, feed: Feed) -> DataFrame:
-    """Pages as JSON text (``body``), with the day of their extract."""
-    events = landing(spark, sf_dir, feed).withColumn(
-        "lost", F.col(feed.parties[1].raw_name) == "error"
-    )
+def envelopes(spark: SparkSession, sf_dir: str, feed: Feed, lossy: bool = False) -> DataFrame:
+    """Pages as JSON text (``body``), with the day of their extract. ``lossy`` pages of errors
+    came without their rows."""
+    lost = F.col(feed.parties[1].raw_name) == "error" if lossy else F.lit(False)
+    events = landing(spark, sf_dir, feed).withColumn("lost", lost)
     declared = events.groupBy("partition_date").agg(F.count(F.lit(1)).alias("total"))
     names = ["period"]
     for p in feed.parties:
@@ -151,10 +151,10 @@ def envelopes(spark: SparkSession, sf_dir: str, feed: Feed) -> DataFrame:
     )
 
 
-def pages(spark: SparkSession, sf_dir: str, feed: Feed) -> DataFrame:
+def pages(spark: SparkSession, sf_dir: str, feed: Feed, lossy: bool = False) -> DataFrame:
     """Pages parsed with the page schema, as page files are."""
     parsed = F.from_json("body", page_schema(feed)).alias("page")
-    return envelopes(spark, sf_dir, feed).select("extract_date", parsed).select(
+    return envelopes(spark, sf_dir, feed, lossy).select("extract_date", parsed).select(
         "extract_date", "page.*"
     )
 

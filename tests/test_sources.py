@@ -310,3 +310,26 @@ def test_page_rows_of_a_lost_page(spark, tmp_path):
     (tmp_path / "p.json").write_text('{"response": {"total": 0}}')
     pages = read_pages(spark, str(tmp_path / "p.json"), FEED)
     assert page_rows(pages).count() == 0 and reconcile(pages).first()["actual_rows"] == 0
+
+
+def test_incomplete_deliveries_are_refused(spark, tmp_path):
+    """An error page, an absent total and no page at all are no empty extracts."""
+    bodies = {
+        "error": '{"error": "too many requests", "code": 429}',
+        "no_total": '{"response": {"data": []}}',
+    }
+    for name, body in bodies.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "1.json").write_text(body)
+        with pytest.raises(TotalMismatch):
+            checked_rows(read_pages(spark, str(tmp_path / name), FEED), STAMP)
+    none = read_pages(spark, str(tmp_path / "error"), FEED).filter("false")
+    with pytest.raises(TotalMismatch):
+        checked_rows(none, STAMP)
+
+
+def test_extract_without_its_columns_is_refused(spark):
+    for column in ("value", "period"):
+        rows = spark.createDataFrame([], FEED.landing_schema).drop(column)
+        with pytest.raises(ValueError, match=column):
+            conform(rows, FEED)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import argparse
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import SparkSession
 
@@ -25,9 +25,12 @@ def parser() -> argparse.ArgumentParser:
     for name, text in (("daily", "land one day"), ("monthly", "land one month")):
         land = job.add_parser(name, help=text)
         land.add_argument("--date", type=date.fromisoformat, required=True)
-        land.add_argument("--today", type=date.fromisoformat, default=None)
+        if name == "daily":
+            land.add_argument("--today", type=date.fromisoformat, default=None)
         land.add_argument("--ingestion-time", default=None, help="default: now")
-        land.add_argument("--window-days", type=int, default=WINDOW_DAYS)
+        if name == "daily":
+            land.add_argument("--window-days", type=int, default=WINDOW_DAYS)
+            land.add_argument("--window-only", action="store_true", help="rebuild only the window")
         for feed in FEEDS:
             land.add_argument(f"--{feed.replace('_', '-')}", dest=feed, help="page files")
 
@@ -57,11 +60,14 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "run":
         run(house, args.as_of, args.mode, args.window_days, args.merge_days, not args.window_only)
     else:
-        stamp = args.ingestion_time or datetime.now()
+        stamp = args.ingestion_time or datetime.now(timezone.utc).replace(tzinfo=None)
         if args.job == "monthly":
             jobs.monthly(house, args.date, given, stamp)
         else:
-            jobs.daily(house, args.date, args.today or date.today(), given, stamp, args.window_days)
+            today = args.today or date.today()
+            jobs.daily(
+                house, args.date, today, given, stamp, args.window_days, not args.window_only
+            )
 
 
 if __name__ == "__main__":

@@ -50,13 +50,17 @@ def daily(
     pages: dict[str, str],
     ingestion_time: datetime | str,
     window_days: int = WINDOW_DAYS,
+    rebuild_all: bool = True,
 ) -> dict[str, DataFrame] | None:
-    """Land one day's pages, given per feed. Only a run dated today also transforms."""
+    """Land one day's pages, given per feed. Only a run dated today also transforms.
+
+    ``rebuild_all=False`` rebuilds only what the window changed, see :func:`run`.
+    """
     for name, path in pages.items():
         feed = FEEDS[name]
         ingest(warehouse, feed, path, logical_date - timedelta(days=feed.lag_days), ingestion_time)
     if mode_for(logical_date, today) == REFRESH:
-        return run(warehouse, today, REFRESH, window_days)
+        return run(warehouse, today, REFRESH, window_days, rebuild_all=rebuild_all)
     return None
 
 

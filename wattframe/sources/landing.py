@@ -24,9 +24,14 @@ def conform(rows: DataFrame, feed: Feed) -> DataFrame:
     """Rows cast to the declared landing schema.
 
     Extracts disagree about types, and Spark does not read one directory of mixed
-    physical types, so types are fixed here, before rows reach the table.
+    physical types, so types are fixed here, before rows reach the table. Rows without a
+    column that readings need, or without a measure, are refused: as NULLs they would
+    be dropped or count as zeros. Display names may be missing; unknown columns are dropped.
     """
     present = set(rows.columns)
+    absent = [c for c in (*feed.required, "value") if c not in present]
+    if absent:
+        raise ValueError(f"{feed.name} extract lacks {', '.join(absent)}")
     return rows.select(
         *(
             (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)

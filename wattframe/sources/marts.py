@@ -38,6 +38,14 @@ MART_SCHEMAS = {
 }
 
 
+def _date(mart: DataFrame):
+    """The mart's date: typed dates and times are cast, text is parsed."""
+    kind = dict(mart.dtypes).get("recorded_date", "string")
+    if kind == "date" or kind.startswith("timestamp"):
+        return F.col("recorded_date").cast("date")
+    return date_from_text(F.col("recorded_date"))
+
+
 def coerce_mart(mart: DataFrame) -> DataFrame:
     """Display types: unreadable numbers and dates become NULL, a missing energy type
     ``Unknown``. Columns the mart does not have are skipped."""
@@ -46,7 +54,7 @@ def coerce_mart(mart: DataFrame) -> DataFrame:
         "year": F.col("year").try_cast("double").try_cast("bigint"),
         "energy_type": F.coalesce(F.col("energy_type").cast("string"), F.lit("Unknown")),
         "fuel": F.col("fuel").cast("string"),
-        "recorded_date": date_from_text(F.col("recorded_date")),
+        "recorded_date": _date(mart),
         "interchange": F.col("interchange").try_cast("double"),
     }
     return mart.withColumns({c: rule for c, rule in rules.items() if c in mart.columns})
@@ -59,7 +67,9 @@ def read_mart(spark: SparkSession, name: str, csv_path: str) -> tuple[DataFrame,
     """
     try:
         return coerce_mart(spark.table(name)), "table"
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() not in ("TABLE_OR_VIEW_NOT_FOUND", "SCHEMA_NOT_FOUND"):
+            raise
         fallback = spark.read.schema(MART_SCHEMAS[name]).csv(
             csv_path, header=True, enforceSchema=False, escape='"'
         )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,17 +64,22 @@ def union_pages(*pages: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pages)
 
 
+def _totals(grouped: GroupedData, further: dict[str, str] | None = None) -> DataFrame:
+    n_rows = F.coalesce(F.array_size("response.data"), F.lit(0))
+    return grouped.agg(
+        F.max(F.col("response.total").cast("bigint")).alias("declared_rows"),
+        F.sum(n_rows).cast("bigint").alias("actual_rows"),
+        *(F.expr(count).alias(name) for name, count in (further or {}).items()),
+    ).withColumn("matches", F.col("declared_rows") == F.col("actual_rows"))
+
+
+#: What an extract's pages are counted for beside their rows.
+_COUNTS = {"pages": "count(1)", "without_response": "count_if(response IS NULL)"}
+
+
 def reconcile(pages: DataFrame, *by: str) -> DataFrame:
     """Declared and actual row counts, per extract when ``by`` names its columns."""
-    n_rows = F.coalesce(F.array_size("response.data"), F.lit(0))
-    return (
-        pages.groupBy(*by)
-        .agg(
-            F.max(F.col("response.total").cast("bigint")).alias("declared_rows"),
-            F.sum(n_rows).cast("bigint").alias("actual_rows"),
-        )
-        .withColumn("matches", F.col("declared_rows") == F.col("actual_rows"))
-    )
+    return _totals(pages.groupBy(*by))
 
 
 def stamp(rows: DataFrame, ingestion_time: datetime | str) -> DataFrame:
@@ -92,9 +97,16 @@ def checked_rows(pages: DataFrame, ingestion_time: datetime | str) -> DataFrame
     """Stamped rows of one extract, or None if it declares no rows.
 
     Runs one job to compare the totals and raises :class:`TotalMismatch` before anything
-    can be written.
+    can be written. No page at all, a page without a response (an error message) and pages
+    that declare no total are mismatches too, not empty extracts.
     """
-    totals = reconcile(pages).first()
+    totals = _totals(pages.groupBy(), _COUNTS).first()
+    if not totals["pages"] or totals["without_response"]:
+        raise TotalMismatch(
+            f"{totals['without_response']} of {totals['pages']} pages have no response"
+        )
+    if totals["declared_rows"] is None:
+        raise TotalMismatch("no page declares a total")
     if not totals["declared_rows"] and not totals["actual_rows"]:
         return None
     if not totals["matches"]:
