@@ -8,7 +8,6 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +16,7 @@ from wattframe.checkpoints import cut_lineage, ensure_checkpoint_dir
 __all__ = ["cut_lineage", "ensure_checkpoint_dir"]
 
 #: Entries after which a cache of words is emptied; it bounds a worker's memory.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 150_000
 #: Bytes of text that a task looks at together.
 SLICE_BYTES = 1 << 20
 MASK = (1 << 64) - 1
@@ -83,11 +82,6 @@ class WordHasher:
         return np.split(hashes, np.searchsorted(starts, ends[:-1])) if found else []
 
 
-def word_hashes() -> Cached:
-    """64-bit hash of a word."""
-    return Cached(xxhash.xxh3_64_intdigest)
-
-
 def hashed(words: list[bytes], cache: Cached) -> np.ndarray:
     return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
 

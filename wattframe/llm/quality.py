@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattframe.llm.common import Cached, free_name, hashed, mix, texts, word_hashes
+from wattframe.llm.common import Cached, WordHasher, free_name, hashed, mix, texts
 from wattframe.llm.labelled import labelled_sample
 
 #: Hashed terms, latent dimensions and voting neighbours.
@@ -47,7 +47,7 @@ class Terms:
     """Counts terms of texts; keeps what it learned about words."""
 
     def __init__(self):
-        self.shapes, self.hashes = Cached(shape), word_hashes()
+        self.shapes, self.hasher = Cached(shape), WordHasher()
 
     def __call__(self, data: bytes | None) -> tuple[np.ndarray, np.ndarray]:
         """Term numbers and square roots of their shares."""
@@ -55,7 +55,7 @@ class Terms:
         if not words:
             return np.zeros(0, np.int64), np.zeros(0, np.float32)
         shapes = hashed(words, self.shapes)
-        same = hashed(words, self.hashes)
+        _, same = self.hasher(data)
         shapes[1:][same[1:] == same[:-1]] = np.uint64(1)
         pairs = mix(shapes[:-1] * np.uint64(31) + shapes[1:])
         terms = np.concatenate([mix(shapes), pairs]) % np.uint64(TERMS)
