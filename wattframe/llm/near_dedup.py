@@ -36,8 +36,8 @@ BANDS, ROWS = 32, 4
 #: standard errors of the estimate below that of links. A bin agrees by chance in half of the cases.
 LEAST_ESTIMATE = 0.684
 _PROBES = 48
-#: Rounds of stars before pairs between components are looked at.
-STAR_ROUNDS = 2
+#: Rounds of stars, each with other centres, before pairs between components are looked at.
+STAR_ROUNDS = 1
 
 
 def _probes() -> np.ndarray:
