@@ -219,17 +219,22 @@ def test_near_duplicates(docs):
     assert near_dedup.near_duplicates(empty(docs)).count() == 0
 
 
-def test_lines(docs):
+def repeated(docs):
+    """The (doc_id, number) of lines that match an earlier one, by comparing all."""
     lines = []
     for i, t in sorted({x for x in texts(docs) if None not in x}):
         for j, line in enumerate(t.split("\n")):
             if len(words_of(line)) >= 5:
                 lines.append((i, j, set(words_of(line))))
-    gone = {
+    return {
         (i, j)
         for n, (i, j, s) in enumerate(lines)
         if any(4 * len(s & e) >= 3 * len(s | e) for _, _, e in lines[:n])
     }
+
+
+def test_lines(docs):
+    gone = repeated(docs)
     report = line_dedup.line_report(docs).collect()
     assert len(report) == docs.count()
     assert {(r.doc_id, n) for r in report for n in r.removed} == gone
@@ -238,6 +243,36 @@ def test_lines(docs):
     assert line_dedup.line_report(empty(docs)).count() == 0
 
 
+def test_lines_joined_again(spark, monkeypatch):
+    """A group of lines around the threshold, of which a join lists one candidate at first."""
+    monkeypatch.setattr(line_dedup, "LISTED", 1)
+    monkeypatch.setattr(line_dedup, "LISTED_GROWTH", 6)
+    pick = random.Random(5)
+    base = [f"w{i}" for i in range(14)]
+    rows = []
+    for i in range(60):
+        line = list(base)
+        for at in pick.sample(range(14), 3):
+            line[at] = f"v{pick.randint(0, 5)}"
+        rows.append((i, " ".join(line)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    gone = repeated(docs)
+    assert 0 < len(gone) < 59
+    assert {tuple(r) for r in line_dedup.repeated_lines(docs).collect()} == gone
+    assert line_dedup.repeated_lines(docs).count() == len(gone)
+
+
+def test_listed_in_parts():
+    draw = np.random.default_rng(1)
+    line, other = draw.integers(0, 9, 900).astype("u8"), draw.integers(0, 90, 900).astype("u8")
+    whole = line_dedup.listed(line, other, 7)
+    first = line_dedup.listed(line[:500], other[:500], 7)
+    parts = [np.concatenate(x) for x in zip(first, (line[500:], other[500:]))]
+    for x, y in zip(whole, line_dedup.listed(*parts, 7)):
+        assert (x == y).all()
+    assert set(zip(*line_dedup.listed(line, other, 999))) == set(zip(line, other))
+
+
 def test_repeated_bytes(docs):
     known = {i: (t or "").encode() for i, t in texts(docs) if i is not None}
     first = {}

@@ -4,8 +4,10 @@ A line is the set of its words, ordered by rarity in the corpus. Lines whose sim
 the threshold share a word in their prefixes, so these words bring candidates together;
 the lengths, the places of the shared word and a small bit map of each set then bound the
 overlap from above. What is left is verified on the whole sets. Of lines with equal
-sets only the first is joined, and a line needs one earlier match to go: candidates are
-verified in growing portions until each line has a match or no candidate is left.
+sets only the first is joined, and a line needs one earlier match to go: the join lists for each line
+some of its earlier candidates in a mixed order, which are verified in growing portions. Lines
+that have neither a match nor seen all their candidates are joined again, for the next ones, until
+none is left. So no task or table ever holds all pairs of a group.
 """
 
 from __future__ import annotations
@@ -33,12 +35,25 @@ COUNT_SLOTS = 1 << 16
 FILTER_BITS = 1 << 26
 #: Candidates of a line that are verified first; each further portion is so many times larger.
 FIRST_PORTION, GROWTH = 2, 8
+#: Candidates of a line and part that the first join lists; each further join lists so many times
+#: more.
+LISTED, LISTED_GROWTH = 16, 64
+#: Pairs that a task holds beyond those it lists.
+HELD_PAIRS = 1 << 21
 _LONG = 65535
 #: Lines of up to so many words have a bit map of 64 or 128 bits, longer ones of 256.
 _SMALL, _MIDDLE = 56, 112
 _MAPS = ("map0", "map1", "map2", "map3")
 _ENTRY = np.dtype(
-    [("token", "<u8"), ("line", "<u8"), *((m, "<u8") for m in _MAPS), ("size", "<u2"), ("place", "u1")]
+    [
+        ("token", "<u8"),
+        ("line", "<u8"),
+        *((m, "<u8") for m in _MAPS),
+        ("doc", "<i8"),
+        ("number", "<u4"),
+        ("size", "<u2"),
+        ("place", "u1"),
+    ]
 )
 _PLACE = np.dtype([("set", "<u8"), ("rest", "<u8"), ("doc", "<i8"), ("number", "<u4")])
 
@@ -156,7 +171,8 @@ def _scan(docs: DataFrame, ranks: np.ndarray, parts: int) -> DataFrame:
             places["doc"] = batch.column("doc_id").to_numpy()[lines.text]
             # equal sets of these texts count once
             chosen = np.zeros(lines.n, bool)
-            chosen[np.unique(ids, return_index=True)[1]] = True
+            early = np.lexsort((places["number"], places["doc"], ids))
+            chosen[early[np.unique(ids[early], return_index=True)[1]]] = True
             place = np.arange(len(words)) - np.repeat(starts, sizes)
             prefix = np.where(chosen, sizes - (3 * sizes + 3) // 4 + 1, 0)
             keep = place < np.repeat(prefix, sizes)
@@ -166,6 +182,7 @@ def _scan(docs: DataFrame, ranks: np.ndarray, parts: int) -> DataFrame:
             entries["token"], entries["line"] = words[keep], ids[which]
             for name, bits in zip(_MAPS, maps):
                 entries[name] = bits[which]
+            entries["doc"], entries["number"] = places["doc"][which], places["number"][which]
             entries["size"] = np.minimum(sizes, _LONG)[which]
             entries["place"] = np.minimum(place[keep], 255)
             rows = deal((mix(entries["token"]) % np.uint64(parts)).astype(np.int64), 0, entries)
@@ -204,25 +221,45 @@ def _differing(maps: list[np.ndarray], size: np.ndarray, a: np.ndarray, b: np.nd
     return apart
 
 
-def match_entries(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of lines that share a prefix word and may overlap enough."""
+def listed(line: np.ndarray, other: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``end`` different others of each line in a mixed order that all tasks share."""
+    order = np.lexsort((other, mix(line ^ mix(other)), line))
+    line, other = line[order], other[order]
+    new = np.ones(len(line), bool)
+    new[1:] = (line[1:] != line[:-1]) | (other[1:] != other[:-1])
+    line, other = line[new], other[new]
+    cuts = np.flatnonzero(np.diff(line, prepend=line[:1] ^ np.uint64(1)))
+    place = np.arange(len(line)) - np.repeat(cuts, np.diff(np.append(cuts, len(line))))
+    return line[place < end], other[place < end]
+
+
+def match_entries(
+    entries: np.ndarray, end: int, asked: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Lines with earlier lines that share a prefix word and may overlap enough: the first ``end``
+    of each line that the filter ``asked`` passes."""
     entries = entries[np.argsort(entries["token"])]
     edge = np.append(np.flatnonzero(np.diff(entries["token"])) + 1, len(entries))
     # words of one line say nothing
     single = np.diff(edge, prepend=0) == 1
     entries = entries[~np.repeat(single, np.diff(edge, prepend=0))]
-    entries = entries[np.lexsort((entries["line"], entries["size"], entries["token"]))]
+    by = ("number", "doc", "line", "size", "token")
+    entries = entries[np.lexsort([entries[n] for n in by])]
     same = np.ones(len(entries), bool)
     for name in ("token", "line"):
         same[1:] &= entries[name][1:] == entries[name][:-1]
     same[:1] = False
-    entries = entries[~same]
-    token, line = (np.ascontiguousarray(entries[n]) for n in ("token", "line"))
+    entries = entries[~same]  # of equal lines the first stays
+    token, line, doc, number = (
+        np.ascontiguousarray(entries[n]) for n in ("token", "line", "doc", "number")
+    )
     maps = [np.ascontiguousarray(entries[n]) for n in _MAPS]
     size, place = entries["size"].astype(np.int64), entries["place"].astype(np.int64)
     huge = size >= _LONG  # longer than the entry can say: no bound applies
+    wanted = np.ones(len(line), bool) if asked is None else passes(asked, line)
     a = np.arange(max(len(entries) - 1, 0))
-    left, right = [], []
+    none = np.zeros(0, np.uint64)
+    left, right, held, most = [none], [none], 0, HELD_PAIRS
     step = 1
     while len(a):
         a = a[a + step < len(entries)]
@@ -234,29 +271,37 @@ def match_entries(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         # the shared word and all behind it, at most
         fits = OVERLAP * np.minimum(size[a] - place[a], size[b] - place[b]) >= SIZES * total
         fits |= huge[b]
-        fits &= line[a] != line[b]
-        a_, b_, total = a[fits], b[fits], total[fits]
+        later = (doc[a] > doc[b]) | ((doc[a] == doc[b]) & (number[a] > number[b]))
+        apart = (doc[a] != doc[b]) | (number[a] != number[b])
+        fits &= (line[a] != line[b]) & apart & np.where(later, wanted[a], wanted[b])
+        a_, b_, total, later = a[fits], b[fits], total[fits], later[fits]
         some = (OVERLAP * (total - _differing(maps, size, a_, b_)) >= 2 * SIZES * total) | huge[b_]
-        left.append(line[a_[some]])
-        right.append(line[b_[some]])
+        a_, b_, later = a_[some], b_[some], later[some]
+        left.append(line[np.where(later, a_, b_)])
+        right.append(line[np.where(later, b_, a_)])
+        held += len(a_)
+        if held > most:
+            kept = listed(np.concatenate(left), np.concatenate(right), end)
+            left, right, held = [kept[0]], [kept[1]], len(kept[0])
+            most = 2 * held + HELD_PAIRS
         step += 1
-    none = np.zeros(0, np.uint64)
-    return np.concatenate([none, *left]), np.concatenate([none, *right])
+    return listed(np.concatenate(left), np.concatenate(right), end)
 
 
-def _candidates(entries: np.ndarray) -> list[tuple]:
-    """(line, n, others): for each line the lines that it may match, in a mixed order."""
-    a, b = match_entries(entries)
-    line, other = np.concatenate([a, b]), np.concatenate([b, a])
-    order = np.lexsort((mix(line ^ mix(other)), line))
-    line, other = line[order], other[order]
-    new = np.ones(len(line), bool)
-    new[1:] = (line[1:] != line[:-1]) | (other[1:] != other[:-1])
-    line, other = line[new], other[new].view(np.int64)
+def _candidates(
+    entries: np.ndarray, start: int, end: int, asked: np.ndarray | None
+) -> list[tuple]:
+    """(line, n, others): for each line the earlier lines that it may match, those from ``start``
+    to ``end`` in a mixed order. Where n is more than ``end`` there are others."""
+    line, other = match_entries(entries, end + 1, asked)
     cuts = np.flatnonzero(np.diff(line, prepend=line[:1] ^ np.uint64(1)))
     ends = np.append(cuts[1:], len(line))
     keys = line[cuts].view(np.int64).tolist()
-    return [(k, int(e - s), other[s:e].tobytes()) for k, s, e in zip(keys, cuts, ends)]
+    return [
+        (k, int(e - s), other[s + start : min(e, s + end)].tobytes())
+        for k, s, e in zip(keys, cuts, ends)
+        if e - s > start
+    ]
 
 
 def _copies(places: np.ndarray) -> np.ndarray:
@@ -271,15 +316,17 @@ def _copies(places: np.ndarray) -> np.ndarray:
     return places[~own]
 
 
-def _match(scanned: DataFrame) -> DataFrame:
-    """(kind, line, n, others): candidates of lines (kind 0); and lines equal to an earlier one
-    (kind 1), as document and packed numbers."""
+def _match(
+    scanned: DataFrame, start: int, end: int, asked: np.ndarray | None = None
+) -> DataFrame:
+    """(kind, line, n, others): candidates of lines (kind 0), see ``_candidates``; and lines equal
+    to an earlier one (kind 1), as document and packed numbers."""
 
     def match(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         own = {0: [np.zeros(0, _ENTRY)], 1: [np.zeros(0, _PLACE)]}
         for kind, data in zip(table.column("kind").to_pylist(), table.column("data").to_pylist()):
             own[kind].append(_unpack(data, _ENTRY if kind == 0 else _PLACE))
-        rows = [(0, *r) for r in _candidates(np.concatenate(own[0]))]
+        rows = [(0, *r) for r in _candidates(np.concatenate(own[0]), start, end, asked)]
         gone = _copies(np.concatenate(own[1]))
         gone = gone[np.argsort(gone["doc"], kind="stable")]
         cuts = np.flatnonzero(np.diff(gone["doc"], prepend=gone["doc"][:1] - 1))
@@ -309,14 +356,26 @@ def _portion(candidates: DataFrame, start: int, end: int) -> DataFrame:
             pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in pairs], names=["a", "b"])
 
-    some = candidates.filter(F.col("n") > start).select("line", "others")
+    some = candidates.filter(F.length("others") > 8 * start).select("line", "others")
     return some.mapInArrow(take, "a long, b long").distinct()
 
 
-def _filter(candidates: DataFrame) -> np.ndarray:
-    """One bit for each line that has candidates."""
+def _nodes(candidates: DataFrame) -> DataFrame:
+    """(line) of all lines that are or have candidates."""
+
+    def flatten(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [np.frombuffer(x, np.int64) for x in batch.column("others").to_pylist()]
+            found = np.unique(np.concatenate([batch.column("line").to_numpy(), *lists]))
+            yield pa.RecordBatch.from_arrays([pa.array(found)], names=["line"])
+
+    return candidates.select("line", "others").mapInArrow(flatten, "line long").distinct()
+
+
+def _filter(lines: DataFrame) -> np.ndarray:
+    """One bit for each of the lines."""
     slot_ = F.pmod("line", F.lit(FILTER_BITS))
-    words = candidates.select(
+    words = lines.select(
         F.shiftright(slot_, 6).alias("word"),
         F.expr(f"shiftleft(1L, cast(pmod(line, {FILTER_BITS}) & 63 AS INT))").alias("bit"),
     )
@@ -327,6 +386,13 @@ def _filter(candidates: DataFrame) -> np.ndarray:
     return found.view(np.uint64)
 
 
+def passes(filled: np.ndarray, lines: np.ndarray) -> np.ndarray:
+    """Whether a filter's bits of the lines are set."""
+    bit = lines % np.uint64(FILTER_BITS)
+    found = filled[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))
+    return (found & np.uint64(1)).astype(bool)
+
+
 def _line_sets(docs: DataFrame, ranks: np.ndarray, filled: np.ndarray) -> DataFrame:
     """(line, doc_id, number, tokens) of the lines that the filter passes."""
 
@@ -336,9 +402,7 @@ def _line_sets(docs: DataFrame, ranks: np.ndarray, filled: np.ndarray) -> DataFr
             lines = Lines(data, hasher)
             words, starts = lines.sets(ranks)
             ids, _ = _ids(words, starts)
-            bit = ids % np.uint64(FILTER_BITS)
-            passed = filled[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))
-            some = np.flatnonzero(passed & np.uint64(1))
+            some = np.flatnonzero(passes(filled, ids))
             docs_ = batch.column("doc_id").to_numpy()[lines.text[some]]
             # of equal sets of these texts the first
             order = np.lexsort((lines.number[some], docs_, ids[some]))
@@ -406,27 +470,44 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = rows.filter("doc_id is not null and text is not null")
     ranks = word_ranks(rows)
-    matched_parts = cut_lineage(_match(_scan(rows, ranks, shuffle_width(docs.sparkSession))))
+    scanned = _scan(rows, ranks, shuffle_width(docs.sparkSession))
+    matched_parts = cut_lineage(_match(scanned, 0, LISTED))
     copies = _numbers(matched_parts.filter("kind = 1"))
-    candidates = matched_parts.filter("kind = 0").drop("kind")
-    longest = candidates.agg(F.max("n")).first()[0] or 0
-    if not longest:
-        return copies
-    listed = _line_sets(rows, ranks, _filter(candidates))
-    sets = listed.groupBy("line").agg(F.min(F.struct("doc_id", "number", "tokens")).alias("of"))
-    sets = sets.join(candidates.select("line").distinct(), "line", "left_semi").select(
+    candidates = matched_parts.filter("kind = 0")
+    near, start, end = copies, 0, LISTED
+    while not candidates.isEmpty():
+        matched, sets = _matched(rows, ranks, candidates, end - start)
+        gone = sets.join(matched, "line", "left_semi")
+        near = near.unionAll(gone.select("first.doc_id", "first.number"))
+        open_ = candidates.filter(F.col("n") > end).select("line").distinct()
+        open_ = open_.join(matched, "line", "left_anti")
+        if open_.isEmpty():
+            break
+        start, end = end, end * LISTED_GROWTH
+        further = _match(scanned, start, end, _filter(open_)).filter("kind = 0")
+        candidates = cut_lineage(further.join(open_, "line", "left_semi"))
+    return near
+
+
+def _matched(
+    rows: DataFrame, ranks: np.ndarray, candidates: DataFrame, most: int
+) -> tuple[DataFrame, DataFrame]:
+    """(line) of the lines that match a candidate, and the (line, first, tokens) of all lines
+    that are or have candidates. Lists hold at most ``most`` candidates."""
+    nodes = cut_lineage(_nodes(candidates))
+    found = _line_sets(rows, ranks, _filter(nodes))
+    sets = found.groupBy("line").agg(F.min(F.struct("doc_id", "number", "tokens")).alias("of"))
+    sets = sets.join(nodes, "line", "left_semi").select(
         "line", F.struct("of.doc_id", "of.number").alias("first"), F.col("of.tokens").alias("tokens")
     )
     sets = cut_lineage(sets)
-    matched, open_ = None, candidates
-    start, end = 0, FIRST_PORTION
-    while start < longest:
+    matched, open_, start, end = None, candidates, 0, FIRST_PORTION
+    while start < most:
         found = _verify(_portion(open_, start, end), sets).distinct()
         matched = cut_lineage(found if matched is None else matched.unionAll(found).distinct())
-        open_ = candidates.filter(F.col("n") > end).join(matched, "line", "left_anti")
+        open_ = candidates.filter(F.length("others") > 8 * end).join(matched, "line", "left_anti")
         start, end = end, end * GROWTH
-    near = sets.join(matched, "line", "left_semi").select("first.doc_id", "first.number")
-    return copies.unionAll(near)
+    return matched, sets
 
 
 def line_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
