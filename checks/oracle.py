@@ -323,8 +323,8 @@ ORACLE: dict[str, str] = {
         measures=["total_generation"],
     ),
     "energy_mix": _show(
-        "SELECT year, energy_type, sum(total_generation) AS total_generation "
-        f"FROM ({_MART_HISTORY}) GROUP BY ALL",
+        "SELECT year, energy_type, coalesce(sum(total_generation), 0) AS total_generation "
+        f"FROM ({_MART_HISTORY}) WHERE year IS NOT NULL GROUP BY ALL",
         measures=["total_generation"],
     ),
     "demand_series": _show(

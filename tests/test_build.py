@@ -6,6 +6,8 @@ from pathlib import Path
 
 import pytest
 from plans import planned
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
 
 from wattframe.feeds import FEEDS
 from wattframe.operators.increments import incoming, within_window
@@ -198,6 +200,25 @@ def test_streamed_pages_land_once(spark, tmp_path):
     assert [float(r["num_units"]) for r in latest_readings(stage(table, FEED), FEED).collect()] == [6.5]
 
 
+def test_stream_refuses_error_pages(spark, tmp_path):
+    pages, landing, mark = (str(tmp_path / n) for n in ("pages", "landing", "mark"))
+    (tmp_path / "pages").mkdir()
+    row = {"period": "2024-01-05T07", "respondent": "aaa", "fueltype": "wnd", "value": "1"}
+    good = json.dumps({"response": {"total": 1, "data": [row]}})
+    (tmp_path / "pages" / "1.json").write_text(good)
+    bad = tmp_path / "pages" / "2.json"
+    for text in ({"error": "slow down", "code": 429}, {"response": {"data": [row]}}):
+        bad.write_text(json.dumps(text))
+        with pytest.raises(StreamingQueryException, match="no response or declare no total"):
+            stream_landing(spark, pages, FEED, landing, mark).awaitTermination(120)
+        assert not (tmp_path / "landing").exists()
+    bad.write_text(good)
+    stamp = "2024-02-01 06:00:00"
+    stream_landing(spark, pages, FEED, landing, mark, ingestion_time=stamp).awaitTermination(120)
+    found = read_landing(spark, landing, FEED).select(F.col("ingestion_time").cast("string")).collect()
+    assert [r[0] for r in found] == [stamp, stamp]
+
+
 def test_window_and_high_water_mark_prune_days(spark, warehouse, make_landing):
     land(warehouse, make_landing, "generation", range(1, 19), 1)
     build_readings(warehouse, FEED, "full", "2024-01-18")

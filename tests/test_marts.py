@@ -108,8 +108,8 @@ def test_share_reads_the_mart_once(mart, spark, tmp_path):
 def test_energy_mix(mart):
     got = [tuple(r) for r in series.energy_mix(mart).collect()]
     assert got == [
-        (None, "renewable", 7), (2023, "non-renewable", 10), (2023, "renewable", 90),
-        (2024, "non-renewable", 0), (2024, "renewable", 5), (2025, "non-renewable", 8), (2025, "renewable", None),
+        (2023, "non-renewable", 10), (2023, "renewable", 90),
+        (2024, "non-renewable", 0), (2024, "renewable", 5), (2025, "non-renewable", 8), (2025, "renewable", 0),
     ]
 
 

@@ -39,10 +39,15 @@ def fuel_series_share(mart: DataFrame, fuels: Sequence[str] = DEFAULT_FUELS) ->
 
 
 def energy_mix(mart: DataFrame) -> DataFrame:
-    """Renewable and non-renewable totals by year, in display order."""
+    """Renewable and non-renewable totals by year, in display order.
+
+    Rows of an unknown year are left out; a total of unknown measures only is 0."""
+    none = F.lit(0).cast(mart.schema["total_generation"].dataType)
+    total = F.sum(F.coalesce("total_generation", none))
     return (
-        mart.groupBy("year", "energy_type")
-        .agg(F.sum("total_generation").alias("total_generation"))
+        mart.where(F.col("year").isNotNull())
+        .groupBy("year", "energy_type")
+        .agg(total.alias("total_generation"))
         .orderBy("year", "energy_type")
     )
 
