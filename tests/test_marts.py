@@ -5,6 +5,8 @@ from decimal import Decimal
 
 import pytest
 from plans import count, planned
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from wattframe.feeds import FEEDS
 from wattframe.functions.grid import date_from_text
@@ -166,10 +168,12 @@ def test_coercion(spark):
 
 
 def test_date_text(spark):
-    texts = ["2024.01.31", "2024-01-31", "20240131", "Jan. 31, 2024", "2024-01-31 00:00:00", "soon", None]
+    texts = ["2024.01.31", "2024-01-31", "20240131", "Jan. 31, 2024", "2024-01-31 00:00:00", " ", None]
     frame = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r[0] for r in frame.select(date_from_text(frame.t)).collect()]
     assert got == [date(2024, 1, 31)] * 5 + [None, None]
+    with pytest.raises(PySparkException, match="no date: soon"):
+        spark.createDataFrame([("soon",)], "t string").select(date_from_text(F.col("t"))).collect()
 
 
 def test_mart_or_csv(spark, mart, tmp_path):

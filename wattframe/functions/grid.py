@@ -92,9 +92,11 @@ def date_from_text(text: Column) -> Column:
     """Date text with stray dots, e.g. ``2024.01.31``, ``2024-01-31`` or ``Jan. 31, 2024``, also
     with a time after a blank or ``T``, with or without a fraction, and ``01/31/2024``.
 
-    Text in none of the accepted layouts gives NULL.
+    NULL and blank text give NULL; other text in none of the accepted layouts is an error.
     """
     whole = F.regexp_replace(text.cast("string"), r"([ T]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)Z?$", "")
     bare = F.replace(whole, F.lit("."), F.lit(""))
     layouts = ("yyyy-M-d", "yyyyMMdd", "MMM d, yyyy", "M/d/yyyy")
-    return F.coalesce(*(F.try_to_timestamp(bare, F.lit(p)) for p in layouts)).cast("date")
+    known = F.coalesce(*(F.try_to_timestamp(bare, F.lit(p)) for p in layouts)).cast("date")
+    refused = F.raise_error(F.concat(F.lit("no date: "), text.cast("string"))).cast("date")
+    return F.when(F.trim(bare) != "", F.coalesce(known, refused))

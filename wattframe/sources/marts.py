@@ -47,8 +47,8 @@ def _date(mart: DataFrame):
 
 
 def coerce_mart(mart: DataFrame) -> DataFrame:
-    """Display types: unreadable numbers and dates become NULL, a missing energy type
-    ``Unknown``. Columns the mart does not have are skipped."""
+    """Display types: unreadable numbers become NULL, a missing energy type ``Unknown``;
+    unreadable dates are an error. Columns the mart does not have are skipped."""
     rules = {
         "total_generation": F.col("total_generation").try_cast("double"),
         "year": F.col("year").try_cast("double").try_cast("bigint"),
