@@ -397,6 +397,18 @@ ORACLE: dict[str, str] = {
         "c_name || ', \"' || c_mktsegment || '\"' AS energy_source_name FROM customer"
     ),
     "stored_refresh": _show_readings(_stored_refresh()),
+    **{
+        f"stored_{kind}_run_generation": _show(
+            _mart_generation(_dim_generation(_stored_refresh())), measures=["total_generation"]
+        )
+        for kind in ("full", "window")
+    },
+    **{
+        f"stored_{kind}_run_dim_generation": _show(
+            _dim_generation(_stored_refresh()), ["recorded_date"], [], ["num_units"]
+        )
+        for kind in ("full", "window")
+    },
     "page_slice": f"SELECT * FROM ({_PAGE}) ORDER BY {', '.join(PAGE_KEY)} LIMIT 1000 OFFSET 1000",
     "page_index": (
         "SELECT CAST(place // 1000 AS BIGINT) AS page, count(*) AS n_rows, "

@@ -22,7 +22,7 @@ from checks.tables import (
     read,
 )
 from wattframe.checkpoints import shared_folder
-from wattframe.feeds import Feed
+from wattframe.feeds import FEEDS, Feed
 from wattframe.operators import series
 from wattframe.operators.calendar import DAILY, MONTHLY, REFRESH, ingest_windows
 from wattframe.operators.dimensions import dim_generation, dim_interchange, fuel_lookup
@@ -42,7 +42,7 @@ from wattframe.operators.marts import (
 from wattframe.operators.paging import number_rows, page_count, page_slice
 from wattframe.operators.staging import stage
 from wattframe.operators.upsert import upsert
-from wattframe.plans.build import build_readings
+from wattframe.plans.build import build_readings, run
 from wattframe.plans.warehouse import Warehouse
 from wattframe.sources.landing import append_landing, conform, load_all, read_landing
 from wattframe.sources.marts import coerce_mart
@@ -53,7 +53,7 @@ from wattframe.sources.pages import (
     stamp,
     union_pages,
 )
-from wattframe.sources.seeds import normalize_seed_columns, read_seed, write_seed
+from wattframe.sources.seeds import SEED_COLUMNS, normalize_seed_columns, read_seed, write_seed
 from wattframe.streaming.landing import stream_landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -295,21 +295,54 @@ def _streamed_landing(spark: SparkSession, d: str) -> DataFrame:
     return portable(read_landing(spark, f"{root}/landing", GENERATION).drop("ingestion_time"))
 
 
-def _stored_refresh(spark: SparkSession, d: str) -> DataFrame:
-    """A stored table built to BUILT_TO, then refreshed from a corrected delivery."""
-    house = Warehouse(spark, shared_folder(spark))
-    path = house.path(GENERATION.landing_table)
-    rows = landing(spark, d, GENERATION)
+def _land_early(house: Warehouse, d: str) -> None:
+    rows = landing(house.spark, d, GENERATION)
     early = rows.where(F.col("partition_date") <= F.lit(BUILT_TO).cast("date"))
-    append_landing(early, GENERATION, path)
-    build_readings(house, GENERATION, "full", BUILT_TO)
-    corrected = rows.withColumns(
+    append_landing(early, GENERATION, house.path(GENERATION.landing_table))
+
+
+def _land_corrected(house: Warehouse, d: str) -> None:
+    corrected = landing(house.spark, d, GENERATION).withColumns(
         {
             "value": F.col("value") + 1,
             "ingestion_time": F.col("ingestion_time") + F.expr("interval 1 day"),
         }
     )
-    append_landing(corrected, GENERATION, path)
+    append_landing(corrected, GENERATION, house.path(GENERATION.landing_table))
+
+
+def _stored_run(table: str, rebuild_all: bool) -> Query:
+    """A table read back after a full run to BUILT_TO, a correction and a refresh."""
+
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        house = Warehouse(spark, shared_folder(spark))
+        for name, seed in (
+            ("energy_sources", energy_sources(spark, d)),
+            ("balancing_authorities", balancing_authorities(spark, d)),
+        ):
+            columns = [
+                (F.col(c) if c in seed.columns else F.lit(None).cast("string")).alias(c)
+                for c in SEED_COLUMNS[name]
+            ]
+            write_seed(seed.select(*columns), house.path(name))
+        for feed in FEEDS.values():
+            if feed is not GENERATION:
+                append_landing(landing(spark, d, feed), feed, house.path(feed.landing_table))
+        _land_early(house, d)
+        run(house, BUILT_TO, "full")
+        _land_corrected(house, d)
+        run(house, REFRESHED, "refresh", rebuild_all=rebuild_all)
+        return portable(house.table(table))
+
+    return query
+
+
+def _stored_refresh(spark: SparkSession, d: str) -> DataFrame:
+    """A stored table built to BUILT_TO, then refreshed from a corrected delivery."""
+    house = Warehouse(spark, shared_folder(spark))
+    _land_early(house, d)
+    build_readings(house, GENERATION, "full", BUILT_TO)
+    _land_corrected(house, d)
     build_readings(house, GENERATION, "refresh", REFRESHED)
     return portable(house.readings(GENERATION))
 
@@ -395,6 +428,10 @@ QUERIES: dict[str, Query] = {
     "streamed_landing": _streamed_landing,
     "seed_table": _seed_table,
     "stored_refresh": _stored_refresh,
+    "stored_full_run_generation": _stored_run("marts_generation", True),
+    "stored_window_run_generation": _stored_run("marts_generation", False),
+    "stored_full_run_dim_generation": _stored_run("dim_generation", True),
+    "stored_window_run_dim_generation": _stored_run("dim_generation", False),
     "page_slice": lambda spark, d: page_slice(_paged(spark, d), PAGE_KEY, 1, 1000),
     "page_index": _page_index,
     "page_counts": _page_counts,
