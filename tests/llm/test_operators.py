@@ -219,6 +219,17 @@ def test_near_duplicates(docs):
     assert near_dedup.near_duplicates(empty(docs)).count() == 0
 
 
+def test_no_link_of_small_sets_is_refused():
+    pick = np.random.default_rng(4)
+    for n in [4, 8, 16, 20, 40, 80, 200, 400, 800, 1200] * 40:
+        union = pick.integers(0, 2**64, n, dtype=np.uint64)
+        sets = [np.sort(union[n // 8 :]), np.sort(np.append(union[: n // 8], union[n // 4 :]))]
+        size = np.array([len(x) for x in sets])
+        maps = [np.frombuffer(near_dedup.bit_map(x), np.uint64) for x in sets]
+        none = np.zeros((2, near_dedup.BINS // 64), np.uint64)
+        assert near_dedup.may_link(size, np.array(maps), none, 0, np.array([1]))[0]
+
+
 def repeated(docs):
     """The (doc_id, number) of lines that match an earlier one, by comparing all."""
     lines = []

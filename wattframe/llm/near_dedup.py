@@ -5,7 +5,9 @@ bin takes over that of a bin chosen by a fixed random order (the same for all te
 bins are buckets. In each bucket one text is the centre of a star, and only the star's edges are
 candidates; they are confirmed on the full shingle sets. Buckets that still hold several
 components get another centre in the next round. Where several components are left after the last,
-pairs between them whose bins (one bit of each is kept) agree enough are confirmed too, so that stars lose no link. Texts with equal sets are one node.
+pairs between them are confirmed too unless they cannot be links: bit maps bound how much two
+small sets have in common, without error, and of large sets one bit of each bin is kept, which
+estimates it. Texts with equal sets are one node.
 """
 
 from __future__ import annotations
@@ -32,9 +34,13 @@ from wattframe.llm.graph import components
 SHINGLE, PERCENT = 5, 75
 BINS = 2048
 BANDS, ROWS = 32, 4
-#: Estimated similarity from which a pair between components is confirmed on its full sets: 4.5
-#: standard errors of the estimate below that of links. A bin agrees by chance in half of the cases.
-LEAST_ESTIMATE = 0.684
+#: Pairs whose smaller set has up to so many shingles are refused by their bit maps only.
+MAPPED = 1024
+#: Sets that may be in such a pair have a bit map.
+_MAPPED_MOST = MAPPED * 100 // PERCENT
+#: Estimated similarity from which a pair of larger sets is confirmed on its full sets: 5 standard
+#: errors of the estimate below that of links. A bin agrees by chance in half of the cases.
+LEAST_ESTIMATE = 0.675
 _PROBES = 48
 #: Rounds of stars, each with other centres, before pairs between components are looked at.
 STAR_ROUNDS = 1
@@ -48,6 +54,8 @@ def _probes() -> np.ndarray:
 
 
 PROBES = _probes()
+#: Bits of equal minima in different bins are independent.
+_SALTS = mix(np.arange(BINS, dtype=np.uint64) + np.uint64(1 << 32))
 
 
 def bin_minima(found: np.ndarray) -> np.ndarray:
@@ -80,38 +88,77 @@ def band_keys(minima: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def bit_map(found: np.ndarray) -> bytes:
+    """A bit for each of the hashes: as many bits as two maps differ in, as many hashes at least are
+    in only one of their sets."""
+    bits = np.zeros(BINS, np.uint8)
+    bits[(found & np.uint64(BINS - 1)).astype(np.int64)] = 1
+    return np.packbits(bits).tobytes()
+
+
+def bin_bits(minima: np.ndarray) -> bytes:
+    """One bit of each bin."""
+    return np.packbits((mix(minima ^ _SALTS) & np.uint64(1)).astype(np.uint8)).tobytes()
+
+
+def _bits(column: pa.ChunkedArray) -> np.ndarray:
+    """A row of 64-bit words for each value, zeros for null."""
+    joined = b"".join(x or bytes(BINS // 8) for x in column.to_pylist())
+    return np.frombuffer(joined, np.uint64).reshape(len(column), -1)
+
+
+def may_link(
+    size: np.ndarray, maps: np.ndarray, bins: np.ndarray, i: int, j: np.ndarray
+) -> np.ndarray:
+    """Which of the sets ``j`` may be linked with the set ``i``, by sizes and bits."""
+    small, large = np.minimum(size[j], size[i]), np.maximum(size[j], size[i])
+    fits = 100 * small >= PERCENT * large
+    mapped = fits & (small <= MAPPED)
+    some = j[mapped]
+    # the least number of hashes that only one of the sets has, against the most that a link allows
+    apart = np.bitwise_count(maps[some] ^ maps[i]).sum(axis=1, dtype=np.int64)
+    fits[mapped] = (100 + PERCENT) * apart <= (100 - PERCENT) * (size[some] + size[i])
+    rest = np.flatnonzero(fits & ~mapped)
+    apart = np.bitwise_count(bins[j[rest]] ^ bins[i]).sum(axis=1, dtype=np.int64)
+    fits[rest] = 1 - 2 * apart / BINS >= LEAST_ESTIMATE
+    return fits
+
+
 def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, set_id, bands, bins) of each row; set_id and the rest are null where
-    a text has no words."""
+    """(doc_id, n_shingles, set_id, bands, map, bins) of each row; set_id and the rest are null
+    where a text has no words, map where its set is too large for one, bins where it is small."""
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for part, data in texts(batches):
-            counts, sets, bands, bins = [], [], [], []
+            counts, sets, bands, maps, bins = [], [], [], [], []
             for words in hasher.by_text(data):
                 found = shingle_set(words, SHINGLE)
                 counts.append(len(found))
                 if not len(found):
-                    sets.append(None), bands.append(None), bins.append(None)
+                    sets.append(None), bands.append(None), maps.append(None), bins.append(None)
                     continue
                 minima = bin_minima(found)
                 sets.append(xxhash.xxh3_128_digest(found.tobytes()))
                 bands.append(band_keys(minima))
-                bins.append(np.packbits((mix(minima) & np.uint64(1)).astype(np.uint8)).tobytes())
+                maps.append(bit_map(found) if len(found) <= _MAPPED_MOST else None)
+                bins.append(bin_bits(minima) if len(found) > MAPPED else None)
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
                     pa.array(counts, pa.int64()),
                     pa.array(sets, pa.binary()),
                     pa.array(bands, pa.list_(pa.int64())),
+                    pa.array(maps, pa.binary()),
                     pa.array(bins, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "set_id", "bands", "bins"],
+                names=["doc_id", "n_shingles", "set_id", "bands", "map", "bins"],
             )
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(
-        sign, "doc_id long, n_shingles long, set_id binary, bands array<long>, bins binary"
+        sign,
+        "doc_id long, n_shingles long, set_id binary, bands array<long>, map binary, bins binary",
     )
 
 
@@ -167,7 +214,7 @@ def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _between(members: DataFrame) -> DataFrame:
-    """Pairs of one bucket in different components whose bins agree enough.
+    """Pairs of one bucket in different components that may be links.
 
     A pair that shares several buckets comes from the first."""
 
@@ -184,22 +231,19 @@ def _between(members: DataFrame) -> DataFrame:
             one = group.column("left")[0].as_py() == group.column("right")[0].as_py()
             flat = group.column("bands").combine_chunks().flatten()
             bands = flat.to_numpy(zero_copy_only=False).reshape(n, -1)
-            joined = b"".join(group.column("bins").to_pylist())
-            bins = np.frombuffer(joined, np.uint64).reshape(n, -1)
+            maps, bins = _bits(group.column("map")), _bits(group.column("bins"))
             a, b = [], []
             for i in range(n - 1):
                 j = np.arange(i + 1, n)
                 fits = component[j] != component[i]
                 if not one:
                     fits &= block[j] != block[i]
-                small, large = np.minimum(size[j], size[i]), np.maximum(size[j], size[i])
-                j = j[fits & (100 * small >= PERCENT * large)]
+                j = j[fits]
                 if not len(j):
                     continue
                 shared = bands[j] == bands[i]
                 j = j[bands[i][shared.argmax(axis=1)] == bucket]
-                apart = np.bitwise_count(bins[j] ^ bins[i]).sum(axis=1, dtype=np.int64)
-                j = j[1 - 2 * apart / BINS >= LEAST_ESTIMATE]
+                j = j[may_link(size, maps, bins, i, j)]
                 a.append(np.full(len(j), node[i]))
                 b.append(node[j])
             if a:
@@ -226,7 +270,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     # equal sets: the least id stands for all of them
     firsts = known.groupBy("set_id").agg(F.min("doc_id").alias("node"))
     nodes = known.join(firsts, "set_id").filter("doc_id = node")
-    nodes = cut_lineage(nodes.select("node", "n_shingles", "bands", "bins"))
+    nodes = cut_lineage(nodes.select("node", "n_shingles", "bands", "map", "bins"))
     placed = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = placed.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"))
     shared = shared.filter("least <> most").select("bucket")
