@@ -219,6 +219,31 @@ def test_near_duplicates(docs):
     assert near_dedup.near_duplicates(empty(docs)).count() == 0
 
 
+def test_chains_of_short_texts(spark):
+    """Windows of 11 to 39 words that move on: each is linked with the next only, at 0.75."""
+    rows, root = [], {}
+    for chain in range(80):
+        step = (1, 2, 3, 5)[chain % 4]
+        size = 7 * step + 4
+        words = [f"c{chain}w{i}" for i in range(size + 12 * step)]
+        for k in range(12):
+            root[len(rows)] = chain * 12
+            rows.append((len(rows), " ".join(words[k * step : k * step + size])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = near_dedup.near_duplicates(docs).collect()
+    assert {r.doc_id: r.component_id for r in found} == root
+
+
+def test_small_links_share_a_bucket():
+    pick = np.random.default_rng(6)
+    for i in range(3000):
+        n = (4, 8, 12, 20)[i % 4]  # 3 of 4 in common
+        union = np.sort(pick.integers(0, 2**64, n, dtype=np.uint64))
+        part = np.delete(union, pick.choice(n, n // 4, replace=False))
+        one, two = (near_dedup.band_keys(near_dedup.bin_minima(x)) for x in (union, part))
+        assert (one == two).any()
+
+
 def test_no_link_of_small_sets_is_refused():
     pick = np.random.default_rng(4)
     for n in [4, 8, 16, 20, 40, 80, 200, 400, 800, 1200] * 40:

@@ -54,29 +54,30 @@ def _probes() -> np.ndarray:
 
 
 PROBES = _probes()
-#: Bits of equal minima in different bins are independent.
+#: Makes bits of equal minima, and orders of full bins, independent from bin to bin.
 _SALTS = mix(np.arange(BINS, dtype=np.uint64) + np.uint64(1 << 32))
 
 
-def bin_minima(found: np.ndarray) -> np.ndarray:
-    """The least hash of each bin, from sorted distinct hashes; empty bins are filled."""
+def bin_minima(found: np.ndarray, n: int = BINS) -> np.ndarray:
+    """The least hash of each of the first ``n`` bins, from sorted distinct hashes; empty bins are
+    filled."""
     bins = (found >> np.uint64(53)).astype(np.int64)
     first = np.flatnonzero(np.diff(bins, prepend=-1))
     filled = np.zeros(BINS, bool)
     filled[bins[first]] = True
     minima = np.zeros(BINS, np.uint64)
     minima[bins[first]] = found[first]
-    empty = np.flatnonzero(~filled)
+    empty = np.flatnonzero(~filled[:n])
     if len(empty):
         hit = filled[PROBES[:, empty]]
         source = PROBES[hit.argmax(axis=0), empty]
         missed = ~hit.any(axis=0)
-        if missed.any():  # few bins are full: the next full one after the last asked
+        if missed.any():  # few bins are full: each empty one has its own order of all
             full = bins[first]
-            after = np.searchsorted(full, PROBES[-1, empty[missed]]) % len(full)
-            source[missed] = full[after]
+            order = mix(_SALTS[empty[missed]][:, None] + _SALTS[full])
+            source[missed] = full[order.argmin(axis=1)]
         minima[empty] = minima[source]
-    return minima
+    return minima[:n]
 
 
 def band_keys(minima: np.ndarray) -> np.ndarray:
@@ -138,11 +139,12 @@ def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
                 if not len(found):
                     sets.append(None), bands.append(None), maps.append(None), bins.append(None)
                     continue
-                minima = bin_minima(found)
+                large = len(found) > MAPPED
+                minima = bin_minima(found, BINS if large else BANDS * ROWS)
                 sets.append(xxhash.xxh3_128_digest(found.tobytes()))
                 bands.append(band_keys(minima))
                 maps.append(bit_map(found) if len(found) <= _MAPPED_MOST else None)
-                bins.append(bin_bits(minima) if len(found) > MAPPED else None)
+                bins.append(bin_bits(minima) if large else None)
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
