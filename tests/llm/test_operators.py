@@ -22,6 +22,7 @@ from wattframe.llm import (
     toxicity,
     url_filter,
 )
+from wattframe.llm.common import held_out
 from wattframe.llm.queries import URL_RULES, tokenizer_path
 from wattframe.llm.suffix_array import permuted_common_prefixes, suffix_array
 
@@ -364,3 +365,26 @@ def test_licenses(spark):
     assert len(found) == 6
     assert got[1] == ("MIT", 1, ("MIT",)) and got[2] == (None, 1, ("MIT",))
     assert got[3] == got[4] == (None, 0, ()) and got[None] == ("MIT", 0, ())
+
+
+def test_quality_does_not_depend_on_the_sample(spark):
+    """Three good texts to one bad, of which a sample holds as many of each."""
+    rows = [(i, "Aa bb cc. " * (1 + i % 3), int(i % 4 > 0)) for i in range(400)]
+    rows += [(1000, " \t\n", 0), (1001, None, 0), (1002, "Aa", None), (1003, " ", 1), (1003, "A", 1)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    docs, labels = table.select("doc_id", "text"), table.select("doc_id", "quality")
+    known = table.filter("doc_id < 400").filter(~held_out(F.col("doc_id"))).toPandas()
+    prior = known["quality"].mean()
+    near = []
+    for per_class in (1000, 20):
+        model = quality.fit(docs, labels, per_class=per_class)
+        model.neighbours = 10_000
+        assert model.prior == pytest.approx(prior)
+        sampled = model.weights * (model.labels == 1), model.weights * (model.labels == 0)
+        assert sampled[0].sum() / model.weights.sum() == pytest.approx(prior)
+        assert quality.score_documents(docs, model).filter("doc_id = 1001").first().score == model.prior
+        terms = np.zeros((1, quality.TERMS), np.float32)
+        numbers, shares = quality.Terms()(b"Aa bb cc. Aa bb cc.")
+        terms[0, numbers] = shares
+        near.append(model.score(terms)[0])
+    assert near == pytest.approx([prior, prior], abs=0.15)

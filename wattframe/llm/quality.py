@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattframe.llm.common import Cached, WordHasher, free_name, hashed, mix, texts
-from wattframe.llm.labelled import labelled_sample
+from wattframe.llm.labelled import label_counts, labelled_sample
 
 #: Hashed terms, latent dimensions and voting neighbours.
 TERMS, DIMENSIONS, NEIGHBOURS = 4096, 32, 25
@@ -65,13 +65,15 @@ class Terms:
 
 @dataclass
 class Model:
-    """``centre`` and ``axes`` make vectors of terms; ``vectors`` and ``labels`` vote."""
+    """``centre`` and ``axes`` make vectors of terms; ``vectors`` and ``labels`` vote, each with
+    its weight: how many labelled texts of its class there are for one of the sample."""
 
     prior: float
     centre: np.ndarray
     axes: np.ndarray
     vectors: np.ndarray
     labels: np.ndarray
+    weights: np.ndarray
     neighbours: int = NEIGHBOURS
 
     def embed(self, terms: np.ndarray) -> np.ndarray:
@@ -88,6 +90,7 @@ class Model:
         k = min(self.neighbours, len(self.labels))
         near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
         votes = np.maximum(np.take_along_axis(cosines, near, 1), 0.0) ** SHARPNESS
+        votes *= self.weights[near]
         total = votes.sum(axis=1)
         share = (votes * self.labels[near]).sum(axis=1) / np.maximum(total, 1e-12)
         out[known] = np.where(total > 1e-12, np.clip(share, 0.0, 1.0), self.prior)
@@ -102,7 +105,8 @@ def fit(
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> Model:
-    """A model of the labels, from at most ``per_class`` texts of each class.
+    """A model of the labels, from at most ``per_class`` texts of each class, whose votes are
+    weighted back to the classes' sizes.
 
     Rows that are held out, have a null id or label, or no text are not learned from. The
     prior is the share of label 1 in all labels that may be learned from, 0.5 without any.
@@ -131,14 +135,20 @@ def fit(
     for i, r in enumerate(rows):
         matrix[i, np.frombuffer(r["terms"], np.int16)] = np.frombuffer(r["shares"], np.float32)
     classes = np.array([r["label"] for r in rows], np.float32)
-    prior = float(classes.mean()) if len(rows) else 0.5
+    weights = np.ones(len(rows))
+    prior = 0.5
+    if len(rows):
+        counts = label_counts(docs, labels, label, doc_id, text)
+        for value, n in counts.items():
+            weights[classes == value] = n / max((classes == value).sum(), 1)
+        prior = counts.get(1, 0) / sum(counts.values())
     if not len(rows):
         empty = np.zeros((0, 1), np.float32)
         axes = np.zeros((TERMS, 1), np.float32)
-        return Model(prior, np.zeros(TERMS, np.float32), axes, empty, classes)
+        return Model(prior, np.zeros(TERMS, np.float32), axes, empty, classes, weights)
     centre = matrix.mean(axis=0)
     axes = leading_axes(matrix - centre, DIMENSIONS)
-    model = Model(prior, centre, axes, np.zeros((0, axes.shape[1]), np.float32), classes)
+    model = Model(prior, centre, axes, np.zeros((0, axes.shape[1]), np.float32), classes, weights)
     model.vectors = model.embed(matrix)
     return model
 
