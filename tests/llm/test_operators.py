@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import zlib
+from importlib import metadata
 
 import numpy as np
 import pytest
@@ -23,6 +25,7 @@ from wattframe.llm import (
     url_filter,
 )
 from wattframe.llm.common import held_out
+from wattframe.llm.license_texts import TEXTS
 from wattframe.llm.queries import URL_RULES, tokenizer_path
 from wattframe.llm.suffix_array import permuted_common_prefixes, suffix_array
 
@@ -388,3 +391,24 @@ def test_quality_does_not_depend_on_the_sample(spark):
         terms[0, numbers] = shares
         near.append(model.score(terms)[0])
     assert near == pytest.approx([prior, prior], abs=0.15)
+
+
+def test_whole_license_texts(spark):
+    common = {n: f"/usr/share/common-licenses/{n}" for n in (
+        "Apache-2.0", "BSD", "CC0-1.0", "GPL-2", "GPL-3", "LGPL-2.1", "MPL-2.0"
+    )}
+    rows = [(n, open(f).read()) for n, f in common.items() if os.path.exists(f)]
+    names = {n: n for n, _ in rows} | {"BSD": "BSD-3-Clause", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0"}
+    for package, name in (("pluggy", "MIT"), ("urllib3", "MIT"), ("idna", "BSD-3-Clause")):
+        for file in metadata.files(package):
+            if file.name.startswith("LICENSE"):
+                rows.append((package, file.locate().read_text()))
+                names[package] = name
+    rows.append(("isc", "ISC License\n\nCopyright (c) 2024, A\n\n" + next(t for n, t in TEXTS if n == "ISC")))
+    names["isc"] = "ISC"
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    found = licenses.scan_licenses(docs, licenses.known_table(spark)).collect()
+    assert {r.doc_id: r.license for r in found} == {n: names[n] for n, _ in rows}
+    assert licenses.known_table(spark, (), ()).count() == 0
+    assert licenses.known_table(spark, licenses.KNOWN, ()).count() == len(licenses.KNOWN)
+    assert licenses.known_table(spark, (), licenses.DIGESTS).count() == len(licenses.DIGESTS)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattframe.llm.common import free_name
+from wattframe.llm.license_texts import DIGESTS, TEXTS
 
 # fixed values: spellings that count as equal, in lower case, after punctuation is gone
 SPELLINGS = {
@@ -29,7 +30,7 @@ SPELLINGS = {
     "merchantibility": "merchantability",
     "whilst": "while",
 }
-# fixed values: license texts and notices
+# fixed values: license notices, and one license text; whole texts are in ``license_texts``
 KNOWN = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
@@ -81,19 +82,22 @@ def canonical_digest(text: Column) -> Column:
     return _once(canonical(text), lambda form: F.when(form != "", F.sha2(form.cast("binary"), 256)))
 
 
-def known_table(spark: SparkSession, known=KNOWN) -> DataFrame:
-    """Known texts as rows (license, digest), one per digest, broadcast while they are few."""
-    if not known:
+def known_table(spark: SparkSession, known=KNOWN + TEXTS, digests=DIGESTS) -> DataFrame:
+    """Known texts, and texts known by their digest only, as rows (license, digest), one per digest,
+    broadcast while they are few."""
+    if not known and not digests:
         return spark.createDataFrame([], "license string, digest string")
-    rows = F.array(
-        *[F.struct(F.lit(k).alias("license"), F.lit(t).alias("body")) for k, t in known]
-    )
-    table = spark.range(1).select(F.inline(rows))
-    table = table.groupBy(canonical_digest(F.col("body")).alias("digest")).agg(
-        F.min("license").alias("license")
-    )
+
+    def rows(pairs, name: str) -> DataFrame:
+        structs = [F.struct(F.lit(k).alias("license"), F.lit(t).alias(name)) for k, t in pairs]
+        kind = f"array<struct<license:string,{name}:string>>"
+        return spark.range(1).select(F.inline(F.array(*structs).cast(kind)))
+
+    table = rows(known, "body").select("license", canonical_digest(F.col("body")).alias("digest"))
+    table = table.unionAll(rows(digests, "digest").select("license", "digest"))
+    table = table.groupBy("digest").agg(F.min("license").alias("license"))
     table = table.filter("digest is not null")
-    return F.broadcast(table) if len(known) <= BROADCAST_TEXTS else table
+    return F.broadcast(table) if len(known) + len(digests) <= BROADCAST_TEXTS else table
 
 
 def scan_licenses(
