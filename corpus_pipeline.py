@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from wattframe.checkpoints import shared_folder
 from wattframe.llm import decontamination, line_dedup, near_dedup, packing, quality
 from wattframe.llm.common import free_name, parquet
-from wattframe.llm.queries import QUALITY_THRESHOLD, tokenizer_path
+from wattframe.llm.queries import LINE_WORDS, QUALITY_THRESHOLD, tokenizer_path
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,7 +21,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that match an earlier line."""
-    return line_dedup.drop_repeated_lines(docs)
+    return line_dedup.drop_repeated_lines(docs, min_words=LINE_WORDS)
 
 
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

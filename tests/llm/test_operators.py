@@ -283,6 +283,35 @@ def test_lines(docs):
     assert line_dedup.line_report(empty(docs)).count() == 0
 
 
+def test_short_lines(spark, tmp_path):
+    """The query and the pipeline's stage compare all lines that have a word."""
+    import corpus_pipeline
+    from wattframe.llm.queries import op8_line_dedup
+
+    rows = [
+        (1, "All rights reserved.\na b c d\nx\n\n"),
+        (2, "all RIGHTS reserved.\nd c a\ny\n \nx x\nc d"),
+        (3, "reserved. all rights\nz\nb a c\n\nnew words here\nall rights"),
+        (4, "one two three four five\nz"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lines = [(i, j, set(words_of(x))) for i, t in rows for j, x in enumerate(t.split("\n"))]
+    gone = {
+        (i, j)
+        for n, (i, j, s) in enumerate(lines)
+        if any(s and 4 * len(s & e) >= 3 * len(s | e) for _, _, e in lines[:n])
+    }
+    assert gone == {(2, 0), (2, 1), (2, 4), (3, 0), (3, 2), (4, 1)}
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    report = op8_line_dedup(spark, str(tmp_path)).collect()
+    assert {(r.doc_id, n) for r in report for n in r.removed} == gone
+    left = corpus_pipeline.line_deduplication(spark, docs, str(tmp_path)).collect()
+    expected = {
+        i: "\n".join(x for j, x in enumerate(t.split("\n")) if (i, j) not in gone) for i, t in rows
+    }
+    assert {r.doc_id: r.text for r in left} == expected
+
+
 def test_lines_joined_again(spark, monkeypatch):
     """A group of lines around the threshold, of which a join lists one candidate at first."""
     monkeypatch.setattr(line_dedup, "LISTED", 1)

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from wattframe.llm.blocks import confirm_together
 from wattframe.llm.common import WordHasher, cut_lineage, mix, shuffle_width, texts
 
-#: Lines with fewer words are no duplicates of anything.
+#: Lines with fewer words are no duplicates of anything, unless callers ask for shorter ones.
 MIN_WORDS = 5
 #: Similarity 3/4: the overlap times 7 reaches the sizes times 3.
 OVERLAP, SIZES = 7, 3
@@ -61,14 +61,14 @@ _PLACE = np.dtype([("set", "<u8"), ("rest", "<u8"), ("doc", "<i8"), ("number", "
 class Lines:
     """The lines of some texts that are long enough, as flat arrays of words."""
 
-    def __init__(self, data: list[bytes | None], hasher: WordHasher):
+    def __init__(self, data: list[bytes | None], hasher: WordHasher, min_words: int = MIN_WORDS):
         found = [x or b"" for x in data]
         joined = b"\n".join(found)
         starts, words = hasher(joined)
         feeds = np.flatnonzero(np.frombuffer(joined, np.uint8) == 10)
         line = np.searchsorted(feeds, starts)
         ends = np.cumsum([len(x) + 1 for x in found])
-        enough = np.bincount(line, minlength=len(feeds) + 1) >= MIN_WORDS
+        enough = np.bincount(line, minlength=len(feeds) + 1) >= max(min_words, 1)
         kept = enough[line]
         self.words, line = words[kept], line[kept]
         chosen = np.flatnonzero(enough)
@@ -146,7 +146,7 @@ def _unpack(data: bytes, kind: np.dtype) -> np.ndarray:
     return out
 
 
-def _scan(docs: DataFrame, ranks: np.ndarray, parts: int) -> DataFrame:
+def _scan(docs: DataFrame, ranks: np.ndarray, parts: int, min_words: int) -> DataFrame:
     """(part, kind, data): prefix words of lines with what bounds their overlap, dealt by word
     (kind 0), and the places of all lines, dealt by set (kind 1)."""
 
@@ -160,7 +160,7 @@ def _scan(docs: DataFrame, ranks: np.ndarray, parts: int) -> DataFrame:
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for batch, data in texts(batches):
-            lines = Lines(data, hasher)
+            lines = Lines(data, hasher, min_words)
             words, starts = lines.sets(ranks)
             if not len(words):
                 continue
@@ -393,13 +393,15 @@ def passes(filled: np.ndarray, lines: np.ndarray) -> np.ndarray:
     return (found & np.uint64(1)).astype(bool)
 
 
-def _line_sets(docs: DataFrame, ranks: np.ndarray, filled: np.ndarray) -> DataFrame:
+def _line_sets(
+    docs: DataFrame, ranks: np.ndarray, filled: np.ndarray, min_words: int
+) -> DataFrame:
     """(line, doc_id, number, tokens) of the lines that the filter passes."""
 
     def list_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for batch, data in texts(batches):
-            lines = Lines(data, hasher)
+            lines = Lines(data, hasher, min_words)
             words, starts = lines.sets(ranks)
             ids, _ = _ids(words, starts)
             some = np.flatnonzero(passes(filled, ids))
@@ -457,26 +459,28 @@ def _numbers(copies: DataFrame) -> DataFrame:
     return copies.select("line", "others").mapInArrow(split, "doc_id long, number int")
 
 
-def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_lines(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS
+) -> DataFrame:
     """(doc_id, number): the lines of ``docs``, numbered from 0, that match an earlier one.
 
     Lines end at line feeds. Words are divided by ASCII white space, A-Z lower-cased; two lines
     match if their sets of words have a similarity (Jaccard) of 0.75 or more. Earlier is by
     doc_id, then number. Every line is compared with all of the input, also with those that go
-    themselves. Lines with fewer than five words match nothing. Null texts have no lines; rows
+    themselves. Lines with fewer than ``min_words`` words, or none, match nothing. Null texts have no lines; rows
     with a null id take no part. Lines of one number in rows that share an id count as one place,
     so none of them is earlier than the other. An empty table gives no rows.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = rows.filter("doc_id is not null and text is not null")
     ranks = word_ranks(rows)
-    scanned = _scan(rows, ranks, shuffle_width(docs.sparkSession))
+    scanned = _scan(rows, ranks, shuffle_width(docs.sparkSession), min_words)
     matched_parts = cut_lineage(_match(scanned, 0, LISTED))
     copies = _numbers(matched_parts.filter("kind = 1"))
     candidates = matched_parts.filter("kind = 0")
     near, start, end = copies, 0, LISTED
     while not candidates.isEmpty():
-        matched, sets = _matched(rows, ranks, candidates, end - start)
+        matched, sets = _matched(rows, ranks, candidates, end - start, min_words)
         gone = sets.join(matched, "line", "left_semi")
         near = near.unionAll(gone.select("first.doc_id", "first.number"))
         open_ = candidates.filter(F.col("n") > end).select("line").distinct()
@@ -490,12 +494,12 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 def _matched(
-    rows: DataFrame, ranks: np.ndarray, candidates: DataFrame, most: int
+    rows: DataFrame, ranks: np.ndarray, candidates: DataFrame, most: int, min_words: int
 ) -> tuple[DataFrame, DataFrame]:
     """(line) of the lines that match a candidate, and the (line, first, tokens) of all lines
     that are or have candidates. Lists hold at most ``most`` candidates."""
     nodes = cut_lineage(_nodes(candidates))
-    found = _line_sets(rows, ranks, _filter(nodes))
+    found = _line_sets(rows, ranks, _filter(nodes), min_words)
     sets = found.groupBy("line").agg(F.min(F.struct("doc_id", "number", "tokens")).alias("of"))
     sets = sets.join(nodes, "line", "left_semi").select(
         "line", F.struct("of.doc_id", "of.number").alias("first"), F.col("of.tokens").alias("tokens")
@@ -510,7 +514,9 @@ def _matched(
     return matched, sets
 
 
-def line_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def line_report(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS
+) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_lines, n_removed and removed (sorted numbers of the
     lines that go). A null text has no lines, an empty one has one."""
     lines = F.size(F.split(text, "\n", -1)).cast("long")
@@ -518,7 +524,7 @@ def line_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         F.col(doc_id).cast("long").alias("doc_id"),
         F.when(F.col(text).isNull(), 0).otherwise(lines).cast("long").alias("n_lines"),
     )
-    gone = _by_document(repeated_lines(docs, doc_id, text))
+    gone = _by_document(repeated_lines(docs, doc_id, text, min_words))
     joined = rows.join(gone, rows.doc_id == gone.gone_id, "left")
     removed = F.coalesce("removed", F.array().cast("array<int>"))
     return joined.select(
@@ -533,14 +539,18 @@ def _by_document(lines: DataFrame) -> DataFrame:
 
 
 def drop_repeated_lines(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: str = "n_chars"
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    size: str = "n_chars",
+    min_words: int = MIN_WORDS,
 ) -> DataFrame:
     """``docs`` without the lines that match an earlier one, see ``repeated_lines``.
 
     A document that loses all lines stays with an empty text. The column ``size``, if there
     is one, gets the new number of characters; other columns stay.
     """
-    gone = _by_document(repeated_lines(docs, doc_id, text))
+    gone = _by_document(repeated_lines(docs, doc_id, text, min_words))
     gone = gone.withColumnRenamed("removed", "_removed").withColumnRenamed("gone_id", "_gone_id")
     joined = docs.join(gone, F.col(doc_id) == F.col("_gone_id"), "left")
     lines = F.split(text, "\n", -1)

@@ -32,6 +32,8 @@ URL_RULES = [
     ("block", "net", "/fr/"),
 ]
 QUALITY_THRESHOLD = 0.7
+#: Every line that has a word takes part.
+LINE_WORDS = 1
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -100,7 +102,7 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_report(parquet(spark, sf_dir, "documents"))
+    return line_dedup.line_report(parquet(spark, sf_dir, "documents"), min_words=LINE_WORDS)
 
 
 def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
