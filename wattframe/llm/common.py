@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattframe.checkpoints import cut_lineage, ensure_checkpoint_dir
+from wattframe.checkpoints import cut_lineage, ensure_checkpoint_dir, shared_folder
 
 __all__ = ["cut_lineage", "ensure_checkpoint_dir"]
 
@@ -26,6 +26,13 @@ def parquet(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def stored(rows: DataFrame) -> DataFrame:
+    """``rows`` written once as a table in the shared folder, and read from there."""
+    path = shared_folder(rows.sparkSession)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 class Cached(dict):
     """``make(key)`` of every key seen, at most ``CACHE_ENTRIES`` of them."""
 

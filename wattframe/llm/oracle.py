@@ -90,6 +90,95 @@ QUALIFY rank <= 10
 """
 
 
+OP11 = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+),
+places AS (SELECT id, lang, source, unnest(terms) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS c FROM places GROUP BY ALL HAVING count(DISTINCT id) >= 10),
+langs AS (
+    SELECT lang, count(term) AS v, coalesce(sum(c), 0) AS n
+    FROM (SELECT DISTINCT lang FROM docs) LEFT JOIN kept USING (lang) GROUP BY lang
+),
+seen AS (
+    SELECT lang, source, term, count(*) AS c FROM places JOIN kept k USING (lang, term) GROUP BY ALL
+),
+groups AS (
+    SELECT lang, source, v, coalesce(n, 0) AS n FROM (SELECT DISTINCT lang, source FROM docs)
+    JOIN (SELECT lang, v FROM langs) USING (lang)
+    LEFT JOIN (SELECT lang, source, sum(c) AS n FROM seen GROUP BY ALL) USING (lang, source)
+),
+shares AS (
+    SELECT g.lang, g.source, k.term, coalesce(s.c, 0) AS c,
+        cast(1 + 1000000000 * (coalesce(s.c, 0) + 2) // (g.n + 2 * g.v) AS BIGINT) AS p,
+        cast(1 + 1000000000 * (k.c + 2) // (l.n + 2 * l.v) AS BIGINT) AS q
+    FROM groups g JOIN langs l USING (lang) JOIN kept k USING (lang)
+    LEFT JOIN seen s ON s.lang = g.lang AND s.source = g.source AND s.term = k.term
+),
+found AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+        coalesce(sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)), 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source
+    LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+    GROUP BY ALL
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE c > 0 AND p > q
+)
+SELECT lang, source, part, item, cast(value AS BIGINT) AS value, cast(row_number() OVER
+    (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank
+FROM found QUALIFY part = 'pair' OR rank <= 10
+"""
+
+OP12 = r"""
+WITH docs AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+        list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+        list_filter(string_split(coalesce(text, ''), chr(10)),
+            lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM documents
+),
+windows AS (
+    SELECT doc_id, i, array_to_string(w[i : i + 7], ' ') AS body
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM docs WHERE len(w) >= 8)
+),
+repeated AS (
+    SELECT doc_id, count(DISTINCT k) AS n FROM (
+        SELECT doc_id, unnest(range(i, i + 8)) AS k FROM (
+            SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, body) > 1))
+    GROUP BY 1
+),
+frequent AS (
+    SELECT doc_id, max(n) AS n
+    FROM (SELECT doc_id, count(*) AS n FROM (SELECT doc_id, unnest(w) AS x FROM docs) GROUP BY doc_id, x)
+    GROUP BY 1
+),
+counted AS (
+    SELECT doc_id, cast(len(w) AS BIGINT) AS n_words,
+        coalesce(cast(list_sum(list_transform(w, lambda x: length(x))) AS BIGINT), 0) AS word_chars,
+        length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+        length(text) - length(regexp_replace(text,
+            '[\x00-\x08\x0E-\x1F\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]', '', 'g')) AS n_signs,
+        len(lines) AS n_lines, cast(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+        coalesce(r.n, 0) AS n_repeat_words, coalesce(f.n, 0) AS n_most,
+        len(list_filter(w, lambda x: regexp_matches(x, '^[\x00-\x40\x5B-\x60\x7B-\x7F]+$'))) AS n_bare,
+        len(list_filter(w, lambda x: strlen(x) > 1 AND regexp_matches(x, '[A-Z]')
+            AND NOT regexp_matches(x, '[a-z]'))) AS n_loud
+    FROM docs LEFT JOIN repeated r USING (doc_id) LEFT JOIN frequent f USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+    n_words >= 20 AND 100 * n_repeat_words <= 30 * n_words
+        AND word_chars BETWEEN 2 * n_words AND 20 * n_words AND 10 * n_symbols <= n_words
+        AND 2 * n_signs <= word_chars AND 100 * n_dup_lines <= 30 * n_lines
+        AND 10 * n_bare <= 3 * n_words AND 10 * n_most <= 3 * n_words AND 2 * n_loud <= n_words AS kept
+FROM counted
+"""
+
+
 def _canonical(text: str) -> str:
     from wattframe.llm.licenses import SPELLINGS
 
@@ -130,4 +219,6 @@ ORACLE = {
     "op2_decontamination": OP2,
     "op6_top_k": OP6,
     "op10_licenses": _op10(),
+    "op11_source_divergence": OP11,
+    "op12_quality_rules": OP12,
 }

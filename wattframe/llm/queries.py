@@ -16,10 +16,13 @@ from wattframe.llm import (
     near_dedup,
     packing,
     quality,
+    quality_rules,
+    source_divergence,
     substring_dedup,
     top_k,
     toxicity,
     url_filter,
+    whitening,
 )
 from wattframe.llm.common import held_out, parquet
 
@@ -116,6 +119,47 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "license", "n_license_lines", names.alias("line_licenses"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every two sources of a language, and the ten terms that tell a source from its language.
+
+    Null texts, languages and sources are empty; ties are in the items' order; no rows without
+    documents."""
+    return source_divergence.audit(parquet(spark, sf_dir, "documents"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every text, and whether the rules keep it. A null or empty text has no words and
+    fails; equal texts have equal verdicts; no rows without documents."""
+    docs = parquet(spark, sf_dir, "documents").select("doc_id", "text")
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    judged = quality_rules.judge(docs, measures=base)
+    return judged.select(
+        "doc_id", *base, failed.alias("base_failed"), (F.col("kept") & ~failed).alias("kept")
+    )
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each usable vector and component. Null vectors and those with null or non-finite
+    components go; repeated rows stay; components of no variance, and so all rows if vectors are
+    alike, are left out; a deviation beyond 64 bits is an error."""
+    rows = parquet(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(rows)
+    white = whitening.whiten(rows, model)
+    explained = F.array(*map(F.lit, model.explained.tolist())).cast("array<double>")
+    place = F.posexplode("whitened").alias("place", "whitened")
+    found = white.select("vec_id", F.col("deviation").cast("long").alias("deviation"), place)
+    return found.select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(explained, F.col("place")).alias("explained"),
+        whitening.identity_error(white).scalar().alias("identity_error"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of ``corpus_pipeline``, one after the other."""
     import corpus_pipeline
@@ -136,6 +180,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_line_dedup,
         op9_suffix_array,
         op10_licenses,
+        op11_source_divergence,
+        op12_quality_rules,
+        op13_whitening,
         pipeline,
     )
 }
