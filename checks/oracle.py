@@ -392,6 +392,32 @@ ORACLE: dict[str, str] = {
         [],
         ["value"],
     ),
+    "whole_extracts": _show(
+        f"SELECT * REPLACE (TIMESTAMP '{STAMP}' AS ingestion_time) FROM ({_arrived(GENERATION)}) "
+        "WHERE period NOT IN (SELECT strftime(ts, '%Y-%m-%dT%H') FROM events WHERE event_type = 'error')",
+        *_RAW,
+    ),
+    "page_files_ingest": _show(
+        f"SELECT * REPLACE (TIMESTAMP '{STAMP}' AS ingestion_time) FROM ({_arrived(GENERATION)})",
+        *_RAW,
+    ),
+    "mixed_extracts": _show(f"SELECT * FROM ({_landing(GENERATION)})", *_RAW),
+    "landed_once": _show(
+        f"SELECT * FROM ({_landing(GENERATION)}) UNION ALL "
+        f"SELECT * FROM ({_landing(GENERATION)}) WHERE type_name = 'click'",
+        *_RAW,
+    ),
+    "exported_landing": _show(
+        " UNION ALL ".join(
+            f"SELECT '{f.name}' AS feed, partition_date, count(*) AS n_rows, sum(value) AS total "
+            f"FROM ({_landing(f)}) GROUP BY ALL"
+            for f in FEEDS.values()
+        ),
+        ["partition_date"],
+        [],
+        ["total"],
+    ),
+    "file_census": "SELECT count(DISTINCT CAST(ts AS DATE)) AS n_files FROM events",
     "seed_table": (
         "SELECT CAST(c_custkey AS VARCHAR) AS energy_source_code, "
         "c_name || ', \"' || c_mktsegment || '\"' AS energy_source_name FROM customer"

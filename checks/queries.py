@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,9 +44,10 @@ from wattframe.operators.marts import (
 from wattframe.operators.paging import number_rows, page_count, page_slice
 from wattframe.operators.staging import stage
 from wattframe.operators.upsert import upsert
+from wattframe.plans import jobs
 from wattframe.plans.build import build_readings, run
 from wattframe.plans.warehouse import Warehouse
-from wattframe.sources.landing import append_landing, conform, load_all, read_landing
+from wattframe.sources.landing import append_landing, conform, file_census, load_all, read_landing
 from wattframe.sources.marts import coerce_mart
 from wattframe.sources.pages import (
     normalize_feed_columns,
@@ -54,6 +57,7 @@ from wattframe.sources.pages import (
     union_pages,
 )
 from wattframe.sources.seeds import SEED_COLUMNS, normalize_seed_columns, read_seed, write_seed
+from wattframe.streaming.extracts import stream_whole_extracts
 from wattframe.streaming.landing import stream_landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +71,7 @@ REFRESHED = "2024-01-30"
 STAMP = "2024-02-01 06:00:00"
 FUELS = ("Wind", "Coal", "Natural gas", "Nuclear")
 FLOWS = ("USA → Canada", "Canada → Mexico", "Mexico → USA")
+EVENT_KINDS = ("view", "click", "purchase", "signup", "error")
 PAGE_KEY = ("period", "user_id", "event_type", "event_id")
 
 
@@ -295,6 +300,89 @@ def _streamed_landing(spark: SparkSession, d: str) -> DataFrame:
     return portable(read_landing(spark, f"{root}/landing", GENERATION).drop("ingestion_time"))
 
 
+def _page_files_ingest(spark: SparkSession, d: str) -> DataFrame:
+    """A month's page files through the monthly job: counted and written in one pass, landed."""
+    house = Warehouse(spark, shared_folder(spark))
+    month = envelopes(spark, d, GENERATION, extract="trunc(partition_date, 'month')")
+    month.select("body").write.text(f"{house.root}/pages")
+    jobs.ingest(
+        house, GENERATION, f"{house.root}/pages", date(2024, 1, 1), STAMP, monthly=True, lines=True
+    )
+    return portable(house.landing(GENERATION))
+
+
+def _whole_extracts(spark: SparkSession, d: str) -> DataFrame:
+    """Hourly extracts whose pages arrive in two deliveries; pages of errors came without their
+    rows, so the extracts of their hours never are whole."""
+    root = shared_folder(spark)
+    hourly = envelopes(spark, d, GENERATION, lossy=True, extract="period")
+    hourly = hourly.withColumn("late", F.col("kind") == "click").repartition("extract_date")
+    for late in (False, True):
+        some = hourly.where(F.col("late") == late).select("body", "extract_date")
+        some.write.mode("append").partitionBy("extract_date").text(f"{root}/pages")
+        stream_whole_extracts(
+            spark, f"{root}/pages", GENERATION, f"{root}/landing", f"{root}/state", lines=True,
+            ingestion_time=STAMP,
+        ).awaitTermination()
+    return portable(read_landing(spark, f"{root}/landing", GENERATION))
+
+
+def _extract_of_kind(spark: SparkSession, d: str, path: str, kind: str, value: str) -> None:
+    rows = landing(spark, d, GENERATION).where(F.col("type_name") == kind)
+    rows.withColumn("value", F.col("value").cast(value)).write.mode("overwrite").parquet(path)
+
+
+def _mixed_extracts(spark: SparkSession, d: str) -> DataFrame:
+    """Five extracts whose measures are of four types, landed in one load."""
+    root = shared_folder(spark)
+    types = ("string", "double", "decimal(12,2)", "string", "float")
+    for kind, value in zip(EVENT_KINDS, types):
+        _extract_of_kind(spark, d, f"{root}/api/{kind}.parquet", kind, value)
+    load_all(spark, [f"{root}/api"], GENERATION, f"{root}/landing")
+    rows = read_landing(spark, f"{root}/landing", GENERATION)
+    # a float is near to the two decimals that it was made from
+    return portable(rows.withColumn("value", F.round("value", 2)))
+
+
+def _landed_once(spark: SparkSession, d: str) -> DataFrame:
+    """Extracts loaded twice through a ledger, then once more with one of them pulled again."""
+    root = shared_folder(spark)
+
+    def load() -> None:
+        load_all(spark, [f"{root}/api"], GENERATION, f"{root}/landing", f"{root}/ledger")
+
+    for kind in EVENT_KINDS:
+        _extract_of_kind(spark, d, f"{root}/api/{kind}.parquet", kind, "string")
+    load()
+    load()
+    _extract_of_kind(spark, d, f"{root}/api/click.parquet", "click", "double")
+    load()
+    return portable(read_landing(spark, f"{root}/landing", GENERATION))
+
+
+def _exports(spark: SparkSession, d: str) -> DataFrame:
+    """One export of each feed, landed; rows and measures by feed and day."""
+    house = Warehouse(spark, shared_folder(spark))
+    for name, feed in FEEDS.items():
+        landing(spark, d, feed).write.parquet(f"{house.root}/batch/{name}.parquet")
+    jobs.exports(house, {name: f"{house.root}/batch/{name}.parquet" for name in FEEDS})
+    parts = [
+        house.landing(feed)
+        .groupBy(F.lit(name).alias("feed"), "partition_date")
+        .agg(F.count("*").alias("n_rows"), F.sum("value").alias("total"))
+        for name, feed in FEEDS.items()
+    ]
+    return portable(reduce(DataFrame.unionAll, parts))
+
+
+def _census(spark: SparkSession, d: str) -> DataFrame:
+    """Extract files of a lake: one for each day of the month, written by a job."""
+    root = shared_folder(spark)
+    days = landing(spark, d, GENERATION).withColumn("day", F.col("partition_date"))
+    days.repartition("day").write.partitionBy("day").parquet(f"{root}/api/generation")
+    return file_census(spark, root)
+
+
 def _land_early(house: Warehouse, d: str) -> None:
     rows = landing(house.spark, d, GENERATION)
     early = rows.where(F.col("partition_date") <= F.lit(BUILT_TO).cast("date"))
@@ -426,6 +514,12 @@ QUERIES: dict[str, Query] = {
     "coerce_mart": _coerce,
     "landing_table": _landing_table,
     "streamed_landing": _streamed_landing,
+    "whole_extracts": _whole_extracts,
+    "page_files_ingest": _page_files_ingest,
+    "mixed_extracts": _mixed_extracts,
+    "landed_once": _landed_once,
+    "exported_landing": _exports,
+    "file_census": _census,
     "seed_table": _seed_table,
     "stored_refresh": _stored_refresh,
     "stored_full_run_generation": _stored_run("marts_generation", True),

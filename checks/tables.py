@@ -132,12 +132,15 @@ def balancing_authorities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def envelopes(spark: SparkSession, sf_dir: str, feed: Feed, lossy: bool = False) -> DataFrame:
-    """Pages as JSON text (``body``), with the day of their extract. ``lossy`` pages of errors
-    came without their rows."""
+def envelopes(
+    spark: SparkSession, sf_dir: str, feed: Feed, lossy: bool = False, extract: str = "partition_date"
+) -> DataFrame:
+    """Pages as JSON text (``body``), with the ``extract_date`` (day, or ``extract``) of their
+    extract. ``lossy`` pages of errors came without their rows."""
     lost = F.col(feed.parties[1].raw_name) == "error" if lossy else F.lit(False)
     events = landing(spark, sf_dir, feed).withColumn("lost", lost)
-    declared = events.groupBy("partition_date").agg(F.count(F.lit(1)).alias("total"))
+    events = events.withColumn("extract", F.expr(extract))
+    declared = events.groupBy("extract").agg(F.count(F.lit(1)).alias("total"))
     names = ["period"]
     for p in feed.parties:
         names += [p.raw_id, p.raw_name]
@@ -145,8 +148,9 @@ def envelopes(spark: SparkSession, sf_dir: str, feed: Feed, lossy: bool = False)
         *(F.col(c).alias(c.replace("_", "-")) for c in [*names, "value", "value_units"])
     )
     page = F.struct("total", F.when(F.col("lost"), F.array()).otherwise(F.array(row)).alias("data"))
-    return events.join(bounded_broadcast(declared), "partition_date").select(
-        F.col("partition_date").alias("extract_date"),
+    return events.join(bounded_broadcast(declared), "extract").select(
+        F.col("extract").alias("extract_date"),
+        F.col(feed.parties[1].raw_name).alias("kind"),
         F.to_json(F.struct(page.alias("response"))).alias("body"),
     )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 
@@ -17,3 +19,14 @@ def executed(frame: DataFrame) -> str:
 
 def count(plan: str, node: str) -> int:
     return sum(line.lstrip(" :+-*()0123456789").startswith(node) for line in plan.splitlines())
+
+
+def jobs_of(spark, work) -> int:
+    """Spark jobs that ``work`` starts in this thread."""
+    context, group = spark.sparkContext, f"counted-{uuid.uuid4().hex}"
+    context.setJobGroup(group, group)
+    try:
+        work()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    return len(context.statusTracker().getJobIdsForGroup(group))

@@ -9,8 +9,10 @@ from wattframe.__main__ import main
 from wattframe.feeds import FEEDS
 from wattframe.plans import jobs
 from wattframe.plans.warehouse import Warehouse
+from wattframe.sources.extracts import write_checked_extract
+from wattframe.sources.landing import extract_path
 from wattframe.sources.marts import read_mart
-from wattframe.sources.pages import TotalMismatch
+from wattframe.sources.pages import TotalMismatch, read_pages
 
 SEEDS = {
     "balancing_authorities": "BA Code,BA Name,Time Zone,Region/Country Code,Region/Country Name,"
@@ -97,6 +99,21 @@ def test_a_wrong_total_lands_nothing(house, tmp_path):
     assert not house.has("landing_generation")
 
 
+def test_catch_up_lands_what_is_new(house, tmp_path):
+    feed = FEEDS["generation"]
+    jobs.monthly(house, date(2024, 1, 1), deliver(tmp_path / "p1", "2024-01-01", 3), "2024-02-01")
+    assert set(jobs.catch_up(house).values()) == {0}
+    # an extract that was written but not landed, and one that was pulled again
+    pages = read_pages(house.spark, deliver(tmp_path / "p2", "2024-02-01", 4)["generation"], feed)
+    for month, stamp in ((2, "2024-03-01"), (1, "2024-03-02")):
+        path = extract_path(house.root, feed, date(2024, month, 1), monthly=True)
+        assert write_checked_extract(pages, feed, stamp, path)
+    landed = jobs.catch_up(house)
+    assert landed["generation"] > 0 and sum(landed.values()) == landed["generation"]
+    assert house.landing(feed).count() == 6
+    assert set(jobs.catch_up(house).values()) == {0}
+
+
 def test_command_line(spark, house, tmp_path, capsys):
     given = deliver(tmp_path / "p", "2024-01-01", 3)
     feeds = [a for f, path in given.items() for a in (f"--{f.replace('_', '-')}", path)]
@@ -107,6 +124,8 @@ def test_command_line(spark, house, tmp_path, capsys):
     main([*root, "exports", "--generation", export])  # the same rows again
     main([*root, "run", "--as-of", "2024-01-31"])
     assert house.landing(FEEDS["generation"]).count() == 4
+    main([*root, "catch-up"])  # every extract has landed
+    assert house.landing(FEEDS["generation"]).count() == 4
     assert house.table("marts_generation").first()["total_generation"] == 6
     with pytest.raises(SystemExit):
         main([*root, "run"])

@@ -38,6 +38,8 @@ def parser() -> argparse.ArgumentParser:
     for feed in FEEDS:
         exports.add_argument(f"--{feed.replace('_', '-')}", dest=feed, help="Parquet export")
 
+    job.add_parser("catch-up", help="land all extracts that have not landed as they are now")
+
     build = job.add_parser("run", help="transform landed readings")
     build.add_argument("--as-of", type=date.fromisoformat, required=True)
     build.add_argument("--mode", choices=MODES, default=FULL)
@@ -57,6 +59,8 @@ def main(argv: list[str] | None = None) -> None:
         jobs.load_seeds(house, args.folder)
     elif args.job == "exports":
         jobs.exports(house, given)
+    elif args.job == "catch-up":
+        jobs.catch_up(house)
     elif args.job == "run":
         run(house, args.as_of, args.mode, args.window_days, args.merge_days, not args.window_only)
     else:

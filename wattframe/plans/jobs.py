@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
@@ -10,8 +11,10 @@ from wattframe.feeds import FEEDS, Feed
 from wattframe.operators.increments import REFRESH, WINDOW_DAYS, mode_for
 from wattframe.plans.build import run
 from wattframe.plans.warehouse import Warehouse
-from wattframe.sources.landing import extract_path, load_daily, load_exports, write_extract
-from wattframe.sources.pages import checked_rows, read_pages
+from wattframe.sources.extracts import write_checked_extract
+from wattframe.sources.files import exists
+from wattframe.sources.landing import extract_path, extracts_folder, load_all, load_daily, load_exports
+from wattframe.sources.pages import read_pages
 from wattframe.sources.seeds import SEED_COLUMNS, write_seed
 
 
@@ -29,20 +32,38 @@ def ingest(
     day: date,
     ingestion_time: datetime | str,
     monthly: bool = False,
+    lines: bool = False,
 ) -> str | None:
     """Pages of one feed and day (or month) -> checked extract -> landing table.
 
-    Returns the extract's path. An extract that declares no rows writes nothing.
+    Returns the extract's path. An extract that declares no rows writes nothing. What lands is
+    entered in the feed's ledger, so that :func:`catch_up` leaves it out.
     """
-    rows = checked_rows(read_pages(warehouse.spark, pages, feed), ingestion_time)
-    if rows is None:
-        return None
+    spark = warehouse.spark
     path = extract_path(warehouse.root, feed, day, monthly)
-    write_extract(rows, feed, path)
-    load_daily(warehouse.spark, path, feed, warehouse.path(feed.landing_table))
+    raw = read_pages(spark, pages, feed, lines)
+    if not write_checked_extract(raw, feed, ingestion_time, path, warehouse.building("extracts")):
+        return None
+    load_daily(spark, path, feed, warehouse.path(feed.landing_table), warehouse.ledger(feed))
     return path
 
 
+def catch_up(warehouse: Warehouse, feeds: Iterable[str] = tuple(FEEDS)) -> dict[str, int]:
+    """Land all extracts of the feeds that have not landed as they are now, in one load a feed.
+
+    Returns the number of files landed. A feed without extracts has none.
+    """
+    landed = {}
+    for name in feeds:
+        feed = FEEDS[name]
+        folder = extracts_folder(warehouse.root, feed)
+        landed[name] = 0
+        if exists(warehouse.spark, folder):
+            target = warehouse.path(feed.landing_table)
+            landed[name] = load_all(warehouse.spark, [folder], feed, target, warehouse.ledger(feed))
+    return landed
+
+
 def daily(
     warehouse: Warehouse,
     logical_date: date,

@@ -36,6 +36,14 @@ class Warehouse:
         layer = "seeds" if table in SEED_COLUMNS else table.split("_", 1)[0]
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
+    def ledger(self, feed: Feed) -> str:
+        """Where the feed's landed extracts are entered."""
+        return f"{self.root.rstrip('/')}/ledger/{feed.name}"
+
+    def building(self, table: str) -> str:
+        """Where a table stands until it is complete."""
+        return f"{self.root.rstrip('/')}/building/{table}"
+
     def landing(self, feed: Feed) -> DataFrame:
         return read_landing(self.spark, self.path(feed.landing_table), feed)
 
