@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,9 +46,11 @@ from wattframe.operators.staging import stage
 from wattframe.operators.upsert import upsert
 from wattframe.plans import jobs
 from wattframe.plans.build import build_readings, run
+from wattframe.plans.cache import MartCache
 from wattframe.plans.warehouse import Warehouse
 from wattframe.sources.landing import append_landing, conform, file_census, load_all, read_landing
-from wattframe.sources.marts import coerce_mart
+from wattframe.sources.layout import layout_report
+from wattframe.sources.marts import coerce_mart, load_marts
 from wattframe.sources.pages import (
     normalize_feed_columns,
     page_rows,
@@ -383,48 +385,162 @@ def _census(spark: SparkSession, d: str) -> DataFrame:
     return file_census(spark, root)
 
 
-def _land_early(house: Warehouse, d: str) -> None:
-    rows = landing(house.spark, d, GENERATION)
+def _layout(spark: SparkSession, d: str) -> DataFrame:
+    """A landing table of two loads, one day with a third of all rows, after its days were put in
+    order; rows, misplaced rows and overlapping files of each day."""
+    house = Warehouse(spark, shared_folder(spark))
+    hot = F.when(F.col("type_name") == "view", F.lit("2024-01-15").cast("date"))
+    rows = landing(spark, d, GENERATION)
+    rows = rows.withColumn("partition_date", F.coalesce(hot, "partition_date"))
+    for late in (False, True):
+        some = rows.where((F.col("type_name") == "click") == late)
+        append_landing(some, GENERATION, house.path(GENERATION.landing_table))
+    jobs.recluster(house, GENERATION)
+    report = layout_report(spark, house.path(GENERATION.landing_table), GENERATION)
+    return portable(report.drop("n_files"))
+
+
+def _land_early(house: Warehouse, d: str, feed: Feed = GENERATION) -> None:
+    rows = landing(house.spark, d, feed)
     early = rows.where(F.col("partition_date") <= F.lit(BUILT_TO).cast("date"))
-    append_landing(early, GENERATION, house.path(GENERATION.landing_table))
+    append_landing(early, feed, house.path(feed.landing_table))
 
 
-def _land_corrected(house: Warehouse, d: str) -> None:
-    corrected = landing(house.spark, d, GENERATION).withColumns(
+def _land_corrected(house: Warehouse, d: str, feed: Feed = GENERATION) -> None:
+    corrected = landing(house.spark, d, feed).withColumns(
         {
             "value": F.col("value") + 1,
             "ingestion_time": F.col("ingestion_time") + F.expr("interval 1 day"),
         }
     )
-    append_landing(corrected, GENERATION, house.path(GENERATION.landing_table))
+    append_landing(corrected, feed, house.path(feed.landing_table))
 
 
-def _stored_run(table: str, rebuild_all: bool) -> Query:
-    """A table read back after a full run to BUILT_TO, a correction and a refresh."""
+def _with_seeds(spark: SparkSession, d: str) -> Warehouse:
+    house = Warehouse(spark, shared_folder(spark))
+    for name, seed in (
+        ("energy_sources", energy_sources(spark, d)),
+        ("balancing_authorities", balancing_authorities(spark, d)),
+    ):
+        columns = [
+            (F.col(c) if c in seed.columns else F.lit(None).cast("string")).alias(c)
+            for c in SEED_COLUMNS[name]
+        ]
+        write_seed(seed.select(*columns), house.path(name))
+    return house
+
+
+def _corrected_run(
+    spark: SparkSession,
+    d: str,
+    feed: Feed,
+    rebuild_all: bool,
+    as_of: str = REFRESHED,
+    window_days: int = 7,
+) -> Warehouse:
+    """A full run to BUILT_TO, a correction of one feed, and a refresh."""
+    house = _with_seeds(spark, d)
+    for other in FEEDS.values():
+        if other is not feed:
+            append_landing(landing(spark, d, other), other, house.path(other.landing_table))
+    _land_early(house, d, feed)
+    run(house, BUILT_TO, "full")
+    _land_corrected(house, d, feed)
+    run(house, as_of, "refresh", window_days, rebuild_all=rebuild_all)
+    return house
+
+
+def _stored_run(table: str, feed: Feed, rebuild_all: bool, **options) -> Query:
+    """A table read back after a full run, a correction and a refresh."""
 
     def query(spark: SparkSession, d: str) -> DataFrame:
-        house = Warehouse(spark, shared_folder(spark))
-        for name, seed in (
-            ("energy_sources", energy_sources(spark, d)),
-            ("balancing_authorities", balancing_authorities(spark, d)),
-        ):
-            columns = [
-                (F.col(c) if c in seed.columns else F.lit(None).cast("string")).alias(c)
-                for c in SEED_COLUMNS[name]
-            ]
-            write_seed(seed.select(*columns), house.path(name))
-        for feed in FEEDS.values():
-            if feed is not GENERATION:
-                append_landing(landing(spark, d, feed), feed, house.path(feed.landing_table))
-        _land_early(house, d)
-        run(house, BUILT_TO, "full")
-        _land_corrected(house, d)
-        run(house, REFRESHED, "refresh", rebuild_all=rebuild_all)
-        return portable(house.table(table))
+        return portable(_corrected_run(spark, d, feed, rebuild_all, **options).table(table))
 
     return query
 
 
+def _display(spark: SparkSession, d: str) -> DataFrame:
+    """A stored mart read for display, and one that there is only a CSV of, with where each came
+    from: flows from the table, fuels from the file."""
+    house = _with_seeds(spark, d)
+    mart = house.replace("marts_interchange", _mart_interchange(spark, d))
+    csv = f"{house.root}/generation.csv"
+    _mart_history(spark, d).write.csv(csv, header=True)
+    spark.catalog.dropTempView("marts_generation")
+    marts, sources = load_marts(spark, {"marts_interchange": "/absent.csv", "marts_generation": csv})
+    flows = series.flow_series(marts["marts_interchange"], FLOWS).select(
+        F.lit(sources["marts_interchange"]).alias("source"),
+        "recorded_date",
+        F.col("flow").alias("name"),
+        F.col("interchange").cast("double").alias("value"),
+    )
+    fuels = series.fuel_series_absolute(marts["marts_generation"], FUELS).select(
+        F.lit(sources["marts_generation"]).alias("source"),
+        F.make_date("Year", F.lit(1), F.lit(1)).alias("recorded_date"),
+        F.col("Fuel").alias("name"),
+        F.round("value", 6).alias("value"),
+    )
+    assert mart.columns == marts["marts_interchange"].columns
+    return portable(flows.unionAll(fuels))
+
+
+def _cached(spark: SparkSession, d: str) -> DataFrame:
+    """A mart kept in the cache, read before and after its table was rebuilt by a refresh."""
+    house = _with_seeds(spark, d)
+    for feed in FEEDS.values():
+        _land_early(house, d, feed)
+    run(house, BUILT_TO, "full")
+    cache = MartCache(house)
+    before = cache.get("marts_interchange").agg(F.count("*").alias("n")).first()["n"]
+    _land_corrected(house, d, INTERCHANGE)
+    run(house, REFRESHED, "refresh", rebuild_all=False)
+    after = cache.get("marts_interchange")
+    return portable(after.withColumn("rows_before", F.lit(before).cast("bigint")))
+
+
+def _scheduled(spark: SparkSession, d: str) -> DataFrame:
+    """Two daily runs over page files: one dated before today only lands its extract, one dated
+    today transforms, too. Their ``landed`` rows, and whether readings existed by then."""
+    house = _with_seeds(spark, d)
+    for feed in FEEDS.values():
+        if feed is not GENERATION:
+            append_landing(landing(spark, d, feed), feed, house.path(feed.landing_table))
+    today = date.fromisoformat(REFRESHED)
+    parts = []
+    for days_ago in (1, 0):
+        logical = today - timedelta(days=days_ago)
+        day = logical - timedelta(days=GENERATION.lag_days)
+        one = envelopes(spark, d, GENERATION).where(F.col("extract_date") == F.lit(day))
+        one.select("body").write.text(f"{house.root}/pages/{day}")
+        jobs.daily(
+            house, logical, today, {"generation": f"{house.root}/pages/{day}"}, STAMP, lines=True
+        )
+        landed = house.landing(GENERATION).count()
+        readings = house.readings(GENERATION)
+        parts.append((str(logical), landed, readings is not None, readings.count() if readings else 0))
+    return spark.createDataFrame(
+        parts, "logical_date string, landed bigint, transformed boolean, readings bigint"
+    )
+
+
+def _of_today(spark: SparkSession, d: str) -> DataFrame:
+    """The forecast mart and the look-back as of the current date, over readings moved so that the
+    last day of the data is today; days as their distance from it."""
+    rows = landing(spark, d, FORECAST)
+    shift = F.date_diff(F.current_date(), F.lit("2024-01-30").cast("date"))
+    moved = F.date_add("partition_date", shift)
+    hour = F.substring("period", 11, 3)
+    rows = rows.withColumns(
+        {"partition_date": moved, "period": F.concat(moved.cast("string"), hour)}
+    )
+    staged = stage(rows, FORECAST)
+    mart = marts_forecast(latest_readings(staged, FORECAST), days=20).withColumn(
+        "in_window", within_window()
+    )
+    ago = F.date_diff(F.current_date(), "recorded_date").cast("bigint")
+    return portable(mart.withColumn("days_ago", ago).drop("recorded_date"))
+
+
 def _stored_refresh(spark: SparkSession, d: str) -> DataFrame:
     """A stored table built to BUILT_TO, then refreshed from a corrected delivery."""
     house = Warehouse(spark, shared_folder(spark))
@@ -520,12 +636,27 @@ QUERIES: dict[str, Query] = {
     "landed_once": _landed_once,
     "exported_landing": _exports,
     "file_census": _census,
+    "landing_layout": _layout,
     "seed_table": _seed_table,
     "stored_refresh": _stored_refresh,
-    "stored_full_run_generation": _stored_run("marts_generation", True),
-    "stored_window_run_generation": _stored_run("marts_generation", False),
-    "stored_full_run_dim_generation": _stored_run("dim_generation", True),
-    "stored_window_run_dim_generation": _stored_run("dim_generation", False),
+    **{
+        f"stored_{kind}_run_{name}": _stored_run(table, feed, kind == "full")
+        for kind in ("full", "window")
+        for name, table, feed in (
+            ("generation", "marts_generation", GENERATION),
+            ("dim_generation", "dim_generation", GENERATION),
+            ("interchange", "marts_interchange", INTERCHANGE),
+            ("dim_interchange", "dim_interchange", INTERCHANGE),
+            ("forecast", "marts_forecast", FORECAST),
+        )
+    },
+    "stored_window_run_forecast_trailing": _stored_run(
+        "marts_forecast", FORECAST, False, as_of=LATER, window_days=12
+    ),
+    "stored_mart_display": _display,
+    "cached_marts": _cached,
+    "scheduled_days": _scheduled,
+    "as_of_today": _of_today,
     "page_slice": lambda spark, d: page_slice(_paged(spark, d), PAGE_KEY, 1, 1000),
     "page_index": _page_index,
     "page_counts": _page_counts,

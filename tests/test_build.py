@@ -250,8 +250,7 @@ def test_dimension_too_large_to_broadcast(warehouse, make_landing, monkeypatch):
         land(warehouse, make_landing, name, [1, 2, 3], 1)
         build_readings(warehouse, FEEDS[name], "full", "2024-01-18")
     small = [sorted(d.collect()) for d in build_dimensions(warehouse)]
-    monkeypatch.setattr("wattframe.operators.dimensions.fits_broadcast", lambda *_: False)
-    monkeypatch.setattr("wattframe.plans.build.fits_broadcast", lambda *_: False)
+    monkeypatch.setattr("wattframe.plans.warehouse.SEED_BROADCAST_BYTES", 0)
     warehouse.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
         assert [sorted(d.collect()) for d in build_dimensions(warehouse)] == small

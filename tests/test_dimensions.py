@@ -74,7 +74,8 @@ def test_interchange_plays_the_dimension_twice(make_landing, authorities):
 
 
 def test_one_broadcast_serves_both_roles(make_landing, authorities):
-    dim = dim_interchange(readings(make_landing, "interchange", [(P, "aaa", "bbb", 1, T)]), authorities)
+    rows = readings(make_landing, "interchange", [(P, "aaa", "bbb", 1, T)])
+    dim = dim_interchange(rows, F.broadcast(authorities))
     final = executed(dim).split("+- == Initial Plan ==")[0]
     assert count(final, "BroadcastHashJoin") == 2 and "SortMergeJoin" not in final
     assert "ReusedExchange" in final
@@ -94,12 +95,11 @@ def test_a_dimension_is_broadcast_only_within_its_bounds(spark, make_landing):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_large_dimension_gives_the_same_rows(monkeypatch, make_landing, authorities, sources):
+def test_large_dimension_gives_the_same_rows(make_landing, authorities, sources):
     rows = [(P, who, fuel, 1, T) for who in ("aaa", "bbb", "zzz") for fuel in ("wnd", "col", "qqq")]
     args = readings(make_landing, "generation", rows), fuel_lookup(sources), authorities
     small = sorted(dim_generation(*args).collect())
-    monkeypatch.setattr("wattframe.operators.dimensions.bounded_broadcast", lambda d: d.hint("merge"))
-    large = dim_generation(*args)
+    large = dim_generation(args[0], *(d.hint("merge") for d in args[1:]))
     assert "SortMergeJoin" in planned(large)
     assert sorted(large.collect()) == small
 

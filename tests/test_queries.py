@@ -19,11 +19,25 @@ def db():
     return connection
 
 
-def test_every_query_has_sql():
-    assert queries().keys() == oracle_sql().keys()
+#: Queries that SQL cannot express. Each is held against a plain computation in tests/llm.
+BRUTE_FORCE = {
+    "op3_quality",
+    "op4_toxicity",
+    "op5_packing",
+    "op7_near_dedup",
+    "op8_line_dedup",
+    "op9_suffix_array",
+    "op13_whitening",
+    "pipeline",
+}
 
 
-@pytest.mark.parametrize("name", queries())
+def test_every_query_has_sql_or_a_plain_test():
+    assert oracle_sql().keys() <= queries().keys()
+    assert queries().keys() - oracle_sql().keys() <= BRUTE_FORCE
+
+
+@pytest.mark.parametrize("name", oracle_sql())
 def test_query_equals_sql(spark, db, name):
     frame = queries()[name](spark, SF_TINY)
     answer = db.execute(oracle_sql()[name])

@@ -12,6 +12,7 @@ from wattframe.operators.increments import FULL, MODES, WINDOW_DAYS
 from wattframe.plans import jobs
 from wattframe.plans.build import run
 from wattframe.plans.warehouse import Warehouse
+from wattframe.sources.files import exists
 
 
 def parser() -> argparse.ArgumentParser:
@@ -40,6 +41,8 @@ def parser() -> argparse.ArgumentParser:
 
     job.add_parser("catch-up", help="land all extracts that have not landed as they are now")
 
+    job.add_parser("recluster", help="write the days again whose files overlap or are out of order")
+
     build = job.add_parser("run", help="transform landed readings")
     build.add_argument("--as-of", type=date.fromisoformat, required=True)
     build.add_argument("--mode", choices=MODES, default=FULL)
@@ -61,6 +64,10 @@ def main(argv: list[str] | None = None) -> None:
         jobs.exports(house, given)
     elif args.job == "catch-up":
         jobs.catch_up(house)
+    elif args.job == "recluster":
+        for feed in FEEDS.values():
+            if exists(spark, house.path(feed.landing_table)):
+                jobs.recluster(house, feed)
     elif args.job == "run":
         run(house, args.as_of, args.mode, args.window_days, args.merge_days, not args.window_only)
     else:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from wattframe.feeds import MEASURE
 from wattframe.functions.grid import country_of_flag, country_of_region, energy_class
 
 #: A dimension is broadcast only when it is proven to stay within both bounds.
@@ -45,6 +47,35 @@ def bounded_broadcast(
     return F.broadcast(dimension) if fits_broadcast(dimension, max_rows, max_bytes) else dimension
 
 
+DIM_SCHEMAS = {
+    "dim_generation": T.StructType(
+        [
+            T.StructField("recorded_date", T.DateType()),
+            T.StructField("recorded_hour", T.LongType()),
+            T.StructField("ba", T.StringType()),
+            T.StructField("name", T.StringType()),
+            T.StructField("fuel", T.StringType()),
+            T.StructField("num_units", MEASURE),
+            T.StructField("energy_type", T.StringType()),
+            T.StructField("region_or_country_code", T.StringType()),
+            T.StructField("country", T.StringType()),
+        ]
+    ),
+    "dim_interchange": T.StructType(
+        [
+            T.StructField("recorded_date", T.DateType()),
+            T.StructField("provider_id", T.StringType()),
+            T.StructField("provider_name", T.StringType()),
+            T.StructField("provider_country", T.StringType()),
+            T.StructField("recipient_id", T.StringType()),
+            T.StructField("recipient_name", T.StringType()),
+            T.StructField("recipient_country", T.StringType()),
+            T.StructField("interchange", MEASURE),
+        ]
+    ),
+}
+
+
 def fuel_lookup(energy_sources: DataFrame) -> DataFrame:
     return energy_sources.select(
         F.col("energy_source_code").alias("fuel_id"),
@@ -56,7 +87,9 @@ def fuel_lookup(energy_sources: DataFrame) -> DataFrame:
 def dim_generation(readings: DataFrame, fuels: DataFrame, authorities: DataFrame) -> DataFrame:
     """Generation readings with fuel and authority attributes.
 
-    Inner joins: readings of an unknown fuel or authority are dropped.
+    Inner joins: readings of an unknown fuel or authority are dropped. No job measures the
+    dimensions: one that its owner knows to be small comes with a broadcast hint, others are
+    planned by the sizes of their files, and joined by shuffle where these are large.
     """
     authority = authorities.select(
         F.col("ba_code").alias("ba"),
@@ -66,8 +99,8 @@ def dim_generation(readings: DataFrame, fuels: DataFrame, authorities: DataFrame
     )
     return (
         readings.withColumnRenamed("respondent_id", "ba")
-        .join(bounded_broadcast(fuels), "fuel_id")
-        .join(bounded_broadcast(authority), "ba")
+        .join(fuels, "fuel_id")
+        .join(authority, "ba")
         .select(
             "recorded_date",
             "recorded_hour",
@@ -87,12 +120,10 @@ def dim_interchange(readings: DataFrame, authorities: DataFrame) -> DataFrame:
 
     The same slim authority table plays both roles, so one broadcast serves both joins.
     """
-    authority = bounded_broadcast(
-        authorities.select(
-            "ba_code",
-            "ba_name",
-            country_of_flag(F.col("us_ba"), F.col("region_or_country_name")).alias("country"),
-        )
+    authority = authorities.select(
+        "ba_code",
+        "ba_name",
+        country_of_flag(F.col("us_ba"), F.col("region_or_country_name")).alias("country"),
     )
     provider, recipient = authority.alias("provider"), authority.alias("recipient")
     return (

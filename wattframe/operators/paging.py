@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattframe.checkpoints import cut_lineage
-from wattframe.operators.dimensions import bounded_broadcast
 
 #: Rows per page.
 PAGE_SIZE = 5000
@@ -18,9 +17,30 @@ def page_count(rows: Column, page_size: int = PAGE_SIZE) -> Column:
     return F.ceil(rows / F.lit(page_size)).cast("bigint")
 
 
-def _running_total(size: str, order_by: str) -> Column:
-    before = Window.orderBy(order_by).rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum(size).over(before), F.lit(0))
+def _starts(sizes: DataFrame) -> DataFrame:
+    """(part, start): the sizes of the partitions before each one. ``sizes`` has a row for each
+    partition of a shuffle, so one task holds them, and they are small enough to broadcast."""
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start")
+    return F.broadcast(sizes.select("part", start))
+
+
+def running_totals(sizes: DataFrame, order_by: str) -> DataFrame:
+    """``sizes`` (one row for each value of ``order_by``, with its ``size``) with ``start``: the
+    sizes of all rows before.
+
+    Prefix sums in two levels: rows are ranged over the partitions and summed within each, and
+    the sums of whole partitions are added. No task sees more than its range.
+    """
+    # both levels must see the same partitions
+    ranged = cut_lineage(
+        sizes.repartitionByRange(order_by).withColumn("part", F.spark_partition_id())
+    )
+    before = Window.partitionBy("part").orderBy(order_by).rowsBetween(Window.unboundedPreceding, -1)
+    parts = ranged.groupBy("part").agg(F.sum("size").alias("size"))
+    within = ranged.withColumn("within", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    started = within.join(_starts(parts), "part")
+    return started.withColumn("start", F.col("start") + F.col("within")).drop("part", "within")
 
 
 def number_rows(rows: DataFrame, order_by: Sequence[str]) -> DataFrame:
@@ -42,9 +62,8 @@ def number_rows(rows: DataFrame, order_by: Sequence[str]) -> DataFrame:
         .withColumn("place", F.monotonically_increasing_id().bitwiseAND(low_bits))
     )
     sizes = placed.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
-    starts = sizes.select("part", _running_total("size", "part").alias("start"))
     return (
-        placed.join(bounded_broadcast(starts), "part")
+        placed.join(_starts(sizes), "part")
         .withColumn("position", F.col("start") + F.col("place"))
         .drop("part", "place", "start")
     )
@@ -67,7 +86,7 @@ def page_slice(
     first, last = page * page_size, (page + 1) * page_size
     per_period = rows.groupBy(lead).agg(F.count(F.lit(1)).alias("size"))
     touched = (
-        per_period.select(lead, "size", _running_total("size", lead).alias("start"))
+        running_totals(per_period, lead)
         .where((F.col("start") < last) & (F.col("start") + F.col("size") > first))
         .agg(
             F.min(lead).alias("low"),

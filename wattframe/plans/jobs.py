@@ -14,6 +14,7 @@ from wattframe.plans.warehouse import Warehouse
 from wattframe.sources.extracts import write_checked_extract
 from wattframe.sources.files import exists
 from wattframe.sources.landing import extract_path, extracts_folder, load_all, load_daily, load_exports
+from wattframe.sources.layout import layout_report, recluster_days
 from wattframe.sources.pages import read_pages
 from wattframe.sources.seeds import SEED_COLUMNS, write_seed
 
@@ -64,6 +65,19 @@ def catch_up(warehouse: Warehouse, feeds: Iterable[str] = tuple(FEEDS)) -> dict[
     return landed
 
 
+def recluster(warehouse: Warehouse, feed: Feed) -> list[date]:
+    """Write the days of a feed's landing table again whose files overlap or are out of order.
+
+    Returns the days; there are as many at most as the table has partitions.
+    """
+    path = warehouse.path(feed.landing_table)
+    report = layout_report(warehouse.spark, path, feed)
+    bad = report.where("misplaced > 0 OR overlapping > 0").select("partition_date")
+    days = sorted(r["partition_date"] for r in bad.collect())
+    recluster_days(warehouse.spark, path, feed, days)
+    return days
+
+
 def daily(
     warehouse: Warehouse,
     logical_date: date,
@@ -72,6 +86,7 @@ def daily(
     ingestion_time: datetime | str,
     window_days: int = WINDOW_DAYS,
     rebuild_all: bool = True,
+    lines: bool = False,
 ) -> dict[str, DataFrame] | None:
     """Land one day's pages, given per feed. Only a run dated today also transforms.
 
@@ -79,7 +94,8 @@ def daily(
     """
     for name, path in pages.items():
         feed = FEEDS[name]
-        ingest(warehouse, feed, path, logical_date - timedelta(days=feed.lag_days), ingestion_time)
+        day = logical_date - timedelta(days=feed.lag_days)
+        ingest(warehouse, feed, path, day, ingestion_time, lines=lines)
     if mode_for(logical_date, today) == REFRESH:
         return run(warehouse, today, REFRESH, window_days, rebuild_all=rebuild_all)
     return None

@@ -2,27 +2,30 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattframe.feeds import FEEDS, Feed
-from wattframe.operators.dimensions import fuel_lookup
+from wattframe.operators.dimensions import DIM_SCHEMAS, fuel_lookup
 from wattframe.operators.staging import stage
+from wattframe.sources import files
 from wattframe.sources.landing import read_landing
+from wattframe.sources.marts import MART_SCHEMAS
 from wattframe.sources.seeds import SEED_COLUMNS, read_seed
 
-#: Tables that builds write.
-BUILT = (
-    *(feed.readings_table for feed in FEEDS.values()),
-    "dim_generation",
-    "dim_interchange",
-    "marts_generation",
-    "marts_interchange",
-    "marts_forecast",
-)
+#: Tables that builds write, with their columns.
+BUILT: dict[str, T.StructType] = {
+    **{feed.readings_table: feed.readings_schema for feed in FEEDS.values()},
+    **DIM_SCHEMAS,
+    **MART_SCHEMAS,
+}
+#: Bytes of a seed's files up to which it is broadcast. Seeds are plain text files, so this bounds
+#: what is sent: a row's columns, and some tens of bytes for it.
+SEED_BROADCAST_BYTES = 8 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -32,52 +35,81 @@ class Warehouse:
     spark: SparkSession
     root: str
 
+    def _below(self, *names: str) -> str:
+        return "/".join([self.root.rstrip("/"), *names])
+
     def path(self, table: str) -> str:
         layer = "seeds" if table in SEED_COLUMNS else table.split("_", 1)[0]
-        return f"{self.root.rstrip('/')}/{layer}/{table}"
+        return self._below(layer, table)
 
     def ledger(self, feed: Feed) -> str:
         """Where the feed's landed extracts are entered."""
-        return f"{self.root.rstrip('/')}/ledger/{feed.name}"
+        return self._below("ledger", feed.name)
 
     def building(self, table: str) -> str:
         """Where a table stands until it is complete."""
-        return f"{self.root.rstrip('/')}/building/{table}"
+        return self._below("building", table)
+
+    def _aside(self, table: str) -> str:
+        """Where a table stands while the one that replaces it is put in its place."""
+        return self._below("replaced", table)
 
     def landing(self, feed: Feed) -> DataFrame:
         return read_landing(self.spark, self.path(feed.landing_table), feed)
 
+    def small_seed(self, name: str) -> bool:
+        """Whether a seed's files are small enough to broadcast it. Asks the store, starts no job."""
+        return files.size(self.spark, self.path(name)) <= SEED_BROADCAST_BYTES
+
     def seed(self, name: str) -> DataFrame:
-        return read_seed(self.spark, name, self.path(name))
+        """A seed, with a broadcast hint if it is a small one."""
+        seed = read_seed(self.spark, name, self.path(name))
+        return F.broadcast(seed) if self.small_seed(name) else seed
 
     def fuels(self) -> DataFrame:
         return fuel_lookup(self.seed("energy_sources"))
 
-    def _open(self, table: str, schema: T.StructType | None = None) -> DataFrame | None:
+    def _open(self, table: str) -> DataFrame | None:
+        schema = BUILT.get(table)
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        try:
-            return reader.parquet(self.path(table))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
+        for place in (self.path(table), self._aside(table)):
+            if files.exists(self.spark, place):
+                found = reader.parquet(place)
+                # a partition column comes last from the files
+                return found if schema is None else found.select(schema.names)
+        return None
 
     def has(self, table: str) -> bool:
         return self._open(table) is not None
 
     def readings(self, feed: Feed) -> DataFrame | None:
         """The feed's de-duplicated table, or None before its first build."""
-        return self._open(feed.readings_table, feed.readings_schema)
+        return self._open(feed.readings_table)
 
     def table(self, name: str) -> DataFrame:
-        """A built table, published under its name."""
-        built = self.spark.read.parquet(self.path(name))
+        """A built table with its declared columns, published under its name."""
+        built = self._open(name)
+        if built is None:
+            raise FileNotFoundError(self.path(name))
         built.createOrReplaceTempView(name)
         return built
 
+    def fingerprint(self, name: str) -> tuple:
+        """What a built table consists of now."""
+        return files.fingerprint(self.spark, self.path(name))
+
+    def rebuild(self, name: str, write: Callable[[str], None]) -> None:
+        """Full rebuild of a table: ``write`` is given a new folder, which takes the table's place
+        when it is complete. Until then, and if it fails, the table stays as it is."""
+        path, fresh, aside = self.path(name), self.building(name), self._aside(name)
+        files.mend(self.spark, path, aside)
+        files.remove(self.spark, fresh)
+        write(fresh)
+        files.switch(self.spark, fresh, path, aside)
+
     def replace(self, name: str, rows: DataFrame) -> DataFrame:
-        """Full rebuild of a table."""
-        rows.write.mode("overwrite").parquet(self.path(name))
+        """Full rebuild of a table from ``rows``."""
+        self.rebuild(name, lambda folder: rows.write.parquet(folder))
         return self.table(name)
 
     def publish(self) -> list[str]:

@@ -16,6 +16,23 @@ def exists(spark: SparkSession, path: str) -> bool:
     return store.exists(where)
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What is in a folder; nothing if there is none."""
+    store, where = _located(spark, path)
+    return [f.getPath().getName() for f in store.listStatus(where)] if store.exists(where) else []
+
+
+def fingerprint(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of all files below a folder: another one means other content. Empty
+    without the folder. For tables of few files."""
+    store, where = _located(spark, path)
+    found, each = [], store.listFiles(where, True) if store.exists(where) else None
+    while each is not None and each.hasNext():
+        f = each.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Remove a folder with all it holds, if there is one."""
     store, where = _located(spark, path)
