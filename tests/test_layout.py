@@ -78,15 +78,15 @@ def test_recluster_mends_a_hot_day(spark, tmp_path):
         F.lit("2024-02-01").cast("timestamp").alias("ingestion_time"), day.alias("partition_date"),
     )
     for part in (0, 1):
-        append_landing(rows.where(F.col("value") % 2 == part), FEED, path)
+        append_landing(rows.where(F.floor(F.col("value") / 20) % 2 == part), FEED, path)
     before = sorted(map(str, read_landing(spark, path, FEED).collect()))
     files = {p: p.stat().st_mtime_ns for p in Path(path).glob("partition_date=2024-01-03/*.parquet")}
     assert report(spark, path)[8][3] > 0
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8KB")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         recluster_days(spark, path, FEED, [date(2024, 1, 8)])
     finally:
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     hot = report(spark, path)
     assert hot[8][0] > 2000 and hot[8][1] > 1 and hot[8][2:] == (0, 0)
     assert all(p.stat().st_mtime_ns == t for p, t in files.items())

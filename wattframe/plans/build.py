@@ -73,13 +73,11 @@ def build_readings(
         recent = target.where(F.col("recorded_date") >= F.date_sub(as_date(as_of), lookback))
         rows = upsert(recent, rows, feed, as_of, merge_days)
 
-    def store(path: str) -> None:
-        write_days(rows, path, "recorded_date", feed.cluster_by, "overwrite")
-
+    store = partial(write_days, rows, day="recorded_date", cluster_by=feed.cluster_by)
     if mode == FULL:
-        warehouse.rebuild(feed.readings_table, store)
+        warehouse.rebuild(feed.readings_table, partial(store, mode="append"))
     else:
-        store(warehouse.path(feed.readings_table))
+        store(warehouse.path(feed.readings_table), mode="overwrite")
     return mode
 
 
@@ -104,13 +102,13 @@ def build_dimensions(
     shuffled = not all(map(warehouse.small_seed, ("balancing_authorities", "energy_sources")))
 
     def store(name: str, rows: DataFrame, cluster_by: tuple[str, str]) -> None:
-        def write(path: str) -> None:
-            write_days(rows, path, "recorded_date", cluster_by, "overwrite", rebalance=shuffled)
-
+        write = partial(
+            write_days, rows, day="recorded_date", cluster_by=cluster_by, rebalance=shuffled
+        )
         if since is None:
-            warehouse.rebuild(name, write)
+            warehouse.rebuild(name, partial(write, mode="append"))
         else:
-            write(warehouse.path(name))
+            write(warehouse.path(name), mode="overwrite")
 
     _together(
         warehouse.spark,

@@ -168,7 +168,6 @@ def write_days(
     day: str,
     cluster_by: tuple[str, ...],
     mode: str,
-    whole_table: bool = False,
     rebalance: bool = True,
 ) -> None:
     """Rows as a table partitioned by ``day``, sorted on ``cluster_by`` inside each file.
@@ -179,15 +178,15 @@ def write_days(
     is exchanged then. The sort gives row groups narrow min/max ranges on the cluster
     columns.
 
-    Overwriting replaces only the days present in ``rows``, unless ``whole_table`` is
-    set; a table is never read and replaced as a whole in one query.
+    Overwriting replaces only the days present in ``rows``. A table that is built whole is
+    appended to a new folder, which spares replacing its days one by one.
     """
     if rebalance:
         rows = rows.hint("rebalance", F.col(day))
     (
         rows.sortWithinPartitions(day, *cluster_by)
         .write.mode(mode)
-        .option("partitionOverwriteMode", "static" if whole_table else "dynamic")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(day)
         .parquet(path)
     )
