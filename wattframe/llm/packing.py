@@ -30,34 +30,42 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _TOKENIZERS: dict[int, WordIds] = {}
 
 
-#: Letters, then ASCII signs that form no contraction.
-_SIGNED = re.compile(rb"([a-z\x80-\xff]+)[!-&(-/:-@\[-`{-~]*")
-
-
-def letters_of(word: bytes) -> bytes:
-    """The letters of a word that is letters, or letters and signs; else empty."""
-    match = _SIGNED.fullmatch(word)
-    if not match:
-        return b""
-    letters = match[1]
-    if letters.isalpha():
-        return letters
-    text = letters.decode("utf-8", "replace")
-    return letters if text.isalpha() and max(text) < "\u0130" else b""
+#: Bytes of a text that are split into words together.
+STRETCH_BYTES = 1 << 20
+# Anything but ASCII and the precomposed letters U+00C0 to U+00FF, or the beginning of a special
+# token. Composing and lower case may change such words together, so they keep their spelling.
+_ODD = re.compile(rb"[\xc2\xc4-\xff]|\xc3[\x97\xb7]|<\|")
+# How the tokenizer divides words of the other characters; bytes beyond ASCII are letters there.
+_PARTS = re.compile(
+    rb"'(?:s|t|re|ve|m|ll|d)|[a-z\x80-\xff]+|[0-9]|[^\sa-z0-9\x80-\xff]+"
+)
+_BLANK = re.compile(rb"\s")
+
+
+def _stretches(body: bytes) -> Iterator[bytes]:
+    """A text cut at white space."""
+    start = 0
+    while start < len(body):
+        blank = _BLANK.search(body, start + STRETCH_BYTES)
+        end = blank.start() if blank else len(body)
+        yield body[start:end]
+        start = end
 
 
 class WordIds(Cached):
-    """Token ids of words that white space divides, as little-endian 32-bit bytes.
+    """Token ids of the parts that the tokenizer divides words into, as little-endian 32-bit bytes.
 
-    The tokenizer must cut texts at white space, so that the ids of a text are those of its words.
-    New words of letters alone are encoded as one text and told apart by the tokens that end a
-    word; all others are encoded one by one.
+    The tokenizer must divide texts by the pattern of ``_PARTS`` and its Unicode like, and end the
+    last token of each part in its suffix, so that the ids of a text are those of its parts. New
+    parts are encoded as one text and told apart by the tokens that end one. Words with characters
+    that could change with their neighbours are encoded whole, as they are spelled.
     """
 
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
 
         super().__init__(self.encode)
+        self.own = Cached(self.encode)
         self.tokenizer = Tokenizer.from_str(definition)
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         vocabulary = self.tokenizer.get_vocab()
@@ -66,34 +74,54 @@ class WordIds(Cached):
             self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
 
     def encode(self, word: bytes) -> bytes:
-        cut = len(letters_of(word))
-        if 0 < cut < len(word):  # letters and signs never share a token
-            return self[word[:cut]] + self[word[cut:]]
         found = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False)
         return np.array(found.ids, "<u4").tobytes()
 
-    def learn(self, words: set[bytes]) -> None:
-        """Encodes the new words of letters among ``words`` together."""
-        new = {w if w.isalpha() else letters_of(w) for w in words.difference(self)}
-        plain = [w for w in new if w and w not in self]
-        if len(self) + len(words) > WORD_ENTRIES:
-            self.clear()
-        if not plain:
+    def learn(self, parts: set[bytes]) -> None:
+        """Encodes the new ones among ``parts`` together."""
+        new = [p for p in parts if p not in self]
+        if not new:
             return
-        joined = b" ".join(plain).decode()
+        if len(self) + len(new) > WORD_ENTRIES:
+            self.clear()
+            new = list(parts)
         # offsets cost time, which a batch of one text leaves out
+        joined = b" ".join(new).decode("utf-8", "replace")
         encoding = self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0]
         ids = np.array(encoding.ids, "<u4")
         last = np.flatnonzero(self.ends[ids]) + 1
-        if len(last) == len(plain):
+        if len(last) == len(new):
             data, cuts = ids.tobytes(), (last * 4).tolist()
-            self.update(zip(plain, map(data.__getitem__, map(slice, [0, *cuts[:-1]], cuts))))
+            self.update(zip(new, map(data.__getitem__, map(slice, [0, *cuts[:-1]], cuts))))
+
+    def _plain(self, stretch: bytes) -> bytes:
+        parts = _PARTS.findall(stretch.lower())
+        self.learn(set(parts))
+        return b"".join(map(self.__getitem__, parts))
+
+    def _ids(self, body: bytes) -> Iterator[bytes]:
+        for stretch in _stretches(body):
+            plain: list[bytes] = []
+            for word in stretch.split():
+                if _ODD.search(word):
+                    yield self._plain(b" ".join(plain))
+                    yield self.own[word]
+                    plain = []
+                else:
+                    plain.append(word)
+            yield self._plain(b" ".join(plain))
 
     def texts(self, data: list[bytes]) -> list[bytes]:
         """The ids of each text."""
-        split = [x.lower().split() for x in data]
-        self.learn(set().union(*split))
-        return [b"".join(map(self.__getitem__, words)) for words in split]
+        split = [
+            _PARTS.findall(x.lower()) if len(x) <= STRETCH_BYTES and not _ODD.search(x) else None
+            for x in data
+        ]
+        self.learn(set().union(*(parts for parts in split if parts)))
+        return [
+            b"".join(self._ids(body) if parts is None else map(self.__getitem__, parts))
+            for body, parts in zip(data, split)
+        ]
 
 
 def word_ids(definition: str) -> WordIds:
