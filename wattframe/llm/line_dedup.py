@@ -21,11 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattframe.llm.blocks import confirm_together
 from wattframe.llm.common import WordHasher, cut_lineage, mix, shuffle_width, texts
 
-#: Lines with fewer words are no duplicates of anything, unless callers ask for shorter ones.
-MIN_WORDS = 5
+#: Every line that has a word takes part, unless callers leave short ones out.
+MIN_WORDS = 1
 #: Similarity 3/4: the overlap times 7 reaches the sizes times 3.
 OVERLAP, SIZES = 7, 3
 #: Slots of the table of word counts, whose size does not depend on the data.
@@ -146,9 +145,16 @@ def _unpack(data: bytes, kind: np.dtype) -> np.ndarray:
     return out
 
 
-def _scan(docs: DataFrame, ranks: np.ndarray, parts: int, min_words: int) -> DataFrame:
+def _scan(
+    docs: DataFrame,
+    ranks: np.ndarray,
+    parts: int,
+    min_words: int,
+    wanted: np.ndarray | None = None,
+) -> DataFrame:
     """(part, kind, data): prefix words of lines with what bounds their overlap, dealt by word
-    (kind 0), and the places of all lines, dealt by set (kind 1)."""
+    (kind 0), and the places of all lines, dealt by set (kind 1). With a filter of words, only
+    those that it passes, and no places."""
 
     def deal(part: np.ndarray, kind: int, entries: np.ndarray) -> list[tuple]:
         order = np.argsort(part, kind="stable")
@@ -185,8 +191,12 @@ def _scan(docs: DataFrame, ranks: np.ndarray, parts: int, min_words: int) -> Dat
             entries["doc"], entries["number"] = places["doc"][which], places["number"][which]
             entries["size"] = np.minimum(sizes, _LONG)[which]
             entries["place"] = np.minimum(place[keep], 255)
+            if wanted is not None:
+                entries, places = entries[passes(wanted, entries["token"])], places[:0]
             rows = deal((mix(entries["token"]) % np.uint64(parts)).astype(np.int64), 0, entries)
             rows += deal((mix(places["set"]) % np.uint64(parts)).astype(np.int64), 1, places)
+            if not rows:
+                continue
             kinds = [pa.int32(), pa.int32(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["part", "kind", "data"]
@@ -372,6 +382,19 @@ def _nodes(candidates: DataFrame) -> DataFrame:
     return candidates.select("line", "others").mapInArrow(flatten, "line long").distinct()
 
 
+def _prefix_words(sets: DataFrame) -> DataFrame:
+    """(line) of the hashed words in the prefixes of the lines, as a filter takes them."""
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.frombuffer(x, np.int64) for x in batch.column(0).to_pylist()]
+            found = [x[: len(x) - (3 * len(x) + 3) // 4 + 1] for x in found]
+            words = np.unique(np.concatenate([np.zeros(0, np.int64), *found]))
+            yield pa.RecordBatch.from_arrays([pa.array(words)], names=["line"])
+
+    return sets.select("tokens").mapInArrow(cut, "line long")
+
+
 def _filter(lines: DataFrame) -> np.ndarray:
     """One bit for each of the lines."""
     slot_ = F.pmod("line", F.lit(FILTER_BITS))
@@ -426,22 +449,38 @@ def _line_sets(
     return docs.mapInArrow(list_lines, "line long, doc_id long, number int, tokens binary")
 
 
-def _linked(u: np.ndarray, v: np.ndarray) -> bool:
-    words = np.sort(np.concatenate([u, v]))
-    both = int((words[1:] == words[:-1]).sum())
-    return OVERLAP * both >= SIZES * len(words)
+def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(line) of the later line of each pair whose sets are similar enough.
 
+    A line's words go to each of its pairs; a line of many pairs is a hot key of a join, which
+    adaptive execution splits, as a line has one row in ``sets``."""
 
-def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(line) of the later line of each pair whose sets are similar enough."""
-    links = confirm_together(
-        pairs, sets.select(F.col("line").alias("node"), F.col("tokens").alias("found")), _linked
-    )
-    one = sets.select(F.col("line").alias("a"), F.col("first").alias("a_first"))
-    two = sets.select(F.col("line").alias("b"), F.col("first").alias("b_first"))
-    joined = links.join(one, "a").join(two, "b").filter("a_first <> b_first")
+    def end(name: str) -> DataFrame:
+        own = [F.col("line").alias(name), F.col("first").alias(f"{name}_first")]
+        return sets.select(*own, F.col("tokens").alias(f"{name}_tokens"))
+
+    joined = pairs.join(end("a"), "a").join(end("b"), "b").filter("a_first <> b_first")
     later = F.when(F.col("a_first") > F.col("b_first"), F.col("a")).otherwise(F.col("b"))
-    return joined.select(later.alias("line"))
+
+    def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, words, pair, sizes = batch.num_rows, [], [], 0
+            for side in (1, 2):
+                data = batch.column(side).to_pylist()
+                lengths = np.array([len(x) // 8 for x in data], np.int64)
+                words.append(np.frombuffer(b"".join(data), np.uint64))
+                pair.append(np.repeat(np.arange(n), lengths))
+                sizes = sizes + lengths
+            words, pair = np.concatenate(words), np.concatenate(pair)
+            order = np.lexsort((words, pair))
+            words, pair = words[order], pair[order]
+            shared = (words[1:] == words[:-1]) & (pair[1:] == pair[:-1])
+            both = np.bincount(pair[1:][shared], minlength=n)
+            similar = pa.array(OVERLAP * both >= SIZES * sizes)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(similar)], names=["line"])
+
+    rows = joined.select(later.alias("line"), "a_tokens", "b_tokens")
+    return rows.mapInArrow(check, "line long")
 
 
 def _numbers(copies: DataFrame) -> DataFrame:
@@ -474,8 +513,8 @@ def repeated_lines(
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = rows.filter("doc_id is not null and text is not null")
     ranks = word_ranks(rows)
-    scanned = _scan(rows, ranks, shuffle_width(docs.sparkSession), min_words)
-    matched_parts = cut_lineage(_match(scanned, 0, LISTED))
+    width = shuffle_width(docs.sparkSession)
+    matched_parts = cut_lineage(_match(_scan(rows, ranks, width, min_words), 0, LISTED))
     copies = _numbers(matched_parts.filter("kind = 1"))
     candidates = matched_parts.filter("kind = 0")
     near, start, end = copies, 0, LISTED
@@ -488,6 +527,9 @@ def repeated_lines(
         if open_.isEmpty():
             break
         start, end = end, end * LISTED_GROWTH
+        # what open lines may match has a word of their prefixes in its own
+        words = _filter(_prefix_words(sets.join(open_, "line", "left_semi")))
+        scanned = _scan(rows, ranks, width, min_words, words)
         further = _match(scanned, start, end, _filter(open_)).filter("kind = 0")
         candidates = cut_lineage(further.join(open_, "line", "left_semi"))
     return near
