@@ -39,6 +39,8 @@ FIRST_PORTION, GROWTH = 2, 8
 LISTED, LISTED_GROWTH = 16, 64
 #: Pairs that a task holds beyond those it lists.
 HELD_PAIRS = 1 << 21
+#: Entries of prefix words that a task sorts together, about.
+CHUNK_ENTRIES = 100_000
 _LONG = 65535
 #: Lines of up to so many words have a bit map of 64 or 128 bits, longer ones of 256.
 _SMALL, _MIDDLE = 56, 112
@@ -248,9 +250,11 @@ def match_entries(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Lines with earlier lines that share a prefix word and may overlap enough: the first ``end``
     of each line that the filter ``asked`` passes."""
+    # words of one line say nothing: most are found by counting, the rest by sorting
+    some = (entries["token"] & np.uint64(0x3FFFF)).astype(np.int64)
+    entries = entries[np.bincount(some, minlength=1 << 18)[some] > 1]
     entries = entries[np.argsort(entries["token"])]
     edge = np.append(np.flatnonzero(np.diff(entries["token"])) + 1, len(entries))
-    # words of one line say nothing
     single = np.diff(edge, prepend=0) == 1
     entries = entries[~np.repeat(single, np.diff(edge, prepend=0))]
     by = ("number", "doc", "line", "size", "token")
@@ -303,7 +307,12 @@ def _candidates(
 ) -> list[tuple]:
     """(line, n, others): for each line the earlier lines that it may match, those from ``start``
     to ``end`` in a mixed order. Where n is more than ``end`` there are others."""
-    line, other = match_entries(entries, end + 1, asked)
+    # words by words, which bounds the memory that sorting takes
+    n = max(1, -(-len(entries) // CHUNK_ENTRIES))
+    chunk = mix(entries["token"]) >> np.uint64(32)
+    chunk %= np.uint64(n)
+    found = [match_entries(entries[chunk == np.uint64(i)], end + 1, asked) for i in range(n)]
+    line, other = listed(*map(np.concatenate, zip(*found)), end + 1)
     cuts = np.flatnonzero(np.diff(line, prepend=line[:1] ^ np.uint64(1)))
     ends = np.append(cuts[1:], len(line))
     keys = line[cuts].view(np.int64).tolist()
