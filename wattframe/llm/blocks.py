@@ -10,25 +10,46 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattframe.llm.common import cut_lineage, shuffle_width
-from wattframe.llm.graph import components
 
 BLOCK_ROWS = 1024
 
 
 def deal_blocks(rows: DataFrame, key: str, by: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """``rows`` with ``left``, ``right`` and ``block``, sorted by key, left and right.
+    """``rows`` (with a column ``component``) with ``left``, ``right`` and ``block``, sorted by key,
+    left and right, so that rows of one key in different components meet.
 
-    Each row is in block ``block`` of its key's group and comes once for each pair of blocks
-    that has it. All rows of a key and pair are next to each other in one partition.
+    Each row is in block ``block`` of its key's group and comes once for each pair of blocks that
+    has it. The key's most frequent component has blocks of its own, which don't meet each other:
+    where nearly all rows are in one component, they come once for each block of the few others.
+    All rows of a key and pair are next to each other in one partition.
     """
-    sizes = rows.groupBy(key).agg(F.count("*").alias("_size"))
-    blocks = F.ceil(F.col("_size") / block_rows).cast("int")
-    dealt = rows.join(sizes.withColumn("_blocks", blocks).drop("_size"), key)
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64(by), F.col("_blocks")).cast("int"))
-    dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    parts = rows.groupBy(key, "component").agg(F.count("*").alias("_n"))
+    sizes = parts.groupBy(key).agg(
+        F.max_by("component", F.struct("_n", "component")).alias("_major"),
+        F.max("_n").alias("_inside"),
+        F.sum("_n").alias("_all"),
+    )
+    blocks = lambda n: F.ceil(n / block_rows).cast("int")
+    sizes = sizes.select(
+        key,
+        "_major",
+        blocks(F.col("_inside")).alias("_inside"),
+        blocks(F.col("_all") - F.col("_inside")).alias("_outside"),
+    )
+    major = F.col("component") == F.col("_major")
+    place = F.xxhash64(by)
+    dealt = rows.join(sizes, key).withColumns(
+        {
+            "block": F.when(major, F.col("_outside") + F.pmod(place, "_inside"))
+            .otherwise(F.pmod(place, "_outside"))
+            .cast("int"),
+            "_last": F.col("_outside") + F.when(major, 0).otherwise(F.col("_inside")) - 1,
+        }
+    )
+    dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_last").cast("int"))))
     dealt = dealt.withColumns(
         {"left": F.least("block", "_other"), "right": F.greatest("block", "_other")}
-    ).drop("_blocks", "_other")
+    ).drop("_major", "_inside", "_outside", "_last", "_other")
     width = shuffle_width(rows.sparkSession)
     dealt = dealt.repartition(width, key, "left", "right")
     return dealt.sortWithinPartitions(key, "left", "right")
@@ -54,54 +75,39 @@ def runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
         yield held
 
 
-def confirm_together(
+def confirm_stars(
     pairs: DataFrame, sets: DataFrame, linked: Callable[[np.ndarray, np.ndarray], bool]
 ) -> DataFrame:
     """The (a, b) of ``pairs`` whose ``sets`` (node, found: 64-bit values) are linked.
 
-    Pairs that hang together meet in cells of two blocks of nodes, and a node's set is sent
-    once to each cell in which it has a pair, not with every pair. Where a node has several sets,
-    one of them is enough.
+    The pairs of one ``a`` meet in blocks of some ``b``: the set of a is sent once to each block,
+    that of b with each of its pairs. Where a node has several sets, one of them is enough.
     """
-    pairs = cut_lineage(pairs)
-    groups = components(pairs).withColumnRenamed("component", "group")
-    sizes = groups.groupBy("group").agg(F.count("*").alias("n"))
-    block = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK_ROWS)).cast("int")
-    placed = groups.join(sizes, "group").select("node", "group", block.alias("block"))
-    one = placed.withColumnsRenamed({"node": "a", "block": "a_block"})
-    two = placed.drop("group").withColumnsRenamed({"node": "b", "block": "b_block"})
-    cell = ["group", "left", "right"]
-    dealt = pairs.join(one, "a").join(two, "b").select(
-        "group",
-        F.least("a_block", "b_block").alias("left"),
-        F.greatest("a_block", "b_block").alias("right"),
-        "a",
-        "b",
-    )
-    needed = dealt.select(*cell, F.explode(F.array("a", "b")).alias("node")).distinct()
-    bodies = needed.join(sets, "node").select(
-        *cell, F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "found"
+    sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("_blocks"))
+    cell = ["a", "block"]
+    dealt = pairs.join(sizes, "a").select(
+        "a", F.pmod(F.xxhash64("b"), "_blocks").cast("int").alias("block"), "b"
     )
-    rows = bodies.unionAll(dealt.withColumn("found", F.lit(None).cast("binary")))
+    dealt = cut_lineage(dealt)
+    leaves = dealt.join(sets.withColumnRenamed("node", "b"), "b").select(*cell, "b", "found")
+    hubs = dealt.select(*cell).distinct().join(sets.withColumnRenamed("node", "a"), "a")
+    rows = leaves.unionAll(hubs.select(*cell, F.lit(None).cast("long").alias("b"), "found"))
     rows = rows.repartition(shuffle_width(pairs.sparkSession), *cell).sortWithinPartitions(*cell)
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches, cell):
-            known: dict[int, list[np.ndarray]] = {}
-            edges = []
-            for r in run.select(["a", "b", "found"]).to_pylist():
-                if r["b"] is None:
-                    known.setdefault(r["a"], []).append(np.frombuffer(r["found"], np.uint64))
-                else:
-                    edges.append((r["a"], r["b"]))
-            keep = [
-                (a, b)
-                for a, b in edges
-                if any(linked(u, v) for u in known.get(a, ()) for v in known.get(b, ()))
-            ]
-            columns = list(zip(*keep)) or [[], []]
+            hub = run.column("a")[0].as_py()
+            bodies = [np.frombuffer(x, np.uint64) for x in run.column("found").to_pylist()]
+            nodes = run.column("b").to_pylist()
+            own = [x for x, b in zip(bodies, nodes) if b is None]
+            found = {
+                b
+                for x, b in zip(bodies, nodes)
+                if b is not None and any(linked(u, x) for u in own)
+            }
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns], names=["a", "b"]
+                [pa.array([hub] * len(found), pa.int64()), pa.array(list(found), pa.int64())],
+                names=["a", "b"],
             )
 
     return rows.mapInArrow(check, "a long, b long")

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattframe.llm.blocks import confirm_together, deal_blocks, runs
+from wattframe.llm.blocks import confirm_stars, deal_blocks, runs
 from wattframe.llm.common import (
     WordHasher,
     cut_lineage,
@@ -43,7 +43,7 @@ _MAPPED_MOST = MAPPED * 100 // PERCENT
 LEAST_ESTIMATE = 0.675
 _PROBES = 48
 #: Rounds of stars, each with other centres, before pairs between components are looked at.
-STAR_ROUNDS = 1
+STAR_ROUNDS = 2
 
 
 def _probes() -> np.ndarray:
@@ -186,14 +186,11 @@ def _linked(u: np.ndarray, v: np.ndarray) -> bool:
 
 def _stars(members: DataFrame, turn: int) -> DataFrame:
     """(a, b): one centre of each bucket, another in each turn, with the members of other
-    components."""
-    order = F.struct(F.xxhash64("node", "bucket", F.lit(turn)), "node", "component")
+    components. Buckets of the same members have the same centre."""
+    order = F.struct(F.xxhash64("node", F.lit(turn)), "node", "component")
     centres = members.groupBy("bucket").agg(F.min(order).alias("centre"))
     edges = members.join(centres, "bucket").filter("component <> centre.component")
-    centre = F.col("centre.node")
-    return edges.select(
-        F.least("node", centre).alias("a"), F.greatest("node", centre).alias("b")
-    ).distinct()
+    return edges.select(F.col("centre.node").alias("a"), F.col("node").alias("b")).distinct()
 
 
 def _joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -216,9 +213,7 @@ def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _between(members: DataFrame) -> DataFrame:
-    """Pairs of one bucket in different components that may be links.
-
-    A pair that shares several buckets comes from the first."""
+    """Pairs of one bucket in different components that may be links."""
 
     def agree(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs(batches, ["bucket", "left", "right"]):
@@ -229,10 +224,7 @@ def _between(members: DataFrame) -> DataFrame:
             component = group.column("component").to_numpy()
             size = group.column("n_shingles").to_numpy()
             block = group.column("block").to_numpy()
-            bucket = group.column("bucket")[0].as_py()
             one = group.column("left")[0].as_py() == group.column("right")[0].as_py()
-            flat = group.column("bands").combine_chunks().flatten()
-            bands = flat.to_numpy(zero_copy_only=False).reshape(n, -1)
             maps, bins = _bits(group.column("map")), _bits(group.column("bins"))
             a, b = [], []
             for i in range(n - 1):
@@ -243,8 +235,6 @@ def _between(members: DataFrame) -> DataFrame:
                 j = j[fits]
                 if not len(j):
                     continue
-                shared = bands[j] == bands[i]
-                j = j[bands[i][shared.argmax(axis=1)] == bucket]
                 j = j[may_link(size, maps, bins, i, j)]
                 a.append(np.full(len(j), node[i]))
                 b.append(node[j])
@@ -255,6 +245,7 @@ def _between(members: DataFrame) -> DataFrame:
                 )
 
     dealt = deal_blocks(members, "bucket", "node")
+    # a pair may share several buckets
     return dealt.mapInArrow(agree, "a long, b long").distinct()
 
 
@@ -280,10 +271,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     sets = cut_lineage(_sets(docs, members.select("node").distinct(), doc_id, text))
     labels, open_ = None, members.withColumn("component", F.col("node"))
     for turn in range(STAR_ROUNDS):
-        links = confirm_together(_stars(open_, turn), sets, _linked)
+        links = confirm_stars(_stars(open_, turn), sets, _linked)
         labels = _joined(labels, links)
         open_ = cut_lineage(_mixed(members if turn == 0 else open_.select("bucket", "node"), labels))
-    more = confirm_together(_between(open_.join(nodes, "node")), sets, _linked)
+    more = confirm_stars(_between(open_.join(nodes.drop("bands"), "node")), sets, _linked)
     labels = _joined(labels, more)
     by_set = firsts.join(labels, "node", "left").select(
         "set_id", F.coalesce("component", "node").alias("component_id")
