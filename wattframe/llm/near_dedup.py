@@ -43,7 +43,7 @@ _MAPPED_MOST = MAPPED * 100 // PERCENT
 LEAST_ESTIMATE = 0.675
 _PROBES = 48
 #: Rounds of stars, each with other centres, before pairs between components are looked at.
-STAR_ROUNDS = 2
+STAR_ROUNDS = 1
 
 
 def _probes() -> np.ndarray:
