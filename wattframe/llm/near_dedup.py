@@ -213,7 +213,9 @@ def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _between(members: DataFrame) -> DataFrame:
-    """Pairs of one bucket in different components that may be links."""
+    """Pairs of one bucket in different components that may be links.
+
+    A pair that shares several buckets comes from the first."""
 
     def agree(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs(batches, ["bucket", "left", "right"]):
@@ -224,7 +226,10 @@ def _between(members: DataFrame) -> DataFrame:
             component = group.column("component").to_numpy()
             size = group.column("n_shingles").to_numpy()
             block = group.column("block").to_numpy()
+            bucket = group.column("bucket")[0].as_py()
             one = group.column("left")[0].as_py() == group.column("right")[0].as_py()
+            flat = group.column("bands").combine_chunks().flatten()
+            bands = flat.to_numpy(zero_copy_only=False).reshape(n, -1)
             maps, bins = _bits(group.column("map")), _bits(group.column("bins"))
             a, b = [], []
             for i in range(n - 1):
@@ -235,6 +240,8 @@ def _between(members: DataFrame) -> DataFrame:
                 j = j[fits]
                 if not len(j):
                     continue
+                shared = bands[j] == bands[i]
+                j = j[bands[i][shared.argmax(axis=1)] == bucket]
                 j = j[may_link(size, maps, bins, i, j)]
                 a.append(np.full(len(j), node[i]))
                 b.append(node[j])
@@ -245,7 +252,6 @@ def _between(members: DataFrame) -> DataFrame:
                 )
 
     dealt = deal_blocks(members, "bucket", "node")
-    # a pair may share several buckets
     return dealt.mapInArrow(agree, "a long, b long").distinct()
 
 
@@ -274,7 +280,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         links = confirm_stars(_stars(open_, turn), sets, _linked)
         labels = _joined(labels, links)
         open_ = cut_lineage(_mixed(members if turn == 0 else open_.select("bucket", "node"), labels))
-    more = confirm_stars(_between(open_.join(nodes.drop("bands"), "node")), sets, _linked)
+    more = confirm_stars(_between(open_.join(nodes, "node")), sets, _linked)
     labels = _joined(labels, more)
     by_set = firsts.join(labels, "node", "left").select(
         "set_id", F.coalesce("component", "node").alias("component_id")
