@@ -214,10 +214,135 @@ LEFT JOIN known USING (digest) LEFT JOIN found USING (doc_id)
 """
 
 
+OP7 = r"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, coalesce(list_filter(regexp_split_to_array(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda x: x <> ''), []) AS w
+    FROM documents
+),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM split),
+shingles AS (
+    SELECT DISTINCT doc_id, concat_ws(' ', word, second, third, fourth, fifth) AS shingle
+    FROM (
+        SELECT doc_id, i, word, lead(word, 1) OVER o AS second, lead(word, 2) OVER o AS third,
+            lead(word, 3) OVER o AS fourth, lead(word, 4) OVER o AS fifth
+        FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+    )
+    WHERE fifth IS NOT NULL OR i = 1
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+    GROUP BY 1, 2
+),
+links AS (
+    SELECT p.a, p.b FROM pairs p JOIN sizes x ON x.doc_id = p.a JOIN sizes y ON y.doc_id = p.b
+    WHERE 100 * p.both >= 75 * (x.n + y.n - p.both)
+),
+sides AS (SELECT a AS node, b AS other FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION
+    SELECT r.doc_id, s.other FROM reached r JOIN sides s ON s.node = r.other
+),
+least AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY 1)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, l.component_id, d.doc_id = l.component_id AS kept
+FROM documents d JOIN least l ON l.doc_id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
+"""
+
+OP8 = r"""
+WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents),
+numbered AS (
+    SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS number FROM split
+),
+lines AS (
+    SELECT doc_id, number, list_sort(list_distinct(list_filter(regexp_split_to_array(
+        translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda x: x <> ''))) AS words
+    FROM numbered
+),
+sets AS (
+    SELECT words, len(words) AS n, row_number() OVER () AS id,
+        min({'doc_id': doc_id, 'number': number}) AS place
+    FROM lines WHERE len(words) > 0 GROUP BY words
+),
+entries AS (SELECT id, n, unnest(words) AS word FROM sets),
+ordered AS (
+    SELECT id, n, word, row_number() OVER (PARTITION BY id ORDER BY often, word) AS rank
+    FROM entries JOIN (SELECT word, count(*) AS often FROM entries GROUP BY 1) USING (word)
+),
+prefixes AS (SELECT id, word FROM ordered WHERE rank <= n - (3 * n + 3) // 4 + 1),
+candidates AS (
+    SELECT DISTINCT a.id AS a, b.id AS b FROM prefixes a JOIN prefixes b USING (word)
+),
+matches AS (
+    SELECT c.a AS id, min(y.place) AS earliest
+    FROM candidates c JOIN sets x ON x.id = c.a JOIN sets y ON y.id = c.b
+    WHERE 7 * len(list_intersect(x.words, y.words)) >= 3 * (x.n + y.n)
+    GROUP BY 1
+),
+gone AS (
+    SELECT l.doc_id, list(l.number::INT ORDER BY l.number) AS removed
+    FROM lines l JOIN sets s ON s.words = l.words JOIN matches m ON m.id = s.id
+    WHERE m.earliest < {'doc_id': l.doc_id, 'number': l.number}
+    GROUP BY 1
+)
+SELECT s.doc_id, coalesce(len(s.parts), 0) AS n_lines, coalesce(len(g.removed), 0) AS n_removed,
+    coalesce(g.removed, []::INT[]) AS removed
+FROM split s LEFT JOIN gone g ON g.doc_id = s.doc_id
+"""
+
+OP9 = r"""
+WITH bodies AS (
+    SELECT doc_id, encode(coalesce(text, '')) AS body,
+        octet_length(encode(coalesce(text, ''))) AS n FROM documents
+),
+places AS (SELECT doc_id, body, unnest(range(1, n - 48)) AS i FROM bodies WHERE n >= 50),
+strings AS (SELECT doc_id, i, body[i : i + 49] AS string FROM places),
+covering AS (
+    SELECT doc_id, i
+    FROM strings JOIN (SELECT string, min(doc_id) AS first FROM strings GROUP BY 1) USING (string)
+    WHERE first < doc_id
+),
+marked AS (
+    SELECT doc_id, i, coalesce(i - lag(i) OVER o > 50, true) AS opens
+    FROM covering WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+),
+runs AS (
+    SELECT doc_id, min(i) AS start, max(i) + 50 AS stop
+    FROM (
+        SELECT *, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked
+    )
+    GROUP BY doc_id, run
+),
+gaps AS (
+    SELECT doc_id, start, stop,
+        coalesce(lag(stop) OVER (PARTITION BY doc_id ORDER BY start), 1) AS since
+    FROM runs
+),
+kept AS (
+    SELECT doc_id, sum(stop - start) AS n_removed, count(*) AS n_spans, max(stop) AS stop,
+        string_agg(CASE WHEN start > since THEN hex(body[since : start - 1]) ELSE '' END, ''
+            ORDER BY start) AS begun
+    FROM gaps JOIN bodies USING (doc_id) GROUP BY 1
+)
+SELECT b.doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+    coalesce(n_spans, 0) AS n_spans,
+    sha256(CASE WHEN k.doc_id IS NULL THEN body
+        WHEN k.stop > n THEN unhex(begun)
+        ELSE unhex(begun || hex(body[k.stop : n])) END) AS kept_sha256
+FROM bodies b LEFT JOIN kept k ON k.doc_id = b.doc_id
+"""
+
 ORACLE = {
     "op1_url_filter": OP1,
     "op2_decontamination": OP2,
     "op6_top_k": OP6,
+    "op7_near_dedup": OP7,
+    "op8_line_dedup": OP8,
+    "op9_suffix_array": OP9,
     "op10_licenses": _op10(),
     "op11_source_divergence": OP11,
     "op12_quality_rules": OP12,
