@@ -24,9 +24,6 @@ BRUTE_FORCE = {
     "op3_quality",
     "op4_toxicity",
     "op5_packing",
-    "op7_near_dedup",
-    "op8_line_dedup",
-    "op9_suffix_array",
     "op13_whitening",
     "pipeline",
 }
