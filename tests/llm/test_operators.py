@@ -96,6 +96,32 @@ def test_urls(spark):
     ]
     nothing = url_filter.judge_urls(pages, url_filter.rule_table(spark, []))
     assert {r.verdict for r in nothing.collect()} == {"allow"}
+    assert url_filter.judge_urls(empty(pages), url_filter.rule_table(spark, URL_RULES)).count() == 0
+
+
+def test_long_and_deep_urls(spark):
+    """Paths and hosts of half a million parts are divided as deep as the rules go only."""
+    deep, wide = "a/" * 500_000, "b." * 500_000
+    rows = [
+        (1, f"http://x.net/es/{deep}"),
+        (2, f"http://{wide}net/fr/{deep}"),
+        (3, f"http://{wide}org/{deep}"),
+        (4, f"http://d.c.b.org/x/y/z/{deep}"),
+        (5, "http://d.c.b.org/x/y"),
+        (6, "http://b.org//"),
+    ]
+    rules = [*URL_RULES, ("block", "c.b.org", "/x/y/z/a/a"), ("block", "b.org", "//"), ("block", "b.org", "/x/y")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    judged = url_filter.judge_urls(pages, url_filter.rule_table(spark, rules))
+    got = {r.page_id: (r.rule, r.verdict) for r in judged.select("page_id", "rule", "verdict").collect()}
+    assert got == {
+        1: ("net/es/", "block"),
+        2: ("net/fr/", "block"),
+        3: (None, "allow"),
+        4: ("c.b.org/x/y/z/a/a", "block"),
+        5: ("b.org/x/y", "block"),
+        6: ("b.org//", "block"),
+    }
 
 
 def test_contamination(spark, docs):

@@ -1,8 +1,8 @@
 """URL filters: rules on host and path, found through hash prefixes.
 
 Each distinct (host, path) is expanded into its host suffixes and its path prefixes that
-end in ``/`` (and the empty one). The rules are keyed by host and the part of their path up
-to the last ``/``. Both sides meet in an equi-join on a short prefix of the key's digest;
+end in ``/`` (and the empty one), as deep as the deepest rule goes. The rules are keyed by host and
+the part of their path up to the last ``/``. Both sides meet in an equi-join on a short prefix of the key's digest;
 full digests, the rest of the rule's path and the precedence of rules are then confirmed.
 Only built-in functions are used.
 """
@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 Rule = tuple[str, str, str]
 #: Hex digits of a digest that the join compares.
 PREFIX_DIGITS = 8
-#: Rules that are broadcast; more of them are joined by shuffle.
-BROADCAST_RULES = 50_000
+#: Bytes of rules that are broadcast; larger tables are joined as Spark plans it.
+BROADCAST_BYTES = 8 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -32,23 +32,23 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def host_suffixes(host: Column) -> Column:
-    """The host and its parents, by labels."""
-    labels = F.split(host, r"\.", -1)
-    places = F.sequence(F.lit(1), F.size(labels))
-    return F.transform(places, lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def n_labels(host: Column) -> Column:
+    return F.size(F.split(host, r"\.", -1))
 
 
-def path_prefixes(path: Column) -> Column:
-    """The empty path and each prefix that ends in ``/``."""
-    parts = F.split(path, "/", -1)
-    places = F.sequence(F.lit(0), F.size(parts) - 1)
-    return F.transform(
-        places,
-        lambda i: F.when(i == 0, F.lit("")).otherwise(
-            F.concat(F.array_join(F.slice(parts, F.lit(1), i), "/"), F.lit("/"))
-        ),
-    )
+def n_slashes(path: Column) -> Column:
+    return F.size(F.split(path, "/", -1)) - 1
+
+
+def host_suffix(host: Column, labels: Column) -> Column:
+    """The last ``labels`` labels of the host."""
+    return F.call_function("substring_index", host, F.lit("."), -labels)
+
+
+def path_prefix(path: Column, slashes: Column) -> Column:
+    """The path up to the given one of its slashes, or the empty path."""
+    found = F.call_function("substring_index", path, F.lit("/"), slashes)
+    return F.when(slashes == 0, F.lit("")).otherwise(F.concat(found, F.lit("/")))
 
 
 def digest(host: Column, path: Column) -> Column:
@@ -56,7 +56,8 @@ def digest(host: Column, path: Column) -> Column:
 
 
 def rule_table(spark: SparkSession, rules: list[Rule]) -> DataFrame:
-    """The rules as rows (verdict, host, path), broadcast while they are few."""
+    """The rules as rows (verdict, host, path), broadcast while they are small. Lists too long for one
+    expression come as a table of these columns instead."""
     if not rules:
         return spark.createDataFrame([], "verdict string, host string, path string")
     literals = [
@@ -68,7 +69,8 @@ def rule_table(spark: SparkSession, rules: list[Rule]) -> DataFrame:
         for v, h, p in rules
     ]
     table = spark.range(1).select(F.inline(F.array(*literals)))
-    return F.broadcast(table) if len(rules) <= BROADCAST_RULES else table
+    size = sum(len(part.encode()) for rule in rules for part in rule)
+    return F.broadcast(table) if size <= BROADCAST_BYTES else table
 
 
 def judge_urls(
@@ -88,9 +90,20 @@ def judge_urls(
         {"host": url_host(F.col(url)), "path": url_path(F.col(url))}
     )
     places = located.select("host", "path").distinct()
-    keys = places.select(
-        "host", "path", F.explode(host_suffixes(F.col("host"))).alias("suffix")
-    ).select("host", "path", "suffix", F.explode(path_prefixes(F.col("path"))).alias("folder"))
+    # no rule fits a suffix or a prefix that is deeper than all rules
+    depth = F.coalesce(F.max(n_labels(F.col("host"))), F.lit(1))
+    labels = rules.agg(depth).scalar()
+    depth = F.coalesce(F.max(n_slashes(F.col("path"))), F.lit(0))
+    slashes = rules.agg(depth).scalar()
+    known_labels = F.sequence(F.lit(1), F.least(n_labels(F.col("host")), labels))
+    known_slashes = F.sequence(F.lit(0), F.least(n_slashes(F.col("path")), slashes))
+    keys = places.select("host", "path", F.explode(known_labels).alias("labels"))
+    keys = keys.withColumn("slashes", F.explode(known_slashes)).select(
+        "host",
+        "path",
+        host_suffix(F.col("host"), F.col("labels")).alias("suffix"),
+        path_prefix(F.col("path"), F.col("slashes")).alias("folder"),
+    )
     keys = keys.withColumn("full", digest(F.col("suffix"), F.col("folder")))
     keys = keys.withColumn("short", F.substring("full", 1, PREFIX_DIGITS))
     folder = F.regexp_extract("path", r"(?s)^(.*/)", 1)
