@@ -16,6 +16,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +40,8 @@ FIRST_PORTION, GROWTH = 2, 8
 LISTED, LISTED_GROWTH = 16, 64
 #: Pairs that a task holds beyond those it lists.
 HELD_PAIRS = 1 << 21
+#: Pairs that are compared at once, about.
+BLOCK_PAIRS = 1 << 18
 #: Entries of prefix words that a task sorts together, about.
 CHUNK_ENTRIES = 100_000
 _LONG = 65535
@@ -137,13 +140,22 @@ def _pack(entries: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(b"".join(columns))
 
 
-def _unpack(data: bytes, kind: np.dtype) -> np.ndarray:
-    raw = zstandard.ZstdDecompressor().decompress(data)
-    out, at = np.zeros(len(raw) // kind.itemsize, kind), 0
-    for name in kind.names:
-        size = kind[name].itemsize * len(out)
-        out[name] = np.frombuffer(raw[at : at + size], kind[name])
-        at += size
+def _unpack(data: pa.Buffer, out: np.ndarray) -> None:
+    raw, at = zstandard.ZstdDecompressor().decompress(data), 0
+    for name in out.dtype.names:
+        out[name] = np.frombuffer(raw, out.dtype[name], len(out), at)
+        at += out.dtype[name].itemsize * len(out)
+
+
+def _unpacked(table: pa.Table, kind: int, dtype: np.dtype) -> np.ndarray:
+    """What the rows of a kind hold, unpacked into one array without a second copy."""
+    chunks = table.column("data").filter(pc.equal(table.column("kind"), kind)).chunks
+    packed = [x.as_buffer() for chunk in chunks for x in chunk]
+    sizes = [zstandard.frame_content_size(x) // dtype.itemsize for x in packed]
+    out, at = np.empty(sum(sizes), dtype), 0
+    for data, n in zip(packed, sizes):
+        _unpack(data, out[at : at + n])
+        at += n
     return out
 
 
@@ -270,38 +282,45 @@ def match_entries(
     maps = [np.ascontiguousarray(entries[n]) for n in _MAPS]
     size, place = entries["size"].astype(np.int64), entries["place"].astype(np.int64)
     huge = size >= _LONG  # longer than the entry can say: no bound applies
+    rest = OVERLAP * (size - place)  # the shared word and all behind it, at most
     wanted = np.ones(len(line), bool) if asked is None else passes(asked, line)
-    a = np.arange(max(len(entries) - 1, 0))
+    # sizes ascend within a word: what stands behind a's word bounds the sizes of its partners
+    group = np.cumsum(np.diff(token, prepend=token[:1]) != 0) << 16
+    most_words = np.where(huge, _LONG, np.clip(rest // SIZES - size, 0, _LONG))
+    ends = np.searchsorted(group + size, group + most_words, "right")
     none = np.zeros(0, np.uint64)
     left, right, held, most = [none], [none], 0, HELD_PAIRS
-    step = 1
-    while len(a):
-        a = a[a + step < len(entries)]
-        b = a + step
-        # sizes ascend within a word: a line too long ends the search for a
-        near = (token[a] == token[b]) & ((4 * size[a] >= 3 * size[b]) | huge[b])
-        a, b = a[near], b[near]
+    for a, b in _ranges(ends):
         total = size[a] + size[b]
-        # the shared word and all behind it, at most
-        fits = OVERLAP * np.minimum(size[a] - place[a], size[b] - place[b]) >= SIZES * total
-        fits |= huge[b]
+        fits = (rest[b] >= SIZES * total) | huge[b]
+        a, b, total = a[fits], b[fits], total[fits]
+        some = (OVERLAP * (total - _differing(maps, size, a, b)) >= 2 * SIZES * total) | huge[b]
+        a, b = a[some], b[some]
         later = (doc[a] > doc[b]) | ((doc[a] == doc[b]) & (number[a] > number[b]))
         apart = (doc[a] != doc[b]) | (number[a] != number[b])
-        fits &= (line[a] != line[b]) & apart & np.where(later, wanted[a], wanted[b])
-        a_, b_, total, later = a[fits], b[fits], total[fits], later[fits]
-        some = (OVERLAP * (total - _differing(maps, size, a_, b_)) >= 2 * SIZES * total) | huge[b_]
-        a_, b_, later = a_[some], b_[some], later[some]
-        left.append(line[np.where(later, a_, b_)])
-        right.append(line[np.where(later, b_, a_)])
-        held += len(a_)
+        some = (line[a] != line[b]) & apart & np.where(later, wanted[a], wanted[b])
+        a, b, later = a[some], b[some], later[some]
+        left.append(line[np.where(later, a, b)])
+        right.append(line[np.where(later, b, a)])
+        held += len(a)
         if held > most:
             kept = listed(np.concatenate(left), np.concatenate(right), end)
             left, right, held = [kept[0]], [kept[1]], len(kept[0])
             most = 2 * held + HELD_PAIRS
-        step += 1
     return listed(np.concatenate(left), np.concatenate(right), end)
 
 
+def _ranges(ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (a, b) of each place a with all b behind it and before ``ends[a]``, in blocks."""
+    counts = np.maximum(ends - np.arange(1, len(ends) + 1), 0)
+    some = np.flatnonzero(counts)
+    block = np.cumsum(counts[some]) // BLOCK_PAIRS
+    for part in np.split(some, np.flatnonzero(np.diff(block)) + 1):
+        n = counts[part]
+        a = np.repeat(part, n)
+        yield a, a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n)
+
+
 def _candidates(
     entries: np.ndarray, start: int, end: int, asked: np.ndarray | None
 ) -> list[tuple]:
@@ -342,11 +361,8 @@ def _match(
     to an earlier one (kind 1), as document and packed numbers."""
 
     def match(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        own = {0: [np.zeros(0, _ENTRY)], 1: [np.zeros(0, _PLACE)]}
-        for kind, data in zip(table.column("kind").to_pylist(), table.column("data").to_pylist()):
-            own[kind].append(_unpack(data, _ENTRY if kind == 0 else _PLACE))
-        rows = [(0, *r) for r in _candidates(np.concatenate(own[0]), start, end, asked)]
-        gone = _copies(np.concatenate(own[1]))
+        rows = [(0, *r) for r in _candidates(_unpacked(table, 0, _ENTRY), start, end, asked)]
+        gone = _copies(_unpacked(table, 1, _PLACE))
         gone = gone[np.argsort(gone["doc"], kind="stable")]
         cuts = np.flatnonzero(np.diff(gone["doc"], prepend=gone["doc"][:1] - 1))
         for a, b in zip(cuts, np.append(cuts[1:], len(gone))):
