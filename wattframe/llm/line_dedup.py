@@ -263,14 +263,16 @@ def match_entries(
     """Lines with earlier lines that share a prefix word and may overlap enough: the first ``end``
     of each line that the filter ``asked`` passes."""
     # words of one line say nothing: most are found by counting, the rest by sorting
-    some = (entries["token"] & np.uint64(0x3FFFF)).astype(np.int64)
-    entries = entries[np.bincount(some, minlength=1 << 18)[some] > 1]
-    entries = entries[np.argsort(entries["token"])]
-    edge = np.append(np.flatnonzero(np.diff(entries["token"])) + 1, len(entries))
-    single = np.diff(edge, prepend=0) == 1
-    entries = entries[~np.repeat(single, np.diff(edge, prepend=0))]
+    token = np.ascontiguousarray(entries["token"])
+    some = (token & np.uint64(0x3FFFF)).astype(np.int64)
+    kept = np.flatnonzero(np.bincount(some, minlength=1 << 18)[some] > 1)
+    kept = kept[np.argsort(token[kept])]
+    edge = np.append(np.flatnonzero(np.diff(token[kept])) + 1, len(kept))
+    times = np.diff(edge, prepend=0)
+    kept = kept[np.repeat(times > 1, times)]
     by = ("number", "doc", "line", "size", "token")
-    entries = entries[np.lexsort([entries[n] for n in by])]
+    kept = kept[np.lexsort([entries[n][kept] for n in by])]
+    entries = entries[kept]
     same = np.ones(len(entries), bool)
     for name in ("token", "line"):
         same[1:] &= entries[name][1:] == entries[name][:-1]
@@ -329,8 +331,10 @@ def _candidates(
     # words by words, which bounds the memory that sorting takes
     n = max(1, -(-len(entries) // CHUNK_ENTRIES))
     chunk = mix(entries["token"]) >> np.uint64(32)
-    chunk %= np.uint64(n)
-    found = [match_entries(entries[chunk == np.uint64(i)], end + 1, asked) for i in range(n)]
+    chunk = (chunk % np.uint64(n)).astype(np.uint16 if n < _LONG else np.uint64)
+    order = np.argsort(chunk, kind="stable")
+    cuts = np.searchsorted(chunk[order], np.arange(1, n))
+    found = [match_entries(entries[some], end + 1, asked) for some in np.split(order, cuts)]
     line, other = listed(*map(np.concatenate, zip(*found)), end + 1)
     cuts = np.flatnonzero(np.diff(line, prepend=line[:1] ^ np.uint64(1)))
     ends = np.append(cuts[1:], len(line))
