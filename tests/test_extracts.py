@@ -2,7 +2,7 @@
 
 import json
 import time
-from datetime import date
+from datetime import date, datetime
 from pathlib import Path
 
 import pytest
@@ -11,6 +11,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from test_sources import FEED, STAMP, api_row, extract, write_page
 
+from checks.queries import QUERIES
 from wattframe.sources import landing as landing_module
 from wattframe.sources.extracts import write_checked_extract
 from wattframe.sources.landing import (
@@ -249,3 +250,24 @@ def test_landed_rows_have_their_days(spark, arrival):
     arrival.take()
     (row,) = read_landing(spark, arrival.landing, FEED).collect()
     assert (row["partition_date"], float(row["value"])) == (date(2024, 1, 5), 2.5)
+
+
+def test_no_extract_is_whole(spark, arrival):
+    """The landing table can be read before a first extract has landed."""
+    arrival.put("monday", 0, 2, [api_row(0)])
+    arrival.take()
+    table = read_landing(spark, arrival.landing, FEED)
+    assert table.columns == FEED.landing_schema.names and table.count() == 0
+    arrival.put("monday", 1, 2, [api_row(1)])
+    arrival.take()
+    assert arrival.landed() == ["r0", "r1"]
+
+
+def test_whole_extracts_of_hours_that_all_lack_rows(spark, tmp_path):
+    """Each hour has an error, whose page came without its row, so no extract is whole."""
+    rows = [(i, datetime(2024, 1, 5, i // 2), i, ("error", "view")[i % 2], 1.5) for i in range(6)]
+    events = spark.createDataFrame(
+        rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double"
+    )
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    assert QUERIES["whole_extracts"](spark, str(tmp_path)).collect() == []

@@ -71,6 +71,7 @@ def stream_whole_extracts(
     extract has more rows than declared, fails and changes nothing; the stream's checkpoint is not
     advanced. A batch that is retried replaces what it had stored. If it had landed rows before,
     they land twice: the landing table allows copies, and :func:`latest_readings` resolves them.
+    While no extract is whole the landing table is there, without rows.
 
     ``state`` is a folder that all executors share. What waits there is proportional to the
     extracts that are not whole; of others a row each is kept, so that late pages are noticed.
@@ -152,6 +153,8 @@ def stream_whole_extracts(
             f"{state}/extracts/batch={number}"
         )
 
+    if not exists(spark, landing):
+        append_landing(spark.createDataFrame([], feed.landing_schema), feed, landing)
     return (
         arriving.writeStream.foreachBatch(land)
         .option("checkpointLocation", f"{state}/progress")
