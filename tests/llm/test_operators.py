@@ -357,6 +357,49 @@ def test_lines_joined_again(spark, monkeypatch):
     assert line_dedup.repeated_lines(docs).count() == len(gone)
 
 
+def test_bit_maps_of_long_lines():
+    """A map never shows more than what differs, and sets of hundreds of words don't fill it."""
+    draw = np.random.default_rng(3)
+    for n, shared in ((6, 5), (40, 30), (90, 10), (140, 0), (400, 0), (400, 390)):
+        common = draw.integers(0, 2**64, shared, "u8")
+        sets = [np.append(common, draw.integers(0, 2**64, n - shared, "u8")) for _ in range(2)]
+        size = np.array([n, n])
+        maps = line_dedup.bit_maps(np.concatenate(sets), np.array([0, n]), size)
+        (apart,) = line_dedup._differing(maps, size, np.array([0]), np.array([1]))
+        assert apart <= 2 * (n - shared)
+        if not shared:  # such pairs are refused
+            assert 7 * (2 * n - apart) < 6 * 2 * n
+
+
+def test_words_that_agree_in_the_bits_of_an_entry():
+    """A line's entries of two words that agree there bound no pair more than the first of them."""
+    entries = np.zeros(3, line_dedup._ENTRY)
+    entries["token"], entries["line"], entries["doc"] = 7, [5, 5, 6], [1, 1, 2]
+    entries["size"], entries["place"] = 8, [2, 0, 0]
+    line, other = line_dedup.match_entries(entries, 9)
+    assert (line.tolist(), other.tolist()) == ([6], [5])
+    # a line's words cost a scan less: four bytes say which word it is
+    assert line_dedup._ENTRY["token"].itemsize == 4
+
+
+def test_lines_with_a_wanted_word():
+    hasher = line_dedup.WordHasher()
+    data = [b"a b\nc\n\nd a", None, b"e", b"", b"c f\na"]
+    wanted = np.zeros(line_dedup.FILTER_BITS >> 6, np.uint64)
+    for word in hasher(b"a f")[1]:
+        bit = int(word) % line_dedup.FILTER_BITS
+        wanted[bit >> 6] |= np.uint64(1 << (bit & 63))
+    lines = line_dedup.Lines(data, hasher)
+    assert (lines.text.tolist(), lines.number.tolist()) == ([0, 0, 0, 2, 4, 4], [0, 1, 3, 0, 0, 1])
+    lines.leave(wanted)
+    assert (lines.text.tolist(), lines.number.tolist()) == ([0, 0, 4, 4], [0, 3, 0, 1])
+    assert lines.line.tolist() == [0, 0, 1, 1, 2, 2, 3]
+    assert (lines.words == hasher(b"a b d a c f a")[1]).all()
+    two = line_dedup.Lines(data, hasher, 2)
+    assert (two.text.tolist(), two.number.tolist()) == ([0, 0, 4], [0, 3, 0])
+    assert (two.words == hasher(b"a b d a c f")[1]).all() and two.line.tolist() == [0, 0, 1, 1, 2, 2]
+
+
 def test_listed_in_parts():
     draw = np.random.default_rng(1)
     line, other = draw.integers(0, 9, 900).astype("u8"), draw.integers(0, 90, 900).astype("u8")

@@ -37,20 +37,24 @@ FILTER_BITS = 1 << 26
 FIRST_PORTION, GROWTH = 2, 8
 #: Candidates of a line and part that the first join lists; each further join lists so many times
 #: more.
-LISTED, LISTED_GROWTH = 16, 64
+LISTED, LISTED_GROWTH = 128, 64
 #: Pairs that a task holds beyond those it lists.
 HELD_PAIRS = 1 << 21
 #: Pairs that are compared at once, about.
 BLOCK_PAIRS = 1 << 18
 #: Entries of prefix words that a task sorts together, about.
 CHUNK_ENTRIES = 100_000
+#: Entries and places that a scan packs together, about.
+HELD_ENTRIES = 1 << 17
+#: Groups that words are dealt to, for each partition of a shuffle: a task holds one at a time.
+GROUPS = 4
 _LONG = 65535
 #: Lines of up to so many words have a bit map of 64 or 128 bits, longer ones of 256.
-_SMALL, _MIDDLE = 56, 112
+_SMALL, _MIDDLE = 64, 150
 _MAPS = ("map0", "map1", "map2", "map3")
 _ENTRY = np.dtype(
     [
-        ("token", "<u8"),
+        ("token", "<u4"),
         ("line", "<u8"),
         *((m, "<u8") for m in _MAPS),
         ("doc", "<i8"),
@@ -70,20 +74,27 @@ class Lines:
         joined = b"\n".join(found)
         starts, words = hasher(joined)
         feeds = np.flatnonzero(np.frombuffer(joined, np.uint8) == 10)
-        line = np.searchsorted(feeds, starts)
         ends = np.cumsum([len(x) + 1 for x in found])
-        enough = np.bincount(line, minlength=len(feeds) + 1) >= max(min_words, 1)
-        kept = enough[line]
-        self.words, line = words[kept], line[kept]
+        counts = np.diff(np.searchsorted(starts, feeds), prepend=0, append=len(starts))
+        enough = counts >= max(min_words, 1)
         chosen = np.flatnonzero(enough)
+        self.words = words if min_words <= 1 else words[np.repeat(enough, counts)]
         # each line's text, and its number there
         begins = np.concatenate([[0], feeds + 1])
         self.text = np.searchsorted(ends, begins[chosen], "right")
         first = np.searchsorted(begins, np.concatenate([[0], ends[:-1]]))
         self.number = chosen - first[self.text] if len(chosen) else chosen
-        self.line = (np.cumsum(enough) - 1)[line]
+        self.line = np.repeat(np.arange(len(chosen)), counts[chosen])
         self.n = len(chosen)
 
+    def leave(self, wanted: np.ndarray) -> None:
+        """Leave the lines that have a word which the filter passes."""
+        some = np.zeros(self.n, bool)
+        some[self.line[passes(wanted, self.words)]] = True
+        kept = some[self.line]
+        self.words, self.line = self.words[kept], (np.cumsum(some) - 1)[self.line[kept]]
+        self.text, self.number, self.n = self.text[some], self.number[some], int(some.sum())
+
     def sets(self, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct words, rare ones first, and where the lines start."""
         key = self.line.astype(np.uint64) << np.uint64(40)
@@ -177,10 +188,25 @@ def _scan(
         ends = np.append(cuts[1:], len(part))
         return [(int(part[a]), kind, _pack(entries[a:b])) for a, b in zip(cuts, ends)]
 
+    def dealt(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        if not held:
+            return
+        part, entries, places = map(np.concatenate, zip(*held))
+        rows = deal(part.astype(np.int64), 0, entries)
+        rows += deal((mix(places["set"]) % np.uint64(parts)).astype(np.int64), 1, places)
+        kinds = [pa.int32(), pa.int32(), pa.binary()]
+        for at in range(0, len(rows), 1000):
+            columns = zip(*rows[at : at + 1000])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds)], names=["part", "kind", "data"]
+            )
+
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
+        hasher, held, n_held = WordHasher(), [], 0
         for batch, data in texts(batches):
             lines = Lines(data, hasher, min_words)
+            if wanted is not None:
+                lines.leave(wanted)
             words, starts = lines.sets(ranks)
             if not len(words):
                 continue
@@ -199,34 +225,36 @@ def _scan(
             which = np.repeat(np.arange(lines.n), prefix)
             maps = bit_maps(words, starts, sizes)
             entries = np.zeros(len(which), _ENTRY)
-            entries["token"], entries["line"] = words[keep], ids[which]
+            tokens = words[keep]
+            # 32 bits are enough inside a part: words that agree in them only add candidates
+            entries["token"], entries["line"] = tokens & np.uint64(0xFFFFFFFF), ids[which]
             for name, bits in zip(_MAPS, maps):
                 entries[name] = bits[which]
             entries["doc"], entries["number"] = places["doc"][which], places["number"][which]
             entries["size"] = np.minimum(sizes, _LONG)[which]
             entries["place"] = np.minimum(place[keep], 255)
             if wanted is not None:
-                entries, places = entries[passes(wanted, entries["token"])], places[:0]
-            rows = deal((mix(entries["token"]) % np.uint64(parts)).astype(np.int64), 0, entries)
-            rows += deal((mix(places["set"]) % np.uint64(parts)).astype(np.int64), 1, places)
-            if not rows:
-                continue
-            kinds = [pa.int32(), pa.int32(), pa.binary()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["part", "kind", "data"]
-            )
+                some = passes(wanted, tokens)
+                tokens, entries, places = tokens[some], entries[some], places[:0]
+            held.append((mix(tokens) % np.uint64(parts), entries, places))
+            n_held += len(entries) + len(places)
+            if n_held > HELD_ENTRIES:
+                yield from dealt(held)
+                held, n_held = [], 0
+        yield from dealt(held)
 
     return docs.mapInArrow(scan, "part int, kind int, data binary")
 
 
 def bit_maps(words: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
-    """Four times 64 bits for each set: the larger it is, the more of them are used."""
+    """Four times 64 bits for each set: the larger it is, the more of them are used. A bit says
+    whether an odd number of words falls on it, so that shared words hide no others."""
     scrambled = mix(words)
     bit = np.uint64(1) << (scrambled >> np.uint64(58))
     used = np.where(sizes <= _SMALL, 1, np.where(sizes <= _MIDDLE, 2, 4))
     which = scrambled.astype(np.uint8) & np.repeat(used - 1, sizes).astype(np.uint8)
     return [
-        np.bitwise_or.reduceat(np.where(which == i, bit, np.uint64(0)), starts) for i in range(4)
+        np.bitwise_xor.reduceat(np.where(which == i, bit, np.uint64(0)), starts) for i in range(4)
     ]
 
 
@@ -238,9 +266,9 @@ def _differing(maps: list[np.ndarray], size: np.ndarray, a: np.ndarray, b: np.nd
     for level, some in enumerate((least <= _SMALL, (least > _SMALL) & (least <= _MIDDLE), least > _MIDDLE)):
         u, v = [m[some] for m in x], [m[some] for m in y]
         if level < 2:
-            u, v = ([m[0] | m[2], m[1] | m[3]] for m in (u, v))
+            u, v = ([m[0] ^ m[2], m[1] ^ m[3]] for m in (u, v))
         if level < 1:
-            u, v = ([m[0] | m[1]] for m in (u, v))
+            u, v = ([m[0] ^ m[1]] for m in (u, v))
         apart[some] = sum(np.bitwise_count(p ^ q).astype(np.int64) for p, q in zip(u, v))
     return apart
 
@@ -270,7 +298,7 @@ def match_entries(
     edge = np.append(np.flatnonzero(np.diff(token[kept])) + 1, len(kept))
     times = np.diff(edge, prepend=0)
     kept = kept[np.repeat(times > 1, times)]
-    by = ("number", "doc", "line", "size", "token")
+    by = ("place", "number", "doc", "line", "size", "token")  # the least place bounds the least
     kept = kept[np.lexsort([entries[n][kept] for n in by])]
     entries = entries[kept]
     same = np.ones(len(entries), bool)
@@ -446,14 +474,21 @@ def passes(filled: np.ndarray, lines: np.ndarray) -> np.ndarray:
 
 
 def _line_sets(
-    docs: DataFrame, ranks: np.ndarray, filled: np.ndarray, min_words: int
+    docs: DataFrame,
+    ranks: np.ndarray,
+    filled: np.ndarray,
+    min_words: int,
+    wanted: np.ndarray | None = None,
 ) -> DataFrame:
-    """(line, doc_id, number, tokens) of the lines that the filter passes."""
+    """(line, doc_id, number, tokens) of the lines that the filter passes; with a filter of words,
+    of those that have one of the words."""
 
     def list_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for batch, data in texts(batches):
             lines = Lines(data, hasher, min_words)
+            if wanted is not None:
+                lines.leave(wanted)
             words, starts = lines.sets(ranks)
             ids, _ = _ids(words, starts)
             some = np.flatnonzero(passes(filled, ids))
@@ -542,13 +577,13 @@ def repeated_lines(
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = rows.filter("doc_id is not null and text is not null")
     ranks = word_ranks(rows)
-    width = shuffle_width(docs.sparkSession)
+    width = GROUPS * shuffle_width(docs.sparkSession)
     matched_parts = cut_lineage(_match(_scan(rows, ranks, width, min_words), 0, LISTED))
     copies = _numbers(matched_parts.filter("kind = 1"))
     candidates = matched_parts.filter("kind = 0")
-    near, start, end = copies, 0, LISTED
+    near, start, end, words = copies, 0, LISTED, None
     while not candidates.isEmpty():
-        matched, sets = _matched(rows, ranks, candidates, end - start, min_words)
+        matched, sets = _matched(rows, ranks, candidates, end - start, min_words, words)
         gone = sets.join(matched, "line", "left_semi")
         near = near.unionAll(gone.select("first.doc_id", "first.number"))
         open_ = candidates.filter(F.col("n") > end).select("line").distinct()
@@ -565,12 +600,18 @@ def repeated_lines(
 
 
 def _matched(
-    rows: DataFrame, ranks: np.ndarray, candidates: DataFrame, most: int, min_words: int
+    rows: DataFrame,
+    ranks: np.ndarray,
+    candidates: DataFrame,
+    most: int,
+    min_words: int,
+    words: np.ndarray | None,
 ) -> tuple[DataFrame, DataFrame]:
     """(line) of the lines that match a candidate, and the (line, first, tokens) of all lines
-    that are or have candidates. Lists hold at most ``most`` candidates."""
+    that are or have candidates. Lists hold at most ``most`` candidates. With a filter of words,
+    all these lines have one of the words."""
     nodes = cut_lineage(_nodes(candidates))
-    found = _line_sets(rows, ranks, _filter(nodes), min_words)
+    found = _line_sets(rows, ranks, _filter(nodes), min_words, words)
     sets = found.groupBy("line").agg(F.min(F.struct("doc_id", "number", "tokens")).alias("of"))
     sets = sets.join(nodes, "line", "left_semi").select(
         "line", F.struct("of.doc_id", "of.number").alias("first"), F.col("of.tokens").alias("tokens")
@@ -582,6 +623,8 @@ def _matched(
         matched = cut_lineage(found if matched is None else matched.unionAll(found).distinct())
         open_ = candidates.filter(F.length("others") > 8 * end).join(matched, "line", "left_anti")
         start, end = end, end * GROWTH
+        if start < most and open_.isEmpty():
+            break
     return matched, sets
 
 
