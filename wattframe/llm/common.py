@@ -125,13 +125,13 @@ def text_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_string()).cast(pa.large_binary()).to_pylist()
 
 
-def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
-    """``batch`` in pieces of about ``SLICE_BYTES`` of text; a longer text comes alone."""
+def slices(batch: pa.RecordBatch, text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """``batch`` in pieces of about ``most`` bytes of text; a longer text comes alone."""
     column = batch.column(batch.schema.get_field_index(text))
     sizes = np.array([x or 0 for x in pc.binary_length(column).to_pylist()], np.int64)
     start, held = 0, 0
     for i, n in enumerate(sizes):
-        if i > start and held + n > SLICE_BYTES:
+        if i > start and held + n > most:
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += n
@@ -140,11 +140,11 @@ def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
 
 
 def texts(
-    batches: Iterable[pa.RecordBatch], text: str = "text"
+    batches: Iterable[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES
 ) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
     """Small slices of the batches with the bytes of their texts."""
     for batch in batches:
-        for part in slices(batch, text):
+        for part in slices(batch, text, most):
             yield part, text_bytes(part.column(part.schema.get_field_index(text)))
 
 

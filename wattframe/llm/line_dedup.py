@@ -44,6 +44,8 @@ HELD_PAIRS = 1 << 21
 BLOCK_PAIRS = 1 << 18
 #: Entries of prefix words that a task sorts together, about.
 CHUNK_ENTRIES = 100_000
+#: Bytes of text that a task divides into words at once; hashing takes some 50 bytes for each.
+SLICE_BYTES = 1 << 18
 #: Entries and places that a scan packs together, about.
 HELD_ENTRIES = 1 << 17
 #: Groups that words are dealt to, for each partition of a shuffle: a task holds one at a time.
@@ -130,7 +132,7 @@ def word_ranks(docs: DataFrame) -> np.ndarray:
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, total = WordHasher(), np.zeros(COUNT_SLOTS, np.int64)
-        for _, data in texts(batches):
+        for _, data in texts(batches, most=SLICE_BYTES):
             _, words = hasher(b"\n".join(x or b"" for x in data))
             total += np.bincount(slot(words), minlength=COUNT_SLOTS)
         some = np.flatnonzero(total)
@@ -203,7 +205,7 @@ def _scan(
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, held, n_held = WordHasher(), [], 0
-        for batch, data in texts(batches):
+        for batch, data in texts(batches, most=SLICE_BYTES):
             lines = Lines(data, hasher, min_words)
             if wanted is not None:
                 lines.leave(wanted)
@@ -485,7 +487,7 @@ def _line_sets(
 
     def list_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
-        for batch, data in texts(batches):
+        for batch, data in texts(batches, most=SLICE_BYTES):
             lines = Lines(data, hasher, min_words)
             if wanted is not None:
                 lines.leave(wanted)
