@@ -9,7 +9,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 
-from wattframe.llm import blocks
+from wattframe.llm import blocks, graph
 
 
 @pytest.mark.parametrize("block_rows", [1, 3, 1024])
@@ -54,3 +54,38 @@ def test_stars_are_confirmed_over_blocks(spark, monkeypatch):
         if linked(sets[a], sets[b]) or 1 in (a, b) and linked(sets[0], sets[b if a == 1 else a])
     }
     assert len(got) == len(expected) and {(r.a, r.b) for r in got} == expected
+
+
+def test_wide_columns_are_joined_when_blocks_are_known(spark):
+    rows = [(k, n, n) for k in range(3) for n in range(20)]
+    frame = spark.createDataFrame(rows, "bucket long, node long, component long")
+    wide = spark.createDataFrame([(n, f"wide {n}") for n in range(20)], "node long, wide string")
+    dealt = blocks.deal_blocks(frame, "bucket", "node", 4, more=wide).collect()
+    plain = blocks.deal_blocks(frame, "bucket", "node", 4).collect()
+    assert {r.wide for r in dealt if r.node == 7} == {"wide 7"}
+    names = ("bucket", "left", "right", "block", "node")
+    assert Counter(tuple(r[n] for n in names) for r in dealt) == Counter(
+        tuple(r[n] for n in names) for r in plain
+    )
+
+
+def test_stars_need_no_second_turn(spark, monkeypatch):
+    kept = []
+    cut = graph.cut_lineage
+    monkeypatch.setattr(graph, "cut_lineage", lambda rows: kept.append(cut(rows)) or kept[-1])
+    # repeated edges, a loop, and two stars
+    edges = [(1, n) for n in range(2, 9)] + [(12, 11), (13, 11), (11, 12), (1, 1), (2, 1)]
+    frame = spark.createDataFrame(edges, "a long, b long")
+    got = {r.node: r.component for r in graph.components(frame).collect()}
+    assert got == {**{n: 1 for n in range(1, 9)}, 11: 11, 12: 11, 13: 11}
+    assert len(kept) == 2  # the edges, and the stars
+
+
+def test_chains_become_stars(spark):
+    edges = [(n, n + 1) for n in range(100, 160)] + [(200, 150), (300, 301)]
+    frame = spark.createDataFrame(edges, "a long, b long")
+    rows = graph.components(frame).collect()
+    got = {r.node: r.component for r in rows}
+    expected = {n: 100 for n in [*range(100, 161), 200]} | {300: 300, 301: 300}
+    assert got == expected and len(rows) == len(expected)
+    assert graph.components(frame.limit(0)).collect() == []

@@ -14,15 +14,23 @@ from wattframe.llm.common import cut_lineage, shuffle_width
 BLOCK_ROWS = 1024
 
 
-def deal_blocks(rows: DataFrame, key: str, by: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def deal_blocks(
+    rows: DataFrame,
+    key: str,
+    by: str,
+    block_rows: int = BLOCK_ROWS,
+    more: DataFrame | None = None,
+) -> DataFrame:
     """``rows`` (with a column ``component``) with ``left``, ``right`` and ``block``, sorted by key,
     left and right, so that rows of one key in different components meet.
 
     Each row is in block ``block`` of its key's group and comes once for each pair of blocks that
     has it. The key's most frequent component has blocks of its own, which don't meet each other:
     where nearly all rows are in one component, they come once for each block of the few others.
-    All rows of a key and pair are next to each other in one partition.
+    All rows of a key and pair are next to each other in one partition. ``more`` has wide columns of
+    ``by``, which are joined when blocks are known.
     """
+    rows = rows.repartition(key)  # serves both counts and the join
     parts = rows.groupBy(key, "component").agg(F.count("*").alias("_n"))
     sizes = parts.groupBy(key).agg(
         F.max_by("component", F.struct("_n", "component")).alias("_major"),
@@ -50,6 +58,8 @@ def deal_blocks(rows: DataFrame, key: str, by: str, block_rows: int = BLOCK_ROWS
     dealt = dealt.withColumns(
         {"left": F.least("block", "_other"), "right": F.greatest("block", "_other")}
     ).drop("_major", "_inside", "_outside", "_last", "_other")
+    if more is not None:
+        dealt = dealt.join(more, by)
     width = shuffle_width(rows.sparkSession)
     dealt = dealt.repartition(width, key, "left", "right")
     return dealt.sortWithinPartitions(key, "left", "right")

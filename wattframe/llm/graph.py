@@ -16,6 +16,14 @@ def _nearest(edges: DataFrame) -> DataFrame:
     return edges.join(least.withColumn("m", F.least("a", "m")), "a")
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each node of the different ``edges`` has one neighbour b, or is a b, and not both."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("n"))
+    ends = ends.unionAll(edges.select(F.col("b").alias("node"), F.lit(0).alias("n")))
+    ends = ends.groupBy("node").agg(F.sum("n").alias("n"), F.min("n").alias("least"))
+    return ends.filter("n > 1 or n > least").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the least node that each node of ``edges`` (a, b) is connected with.
 
@@ -25,7 +33,7 @@ def components(edges: DataFrame) -> DataFrame:
     found = edges.filter("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     )
-    found, before = cut_lineage(found.distinct()), None
+    found = cut_lineage(found)
     while True:
         both = found.unionAll(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = _nearest(both).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -35,11 +43,8 @@ def components(edges: DataFrame) -> DataFrame:
             small.select("a", F.col("m").alias("b"))
         )
         found = cut_lineage(small.filter("a <> b").distinct())
-        sign = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        now = tuple(found.agg(F.count("*"), sign).first())
-        if now == before:
+        if _are_stars(found):
             break
-        before = now
     stars = found.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = found.select(F.col("b").alias("node"), F.col("b").alias("component"))
     return stars.unionAll(roots.distinct())

@@ -187,6 +187,7 @@ def _linked(u: np.ndarray, v: np.ndarray) -> bool:
 def _stars(members: DataFrame, turn: int) -> DataFrame:
     """(a, b): one centre of each bucket, another in each turn, with the members of other
     components. Buckets of the same members have the same centre."""
+    members = members.repartition("bucket")  # serves the centres and the join
     order = F.struct(F.xxhash64("node", F.lit(turn)), "node", "component")
     centres = members.groupBy("bucket").agg(F.min(order).alias("centre"))
     edges = members.join(centres, "bucket").filter("component <> centre.component")
@@ -206,14 +207,15 @@ def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
     labelled = members.join(labels, "node", "left").select(
         "bucket", "node", F.coalesce("component", "node").alias("component")
     )
+    labelled = labelled.repartition("bucket")  # serves the minima and the join
     mixed = labelled.groupBy("bucket").agg(
         F.min("component").alias("least"), F.max("component").alias("most")
     )
     return labelled.join(mixed.filter("least <> most").select("bucket"), "bucket", "left_semi")
 
 
-def _between(members: DataFrame) -> DataFrame:
-    """Pairs of one bucket in different components that may be links.
+def _between(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs of one bucket in different components that may be links, by what ``nodes`` hold.
 
     A pair that shares several buckets comes from the first."""
 
@@ -251,7 +253,7 @@ def _between(members: DataFrame) -> DataFrame:
                     [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"]
                 )
 
-    dealt = deal_blocks(members, "bucket", "node")
+    dealt = deal_blocks(members, "bucket", "node", more=nodes)
     return dealt.mapInArrow(agree, "a long, b long").distinct()
 
 
@@ -270,7 +272,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     firsts = known.groupBy("set_id").agg(F.min("doc_id").alias("node"))
     nodes = known.join(firsts, "set_id").filter("doc_id = node")
     nodes = cut_lineage(nodes.select("node", "n_shingles", "bands", "map", "bins"))
-    placed = nodes.select("node", F.explode("bands").alias("bucket"))
+    # one exchange serves the counts and the join
+    placed = nodes.select("node", F.explode("bands").alias("bucket")).repartition("bucket")
     shared = placed.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"))
     shared = shared.filter("least <> most").select("bucket")
     members = cut_lineage(placed.join(shared, "bucket").select("bucket", "node"))
@@ -280,13 +283,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         links = confirm_stars(_stars(open_, turn), sets, _linked)
         labels = _joined(labels, links)
         open_ = cut_lineage(_mixed(members if turn == 0 else open_.select("bucket", "node"), labels))
-    more = confirm_stars(_between(open_.join(nodes, "node")), sets, _linked)
+    more = confirm_stars(_between(open_, nodes), sets, _linked)
     labels = _joined(labels, more)
     by_set = firsts.join(labels, "node", "left").select(
         "set_id", F.coalesce("component", "node").alias("component_id")
     )
     # an id with several texts has one component
-    found = known.select("doc_id", "set_id").distinct().join(by_set, "set_id")
+    found = known.select("doc_id", "set_id").join(by_set, "set_id")
     found = found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
     found = found.withColumnRenamed("doc_id", "found_id")
     rows = signed.select("doc_id", "n_shingles")
