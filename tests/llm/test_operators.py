@@ -357,6 +357,19 @@ def test_lines_joined_again(spark, monkeypatch):
     assert line_dedup.repeated_lines(docs).count() == len(gone)
 
 
+def test_some_hundred_candidates_need_one_scan(spark, monkeypatch):
+    scans = []
+    scan = line_dedup._scan
+    monkeypatch.setattr(line_dedup, "_scan", lambda *a: scans.append(a) or scan(*a))
+    common = " ".join(f"c{i}" for i in range(20))
+    # 20 of 28 words in common: no match, but many pass the bit maps
+    lines = [" ".join([common, *(f"u{i}_{k}" for k in range(4))]) for i in range(600)]
+    texts = ["\n".join(lines[i : i + 6]) for i in range(0, 600, 6)] + [lines[0] + " more"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.doc_id, r.number) for r in line_dedup.repeated_lines(frame).collect()}
+    assert got == {(100, 0)} and len(scans) == 1
+
+
 def test_bit_maps_of_long_lines():
     """A map never shows more than what differs, and sets of hundreds of words don't fill it."""
     draw = np.random.default_rng(3)

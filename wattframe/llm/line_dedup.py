@@ -35,11 +35,11 @@ COUNT_SLOTS = 1 << 16
 FILTER_BITS = 1 << 26
 #: Candidates of a line that are verified first; each further portion is so many times larger.
 FIRST_PORTION, GROWTH = 2, 8
-#: Candidates of a line and part that the first join lists; each further join lists so many times
-#: more.
-LISTED, LISTED_GROWTH = 128, 64
-#: Pairs that a task holds beyond those it lists.
-HELD_PAIRS = 1 << 21
+#: Candidates of a line and part that the first join lists, up to 8 kB; each further join scans all
+#: texts again and lists so many times more.
+LISTED, LISTED_GROWTH = 1024, 64
+#: Pairs that a task holds beyond those it lists; sorting them takes some 70 bytes for each.
+HELD_PAIRS = 1 << 19
 #: Pairs that are compared at once, about.
 BLOCK_PAIRS = 1 << 18
 #: Entries of prefix words that a task sorts together, about.
