@@ -37,3 +37,16 @@ def test_ids_after_the_cache_was_emptied(words, monkeypatch):
     monkeypatch.setattr(packing, "WORD_ENTRIES", 5)
     for text in ("some plain words", "other plain words, again", "some plain words") * 3:
         assert words.texts([text.encode()]) == [own(words, text)]
+
+
+def test_frequent_words_stay(words, monkeypatch):
+    monkeypatch.setattr(packing, "WORD_ENTRIES", 20)
+    monkeypatch.setattr(packing, "ENCODED_WORDS", 3)
+    encoded = []
+    learn = words._learn
+    monkeypatch.setattr(words, "_learn", lambda new: encoded.extend(new) or learn(new))
+    for i in range(40):
+        text = f"frequent new{i} other{i}x".encode()
+        assert words.texts([text]) == [words.encode(text)]
+        assert len(words) <= packing.WORD_ENTRIES
+    assert encoded.count(b"frequent") == 1

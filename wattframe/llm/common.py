@@ -146,6 +146,8 @@ def texts(
     for batch in batches:
         for part in slices(batch, text, most):
             yield part, text_bytes(part.column(part.schema.get_field_index(text)))
+            del part
+        del batch  # or the next one is read beside it
 
 
 def held_out(doc_id: Column) -> Column:

@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 from wattframe.llm.common import Cached, cut_lineage, shuffle_width, texts
 
 CAPACITY = 2048
-#: Words whose ids a worker remembers.
+#: Words whose ids a worker remembers, about 150 bytes each.
 WORD_ENTRIES = 500_000
+#: Words that are encoded together: the tokenizer takes some 1,000 bytes for each meanwhile.
+ENCODED_WORDS = 4096
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _TOKENIZERS: dict[int, WordIds] = {}
 
@@ -78,13 +80,17 @@ class WordIds(Cached):
         return np.array(found.ids, "<u4").tobytes()
 
     def learn(self, parts: set[bytes]) -> None:
-        """Encodes the new ones among ``parts`` together."""
+        """Encodes the new ones among ``parts``. Where there are too many words, those of ``parts``
+        that are known, mostly frequent ones, stay."""
         new = [p for p in parts if p not in self]
-        if not new:
-            return
         if len(self) + len(new) > WORD_ENTRIES:
+            known = {p: self[p] for p in parts.difference(new)}
             self.clear()
-            new = list(parts)
+            self.update(known)
+        for at in range(0, len(new), ENCODED_WORDS):
+            self._learn(new[at : at + ENCODED_WORDS])
+
+    def _learn(self, new: list[bytes]) -> None:
         # offsets cost time, which a batch of one text leaves out
         joined = b" ".join(new).decode("utf-8", "replace")
         encoding = self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0]
@@ -155,6 +161,7 @@ def cut_pieces(
         ids = word_ids(definition)
         for part, data in texts(batches):
             keys = part.column("doc_id").to_pylist()
+            del part  # it holds its whole batch, beside which the next one is read
             rows: list[list] = [[], [], [], [], [], []]
             for key, own_ids in zip(keys, ids.texts([x or b"" for x in data])):
                 all_ids = own_ids + end
