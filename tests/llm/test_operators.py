@@ -9,10 +9,12 @@ import zlib
 from importlib import metadata
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from wattframe.llm import (
+    common,
     decontamination,
     licenses,
     line_dedup,
@@ -370,6 +372,26 @@ def test_some_hundred_candidates_need_one_scan(spark, monkeypatch):
     assert got == {(100, 0)} and len(scans) == 1
 
 
+def test_a_task_gives_back_what_it_has_freed(monkeypatch):
+    """A worker is kept after its task, beside those that do the next one."""
+    held = [np.ones(12_000) for _ in range(2_000)]  # 192 MB, each too small to be mapped alone
+    last = np.ones(12_000)
+    del held
+    before = resident()
+    common.give_back()
+    assert resident() < before - 100e6
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    batch = pa.record_batch({"text": ["a b", None, "c"]})
+    assert len(list(common.texts([batch, batch]))) == len(given) == 2
+    assert len(last)
+
+
+def resident() -> int:
+    with open("/proc/self/statm") as f:
+        return int(f.read().split()[1]) * os.sysconf("SC_PAGE_SIZE")
+
+
 def test_bit_maps_of_long_lines():
     """A map never shows more than what differs, and sets of hundreds of words don't fill it."""
     draw = np.random.default_rng(3)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -139,6 +141,15 @@ def slices(batch: pa.RecordBatch, text: str, most: int = SLICE_BYTES) -> Iterato
         yield batch.slice(start)
 
 
+def give_back() -> None:
+    """Hand memory that this Python worker has freed back to the system.
+
+    Workers are kept for later tasks, often more of them than cores, and what each holds counts."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def texts(
     batches: Iterable[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES
 ) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
@@ -148,6 +159,7 @@ def texts(
             yield part, text_bytes(part.column(part.schema.get_field_index(text)))
             del part
         del batch  # or the next one is read beside it
+        give_back()
 
 
 def held_out(doc_id: Column) -> Column:

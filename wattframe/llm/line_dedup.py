@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattframe.llm.common import WordHasher, cut_lineage, mix, shuffle_width, texts
+from wattframe.llm.common import WordHasher, cut_lineage, give_back, mix, shuffle_width, texts
 
 #: Every line that has a word takes part, unless callers leave short ones out.
 MIN_WORDS = 1
@@ -396,6 +396,7 @@ def _match(
 
     def match(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         rows = [(0, *r) for r in _candidates(_unpacked(table, 0, _ENTRY), start, end, asked)]
+        give_back()
         gone = _copies(_unpacked(table, 1, _PLACE))
         gone = gone[np.argsort(gone["doc"], kind="stable")]
         cuts = np.flatnonzero(np.diff(gone["doc"], prepend=gone["doc"][:1] - 1))
