@@ -372,6 +372,25 @@ def test_some_hundred_candidates_need_one_scan(spark, monkeypatch):
     assert got == {(100, 0)} and len(scans) == 1
 
 
+def test_later_portions_exchange_only_the_sets_of_open_lines(spark, monkeypatch):
+    sizes = []
+    verify = line_dedup._verify
+    monkeypatch.setattr(
+        line_dedup, "_verify", lambda pairs, sets: sizes.append(sets.count()) or verify(pairs, sets)
+    )
+    near = [" ".join(f"p{i}_{k}" for k in range(20)) for i in range(100)]
+    near += [x + " more" for x in near]  # settled by the first candidates
+    common = " ".join(f"c{i}" for i in range(20))
+    own = [[f"u{i}_{k}" for k in range(4)] for i in range(40)]
+    # 20 of 28 words in common, the rarest ones
+    rows = list(enumerate([" ".join([common, *words]) for words in own] + near))
+    rows.append((240, " ".join(w for words in own for w in 60 * words)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.number) for r in line_dedup.repeated_lines(frame).collect()}
+    assert got == {(i, 0) for i in range(140, 240)}
+    assert len(sizes) > 1 and sizes[0] > 200 and max(sizes[1:]) <= 40
+
+
 def test_a_task_gives_back_what_it_has_freed(monkeypatch):
     """A worker is kept after its task, beside those that do the next one."""
     held = [np.ones(12_000) for _ in range(2_000)]  # 192 MB, each too small to be mapped alone

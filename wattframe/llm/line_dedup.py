@@ -412,11 +412,21 @@ def _match(
     return scanned.groupBy("part").applyInArrow(match, "kind int, line long, n long, others binary")
 
 
-def _portion(candidates: DataFrame, start: int, end: int) -> DataFrame:
-    """Pairs (a, b) of the candidates from ``start`` to ``end`` of each line's lists."""
+def _passing(batch: pa.RecordBatch, wanted: np.ndarray) -> pa.RecordBatch:
+    """The rows of ``batch`` whose line a filter passes."""
+    return batch.filter(pa.array(passes(wanted, batch.column("line").to_numpy().view(np.uint64))))
+
+
+def _portion(
+    candidates: DataFrame, start: int, end: int, wanted: np.ndarray | None = None
+) -> DataFrame:
+    """Pairs (a, b) of the candidates from ``start`` to ``end`` of each line's lists. With a filter
+    of lines, of those that it passes."""
 
     def take(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if wanted is not None:
+                batch = _passing(batch, wanted)
             lines = batch.column("line").to_numpy()
             lists = [
                 np.frombuffer(x, np.int64)[start:end] for x in batch.column("others").to_pylist()
@@ -516,6 +526,19 @@ def _line_sets(
     return docs.mapInArrow(list_lines, "line long, doc_id long, number int, tokens binary")
 
 
+def _sets_of(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The ``sets`` of the lines in ``pairs``, and a few more: no exchange of all finds them."""
+    wanted = _filter(pairs.select(F.col("a").alias("line")).unionAll(pairs.select("b")))
+
+    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _passing(batch, wanted)
+
+    kept = sets.select("line", "first.doc_id", "first.number", "tokens")
+    kept = kept.mapInArrow(keep, kept.schema)
+    return kept.select("line", F.struct("doc_id", "number").alias("first"), "tokens")
+
+
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(line) of the later line of each pair whose sets are similar enough.
 
@@ -620,14 +643,18 @@ def _matched(
         "line", F.struct("of.doc_id", "of.number").alias("first"), F.col("of.tokens").alias("tokens")
     )
     sets = cut_lineage(sets)
-    matched, open_, start, end = None, candidates, 0, FIRST_PORTION
+    matched = cut_lineage(_verify(_portion(candidates, 0, FIRST_PORTION), sets).distinct())
+    start, end = FIRST_PORTION, FIRST_PORTION * GROWTH
     while start < most:
-        found = _verify(_portion(open_, start, end), sets).distinct()
-        matched = cut_lineage(found if matched is None else matched.unionAll(found).distinct())
-        open_ = candidates.filter(F.length("others") > 8 * end).join(matched, "line", "left_anti")
-        start, end = end, end * GROWTH
-        if start < most and open_.isEmpty():
+        # filters pick lists and sets where they are: joins would exchange all of both each time
+        longer = candidates.filter(F.length("others") > 8 * start)
+        open_ = _filter(longer.select("line").join(matched, "line", "left_anti"))
+        if not open_.any():
             break
+        pairs = cut_lineage(_portion(longer, start, end, open_))
+        found = _verify(pairs, _sets_of(pairs, sets)).unionAll(matched)
+        matched = cut_lineage(found.distinct())
+        start, end = end, end * GROWTH
     return matched, sets
 
 
