@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 
 import numpy as np
@@ -50,3 +51,32 @@ def test_frequent_words_stay(words, monkeypatch):
         assert words.texts([text]) == [words.encode(text)]
         assert len(words) <= packing.WORD_ENTRIES
     assert encoded.count(b"frequent") == 1
+
+
+def test_plain_words_need_no_pass_of_the_whole_tokenizer(words):
+    text = "It's plain, isn't it?! 12 'TIS ÀÉ: we'll sea're don''t 'really 'é.\n(and)\t'"
+    found = own(words, text)
+    words.tokenizer = None
+    assert words.texts([text.encode(), b"", b" ", text.encode()]) == [found, b"", b"", found]
+
+
+def test_parts_are_looked_up_once_for_many_texts(words, monkeypatch):
+    asked = []
+    learn = words.learn
+    monkeypatch.setattr(words, "learn", lambda parts: asked.extend(parts) or learn(parts))
+    words.texts([b"the same words, the same"] * 50)
+    assert sorted(asked) == sorted([b"the", b"same", b"words", b","])
+
+
+def test_bytes_that_are_no_utf_8(words):
+    text = b"plain \x80\xff word\xc3 caf\xc3\xa9 \xc3"
+    assert words.texts([text, b"plain"]) == [own(words, text.decode("utf-8", "replace")), own(words, "plain")]
+
+
+def test_a_tokenizer_that_divides_in_another_way():
+    with open(tokenizer_path(), encoding="utf-8") as file:
+        definition = json.load(file)
+    definition["pre_tokenizer"]["pretokenizers"][0] = {"type": "WhitespaceSplit"}
+    words = packing.WordIds(json.dumps(definition))
+    texts = ["some words, others don't", "", "12 é"]
+    assert words.texts([t.encode() for t in texts]) == [own(words, t) for t in texts]

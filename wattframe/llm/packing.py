@@ -9,6 +9,8 @@ each piece finds its place by its number among the pieces of its length.
 
 from __future__ import annotations
 
+import codecs
+import json
 import os
 import re
 import zlib
@@ -26,22 +28,39 @@ from wattframe.llm.common import Cached, cut_lineage, shuffle_width, texts
 CAPACITY = 2048
 #: Words whose ids a worker remembers, about 150 bytes each.
 WORD_ENTRIES = 500_000
-#: Words that are encoded together: the tokenizer takes some 1,000 bytes for each meanwhile.
-ENCODED_WORDS = 4096
+#: Words that are encoded together: their tokens take some 1,000 bytes for each meanwhile.
+ENCODED_WORDS = 512
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _TOKENIZERS: dict[int, WordIds] = {}
 
 
-#: Bytes of a text that are split into words together.
-STRETCH_BYTES = 1 << 20
+#: Bytes of text that are divided together, which takes some 25 bytes for each; the more there are,
+#: the fewer words are looked up.
+STRETCH_BYTES = 1 << 21
 # Anything but ASCII and the precomposed letters U+00C0 to U+00FF, or the beginning of a special
 # token. Composing and lower case may change such words together, so they keep their spelling.
 _ODD = re.compile(rb"[\xc2\xc4-\xff]|\xc3[\x97\xb7]|<\|")
-# How the tokenizer divides words of the other characters; bytes beyond ASCII are letters there.
-_PARTS = re.compile(
-    rb"'(?:s|t|re|ve|m|ll|d)|[a-z\x80-\xff]+|[0-9]|[^\sa-z0-9\x80-\xff]+"
-)
+_ODD_PAIRS = (b"\xc3\x97", b"\xc3\xb7", b"<|")
+_USUAL = bytes(x for x in range(256) if x < 0xC4 and x != 0xC2)
 _BLANK = re.compile(rb"\s")
+# How the tokenizer divides words of the other characters: runs of one kind, each digit alone;
+# bytes beyond ASCII are letters there.
+_GAP, _LETTER, _DIGIT, _OTHER = range(4)
+_KINDS = np.full(256, _OTHER, np.uint8)
+_KINDS[list(b" \t\n\r\f\v")] = _GAP
+_KINDS[list(range(ord("a"), ord("z") + 1)) + list(range(0x80, 0x100))] = _LETTER
+_KINDS[list(b"0123456789")] = _DIGIT
+# what behind a run's leading apostrophe is a part with it: 's, 't, 'm, 'd, 're, 've, 'll
+_S, _T, _M, _D, _R, _V, _E, _L = b"stmdrvel"
+
+
+def _valid(body: bytes) -> bytes:
+    """UTF-8, with U+FFFD for what is not."""
+    try:
+        body.decode()
+    except UnicodeDecodeError:
+        return body.decode("utf-8", "replace").encode()
+    return body
 
 
 def _stretches(body: bytes) -> Iterator[bytes]:
@@ -54,13 +73,96 @@ def _stretches(body: bytes) -> Iterator[bytes]:
         start = end
 
 
+def _odd_words(text: np.ndarray, gaps: np.ndarray) -> np.ndarray:
+    """Which bytes are in words that ``_ODD`` finds, and not the first of one."""
+    odd = (text == 0xC2) | (text > 0xC3)
+    for pair in _ODD_PAIRS:
+        odd[:-1] |= (text[:-1] == pair[0]) & (text[1:] == pair[1])
+    starts = np.flatnonzero(~gaps[1:] & gaps[:-1]) + 1
+    starts = np.append([0], starts) if not gaps[0] else starts
+    ends = np.flatnonzero(gaps[1:] & ~gaps[:-1]) + 1
+    found = np.unique(np.searchsorted(starts, np.flatnonzero(odd), "right") - 1)
+    edges = np.zeros(len(text) + 1, np.int8)
+    edges[starts[found] + 1] += 1
+    edges[ends[found]] -= 1
+    return np.cumsum(edges[:-1], dtype=np.int8).view(bool)
+
+
+def divide(joined: bytes) -> tuple[np.ndarray, pa.Array, bool]:
+    """Where the parts of some text begin, and the parts: A-Z lower-cased, but words that ``_ODD``
+    finds whole and as they are spelled; whether there are such. The text must end in three blanks."""
+    text = np.frombuffer(joined.lower(), np.uint8)
+    kinds = _KINDS[text]
+    inside = kinds != _GAP
+    begins = inside.copy()
+    begins[1:] &= (kinds[1:] != kinds[:-1]) | (kinds[1:] == _DIGIT)
+    if b"'" in joined:
+        at = np.flatnonzero((text == ord("'")) & begins)
+        one, two = text[at + 1], text[at + 2]
+        short = (one == _S) | (one == _T) | (one == _M) | (one == _D)
+        long = ((one == _R) | (one == _V)) & (two == _E) | (one == _L) & (two == _L)
+        at, size = at[short | long], np.where(short, 2, 3)[short | long]
+        begins[at + 1] = False
+        begins[at + size] |= kinds[at + size] == _LETTER
+    odd = bool(joined.translate(None, _USUAL)) or any(x in joined for x in _ODD_PAIRS)
+    if odd:
+        own = np.frombuffer(joined, np.uint8)
+        whole = _odd_words(own, ~inside)
+        begins &= ~whole
+        first = np.append(whole[1:] & ~whole[:-1], False)  # the byte before is of the word too
+        text = np.where(whole | first, own, text)
+    starts = np.flatnonzero(begins)
+    data = text[inside]
+    offsets = np.append(np.flatnonzero(begins[inside]), len(data))
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data)]
+    return starts, pa.Array.from_buffers(pa.large_binary(), len(starts), buffers), odd
+
+
+def _byte_letters() -> str:
+    """The character that byte-level tokenizers write for each byte, but blanks as they are."""
+    kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    letters = [chr(x if x in kept else next(others)) for x in range(256)]
+    letters[32] = " "
+    return "".join(letters)
+
+
+_BYTE_LETTERS = _byte_letters()
+#: How a tokenizer must normalise and divide texts for its ids to be those of the parts.
+_NORMALIZERS = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+_DIVIDERS = [
+    {
+        "type": "Split",
+        "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+        "behavior": "Removed",
+        "invert": True,
+    },
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+
+
+def _divides(definition: dict) -> bool:
+    """Whether a tokenizer divides texts as ``divide`` and its special tokens begin odd words."""
+    return (
+        definition["normalizer"] == {"type": "Sequence", "normalizers": _NORMALIZERS}
+        and definition["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": _DIVIDERS}
+        and definition["model"]["type"] == "BPE"
+        and all(t["content"].startswith("<|") for t in definition["added_tokens"])
+        and not definition["truncation"]
+        and not definition["padding"]
+    )
+
+
 class WordIds(Cached):
     """Token ids of the parts that the tokenizer divides words into, as little-endian 32-bit bytes.
 
-    The tokenizer must divide texts by the pattern of ``_PARTS`` and its Unicode like, and end the
-    last token of each part in its suffix, so that the ids of a text are those of its parts. New
-    parts are encoded as one text and told apart by the tokens that end one. Words with characters
-    that could change with their neighbours are encoded whole, as they are spelled.
+    New parts go to the tokenizer's model as it would divide and spell them itself. Words with
+    characters that could change with their neighbours are encoded whole, as they are spelled, and
+    so are all texts where a tokenizer divides them in another way.
     """
 
     def __init__(self, definition: str):
@@ -69,64 +171,69 @@ class WordIds(Cached):
         super().__init__(self.encode)
         self.own = Cached(self.encode)
         self.tokenizer = Tokenizer.from_str(definition)
-        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
-        if suffix:
-            self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self.model = self.tokenizer.model if _divides(json.loads(definition)) else None
 
     def encode(self, word: bytes) -> bytes:
         found = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False)
         return np.array(found.ids, "<u4").tobytes()
 
-    def learn(self, parts: set[bytes]) -> None:
-        """Encodes the new ones among ``parts``. Where there are too many words, those of ``parts``
-        that are known, mostly frequent ones, stay."""
-        new = [p for p in parts if p not in self]
+    def learn(self, parts: list[bytes]) -> list[bytes]:
+        """The ids of ``parts``, which differ. New ones are encoded. Where there are too many words,
+        those of ``parts`` that are known, mostly frequent ones, stay."""
+        found = list(map(self.get, parts))
+        new = [p for p, x in zip(parts, found) if x is None]
+        if not new:
+            return found
         if len(self) + len(new) > WORD_ENTRIES:
-            known = {p: self[p] for p in parts.difference(new)}
+            known = {p: x for p, x in zip(parts, found) if x is not None}
             self.clear()
             self.update(known)
         for at in range(0, len(new), ENCODED_WORDS):
             self._learn(new[at : at + ENCODED_WORDS])
+        return [self[p] if x is None else x for p, x in zip(parts, found)]
 
     def _learn(self, new: list[bytes]) -> None:
-        # offsets cost time, which a batch of one text leaves out
-        joined = b" ".join(new).decode("utf-8", "replace")
-        encoding = self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0]
-        ids = np.array(encoding.ids, "<u4")
-        last = np.flatnonzero(self.ends[ids]) + 1
-        if len(last) == len(new):
-            data, cuts = ids.tobytes(), (last * 4).tolist()
-            self.update(zip(new, map(data.__getitem__, map(slice, [0, *cuts[:-1]], cuts))))
-
-    def _plain(self, stretch: bytes) -> bytes:
-        parts = _PARTS.findall(stretch.lower())
-        self.learn(set(parts))
-        return b"".join(map(self.__getitem__, parts))
-
-    def _ids(self, body: bytes) -> Iterator[bytes]:
-        for stretch in _stretches(body):
-            plain: list[bytes] = []
-            for word in stretch.split():
-                if _ODD.search(word):
-                    yield self._plain(b" ".join(plain))
-                    yield self.own[word]
-                    plain = []
-                else:
-                    plain.append(word)
-            yield self._plain(b" ".join(plain))
+        joined = b" ".join(new)
+        if not joined.isascii():
+            joined = joined.decode().lower().encode()
+        letters = codecs.charmap_decode(joined, "strict", _BYTE_LETTERS)[0].split(" ")
+        tokens = list(map(self.model.tokenize, letters))
+        ids = np.array([t.id for found in tokens for t in found], "<u4").tobytes()
+        cuts = np.cumsum([0, *(4 * len(found) for found in tokens)]).tolist()
+        self.update(zip(new, map(ids.__getitem__, map(slice, cuts, cuts[1:]))))
+
+    def _ids(self, bodies: list[bytes]) -> list[bytes]:
+        starts, parts, odd = divide(b"\n".join([*bodies, b"\n\n"]))
+        if not len(starts):
+            return [b""] * len(bodies)
+        coded = parts.dictionary_encode()
+        _, places, letters = coded.dictionary.buffers()
+        places = np.frombuffer(places, np.int64, len(coded.dictionary) + 1).tolist()
+        words = list(map(letters.to_pybytes().__getitem__, map(slice, places, places[1:])))
+        if odd:
+            plain = [w for w in words if not _ODD.search(w)]
+            known = dict(zip(plain, self.learn(plain)))
+            ids = [known[w] if w in known else self.own[w] for w in words]
+        else:
+            ids = self.learn(words)
+        taken = pa.array(ids, pa.large_binary()).take(coded.indices)
+        _, places, found = taken.buffers()
+        edges = np.searchsorted(starts, np.cumsum([0, *(len(x) + 1 for x in bodies)]))
+        edges = np.frombuffer(places, np.int64)[edges].tolist()
+        found = memoryview(found)
+        return [bytes(found[a:b]) for a, b in zip(edges, edges[1:])]
 
     def texts(self, data: list[bytes]) -> list[bytes]:
         """The ids of each text."""
-        split = [
-            _PARTS.findall(x.lower()) if len(x) <= STRETCH_BYTES and not _ODD.search(x) else None
-            for x in data
-        ]
-        self.learn(set().union(*(parts for parts in split if parts)))
+        if self.model is None:
+            return list(map(self.encode, data))
+        data = list(map(_valid, data))
+        short = iter(self._ids([x for x in data if len(x) <= STRETCH_BYTES]))
         return [
-            b"".join(self._ids(body) if parts is None else map(self.__getitem__, parts))
-            for body, parts in zip(data, split)
+            next(short)
+            if len(x) <= STRETCH_BYTES
+            else b"".join(self._ids([stretch])[0] for stretch in _stretches(x))
+            for x in data
         ]
 
 
@@ -159,7 +266,7 @@ def cut_pieces(
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = word_ids(definition)
-        for part, data in texts(batches):
+        for part, data in texts(batches, most=STRETCH_BYTES):
             keys = part.column("doc_id").to_pylist()
             del part  # it holds its whole batch, beside which the next one is read
             rows: list[list] = [[], [], [], [], [], []]
