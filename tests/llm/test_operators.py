@@ -391,6 +391,45 @@ def test_later_portions_exchange_only_the_sets_of_open_lines(spark, monkeypatch)
     assert len(sizes) > 1 and sizes[0] > 200 and max(sizes[1:]) <= 40
 
 
+def test_few_pairs_need_one_more_portion(spark, monkeypatch):
+    verified = []
+    verify = line_dedup._verify
+    monkeypatch.setattr(
+        line_dedup, "_verify", lambda pairs, sets: verified.append(pairs) or verify(pairs, sets)
+    )
+    common = " ".join(f"c{i}" for i in range(20))
+    own = [[f"u{i}_{k}" for k in range(4)] for i in range(40)]
+    # 20 of 28 words in common, the rarest ones
+    rows = list(enumerate(" ".join([common, *words]) for words in own))
+    rows.append((40, " ".join(w for words in own for w in 60 * words)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert line_dedup.repeated_lines(frame).count() == 0
+    assert len(verified) == 2
+    verified.clear()
+    monkeypatch.setattr(line_dedup, "FEW_PAIRS", 0)
+    assert line_dedup.repeated_lines(frame).count() == 0
+    assert len(verified) > 2
+
+
+def test_hashes_of_words_of_eight_bytes_at_a_time():
+    """Equal words have equal hashes, others do not, wherever they stand and however long they are."""
+    pick = random.Random(3)
+    known = ["a", "a\0", "\0", "ab", "a" * 7, "a" * 8, "a" * 9, "a" * 8 + "\0", "a" * 16, "a" * 17]
+    known += ["é" * n for n in (1, 4, 5, 9)] + ["b" * n for n in (264, 265, 272, 3000)]
+    known += ["b" * 2999 + "c", "c" * 264 + "d", "c" * 264 + "e"]
+    words = [pick.choice([w, w.upper()]) for w in pick.choices(known, k=400)]
+    gaps = [pick.choice([" ", "\t", "\n\n", "\r", "\x0b\x0c"]) for _ in words]
+    joined = "".join(x for both in zip(words, gaps) for x in both)
+    for text in (joined, " " + joined, joined.strip()):
+        text = text.encode()
+        starts, hashes = line_dedup.LineHasher()(text)
+        assert starts.tolist() == line_dedup.WordHasher()(text)[0].tolist()
+        names = [bytes(w.encode()).lower() for w in words]
+        assert len(set(zip(names, hashes.tolist()))) == len(set(names)) == len(set(hashes.tolist()))
+    for empty in (b"", b" \n"):
+        assert [len(x) for x in line_dedup.LineHasher()(empty)] == [0, 0]
+
+
 def test_a_task_gives_back_what_it_has_freed(monkeypatch):
     """A worker is kept after its task, beside those that do the next one."""
     held = [np.ones(12_000) for _ in range(2_000)]  # 192 MB, each too small to be mapped alone

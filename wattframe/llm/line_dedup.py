@@ -22,7 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattframe.llm.common import WordHasher, cut_lineage, give_back, mix, shuffle_width, texts
+from wattframe.llm.common import (
+    BLANKS,
+    WordHasher,
+    cut_lineage,
+    give_back,
+    mix,
+    shuffle_width,
+    texts,
+)
 
 #: Every line that has a word takes part, unless callers leave short ones out.
 MIN_WORDS = 1
@@ -35,6 +43,8 @@ COUNT_SLOTS = 1 << 16
 FILTER_BITS = 1 << 26
 #: Candidates of a line that are verified first; each further portion is so many times larger.
 FIRST_PORTION, GROWTH = 2, 8
+#: Pairs for each partition of a shuffle that are verified at once, however many portions they are.
+FEW_PAIRS = 1 << 10
 #: Candidates of a line and part that the first join lists, up to 8 kB; each further join scans all
 #: texts again and lists so many times more.
 LISTED, LISTED_GROWTH = 1024, 64
@@ -51,6 +61,7 @@ HELD_ENTRIES = 1 << 17
 #: Groups that words are dealt to, for each partition of a shuffle: a task holds one at a time.
 GROUPS = 4
 _LONG = 65535
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 #: Lines of up to so many words have a bit map of 64 or 128 bits, longer ones of 256.
 _SMALL, _MIDDLE = 64, 150
 _MAPS = ("map0", "map1", "map2", "map3")
@@ -68,6 +79,40 @@ _ENTRY = np.dtype(
 _PLACE = np.dtype([("set", "<u8"), ("rest", "<u8"), ("doc", "<i8"), ("number", "<u4")])
 
 
+_INSIDE = bytes(x not in BLANKS for x in range(256))
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+#: Words of more pieces of eight bytes are hashed byte by byte.
+_PIECES = 32
+
+
+class LineHasher(WordHasher):
+    """Hashes of words as ``WordHasher`` takes them, but of eight bytes at a time: what a task
+    holds and moves grows with the words, not eight times with the bytes."""
+
+    def __call__(self, joined: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Where each word begins, and its hash."""
+        text = b"\n" + joined.lower() + b"\n" + bytes(8)
+        inside = np.frombuffer(text.translate(_INSIDE), np.uint8)[:-8]
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, sizes = edges[::2] + 1, edges[1::2] - edges[::2]
+        pieces = np.ndarray((len(text) - 7,), "<u8", text, 0, (1,))
+        hashes = pieces[starts] & _FIRST_BYTES[np.minimum(sizes, 8)]
+        hashes = mix(hashes ^ sizes.astype(np.uint64) * _ODD)
+        some = np.flatnonzero(sizes > 8)
+        at, left = starts[some] + 8, sizes[some] - 8
+        for _ in range(_PIECES):
+            if not len(some):
+                break
+            piece = pieces[at] & _FIRST_BYTES[np.minimum(left, 8)]
+            hashes[some] = mix((hashes[some] + _ODD) ^ piece)
+            more = np.flatnonzero(left > 8)
+            some, at, left = some[more], at[more] + 8, left[more] - 8
+        if len(some):
+            words = [text[starts[i] : starts[i] + sizes[i]] for i in some.tolist()]
+            hashes[some] = super().__call__(b"\n".join(words))[1]
+        return starts - 1, hashes
+
+
 class Lines:
     """The lines of some texts that are long enough, as flat arrays of words."""
 
@@ -119,19 +164,25 @@ def slot(words: np.ndarray) -> np.ndarray:
     return (words >> np.uint64(48)).astype(np.int64)
 
 
-def _ids(words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """128 bits for each set of words."""
+def _ids(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """64 bits for each set of words."""
     if not len(starts):
-        return words[:0], words[:0]
-    one = mix(np.add.reduceat(mix(words ^ np.uint64(0x5851F42D4C957F2D)), starts))
-    return one, mix(np.add.reduceat(mix(words + np.uint64(0x14057B7EF767814F)), starts))
+        return words[:0]
+    return mix(np.add.reduceat(mix(words ^ np.uint64(0x5851F42D4C957F2D)), starts))
+
+
+def _more_ids(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """64 other bits for each set of words."""
+    if not len(starts):
+        return words[:0]
+    return mix(np.add.reduceat(mix(words + np.uint64(0x14057B7EF767814F)), starts))
 
 
 def word_ranks(docs: DataFrame) -> np.ndarray:
     """Slots of words in the order of how often the corpus has their words."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, total = WordHasher(), np.zeros(COUNT_SLOTS, np.int64)
+        hasher, total = LineHasher(), np.zeros(COUNT_SLOTS, np.int64)
         for _, data in texts(batches, most=SLICE_BYTES):
             _, words = hasher(b"\n".join(x or b"" for x in data))
             total += np.bincount(slot(words), minlength=COUNT_SLOTS)
@@ -148,11 +199,6 @@ def word_ranks(docs: DataFrame) -> np.ndarray:
     return ranks
 
 
-def _pack(entries: np.ndarray) -> bytes:
-    columns = [np.ascontiguousarray(entries[n]).tobytes() for n in entries.dtype.names]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(columns))
-
-
 def _unpack(data: pa.Buffer, out: np.ndarray) -> None:
     raw, at = zstandard.ZstdDecompressor().decompress(data), 0
     for name in out.dtype.names:
@@ -183,19 +229,26 @@ def _scan(
     (kind 0), and the places of all lines, dealt by set (kind 1). With a filter of words, only
     those that it passes, and no places."""
 
-    def deal(part: np.ndarray, kind: int, entries: np.ndarray) -> list[tuple]:
-        order = np.argsort(part, kind="stable")
-        entries, part = entries[order], part[order]
-        cuts = np.flatnonzero(np.diff(part, prepend=-1))
-        ends = np.append(cuts[1:], len(part))
-        return [(int(part[a]), kind, _pack(entries[a:b])) for a, b in zip(cuts, ends)]
+    def deal(part: np.ndarray, kind: int, columns: list[np.ndarray]) -> list[tuple]:
+        # numbers of 16 bits are sorted by counting
+        order = np.argsort(part.astype(np.uint16 if parts <= _LONG else np.int64), kind="stable")
+        part = part[order]
+        columns = [c[order] for c in columns]
+        cuts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+        pack = zstandard.ZstdCompressor(level=1).compress
+        return [
+            (int(part[a]), kind, pack(b"".join([c[a:b].tobytes() for c in columns])))
+            for a, b in zip(cuts, [*cuts[1:], len(part)])
+        ]
 
     def dealt(held: list[tuple]) -> Iterator[pa.RecordBatch]:
         if not held:
             return
-        part, entries, places = map(np.concatenate, zip(*held))
-        rows = deal(part.astype(np.int64), 0, entries)
-        rows += deal((mix(places["set"]) % np.uint64(parts)).astype(np.int64), 1, places)
+        part, *entries = map(np.concatenate, zip(*(own for own, _ in held)))
+        rows = deal(part, 0, entries)
+        places = np.concatenate([own for _, own in held])
+        part = mix(places["set"]) % np.uint64(parts)
+        rows += deal(part, 1, [places[n] for n in _PLACE.names])
         kinds = [pa.int32(), pa.int32(), pa.binary()]
         for at in range(0, len(rows), 1000):
             columns = zip(*rows[at : at + 1000])
@@ -204,7 +257,7 @@ def _scan(
             )
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, held, n_held = WordHasher(), [], 0
+        hasher, held, n_held = LineHasher(), [], 0
         for batch, data in texts(batches, most=SLICE_BYTES):
             lines = Lines(data, hasher, min_words)
             if wanted is not None:
@@ -212,7 +265,7 @@ def _scan(
             words, starts = lines.sets(ranks)
             if not len(words):
                 continue
-            ids, rest = _ids(words, starts)
+            ids, rest = _ids(words, starts), _more_ids(words, starts)
             sizes = np.diff(np.append(starts, len(words)))
             places = np.zeros(lines.n, _PLACE)
             places["set"], places["rest"], places["number"] = ids, rest, lines.number
@@ -224,22 +277,29 @@ def _scan(
             place = np.arange(len(words)) - np.repeat(starts, sizes)
             prefix = np.where(chosen, sizes - (3 * sizes + 3) // 4 + 1, 0)
             keep = place < np.repeat(prefix, sizes)
-            which = np.repeat(np.arange(lines.n), prefix)
-            maps = bit_maps(words, starts, sizes)
-            entries = np.zeros(len(which), _ENTRY)
             tokens = words[keep]
-            # 32 bits are enough inside a part: words that agree in them only add candidates
-            entries["token"], entries["line"] = tokens & np.uint64(0xFFFFFFFF), ids[which]
-            for name, bits in zip(_MAPS, maps):
-                entries[name] = bits[which]
-            entries["doc"], entries["number"] = places["doc"][which], places["number"][which]
-            entries["size"] = np.minimum(sizes, _LONG)[which]
-            entries["place"] = np.minimum(place[keep], 255)
+            of_lines = (
+                ids,
+                *bit_maps(words, starts, sizes),
+                places["doc"],
+                places["number"],
+                np.minimum(sizes, _LONG),
+            )
+            entries = [
+                mix(tokens) % np.uint64(parts),
+                # 32 bits are enough inside a part: words that agree in them only add candidates
+                tokens & np.uint64(0xFFFFFFFF),
+                *(np.repeat(x, prefix) for x in of_lines),
+                np.minimum(place[keep], 255),
+            ]
+            # as the columns of _ENTRY
+            kinds = ["<u8", *(_ENTRY[n] for n in _ENTRY.names)]
+            entries = [x.astype(kind, copy=False) for x, kind in zip(entries, kinds)]
             if wanted is not None:
                 some = passes(wanted, tokens)
-                tokens, entries, places = tokens[some], entries[some], places[:0]
-            held.append((mix(tokens) % np.uint64(parts), entries, places))
-            n_held += len(entries) + len(places)
+                tokens, entries, places = tokens[some], [x[some] for x in entries], places[:0]
+            held.append((entries, places))
+            n_held += len(tokens) + len(places)
             if n_held > HELD_ENTRIES:
                 yield from dealt(held)
                 held, n_held = [], 0
@@ -254,6 +314,9 @@ def bit_maps(words: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> list[n
     scrambled = mix(words)
     bit = np.uint64(1) << (scrambled >> np.uint64(58))
     used = np.where(sizes <= _SMALL, 1, np.where(sizes <= _MIDDLE, 2, 4))
+    if (used == 1).all():
+        none = np.zeros(len(starts), np.uint64)
+        return [np.bitwise_xor.reduceat(bit, starts), none, none, none]
     which = scrambled.astype(np.uint8) & np.repeat(used - 1, sizes).astype(np.uint8)
     return [
         np.bitwise_xor.reduceat(np.where(which == i, bit, np.uint64(0)), starts) for i in range(4)
@@ -263,15 +326,14 @@ def bit_maps(words: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> list[n
 def _differing(maps: list[np.ndarray], size: np.ndarray, a: np.ndarray, b: np.ndarray):
     """Bits in which the maps of the sets a and b differ, folded to that of the smaller set."""
     least = np.minimum(size[a], size[b])
-    apart = np.zeros(len(a), np.int64)
-    x, y = [m[a] for m in maps], [m[b] for m in maps]
-    for level, some in enumerate((least <= _SMALL, (least > _SMALL) & (least <= _MIDDLE), least > _MIDDLE)):
-        u, v = [m[some] for m in x], [m[some] for m in y]
-        if level < 2:
-            u, v = ([m[0] ^ m[2], m[1] ^ m[3]] for m in (u, v))
-        if level < 1:
-            u, v = ([m[0] ^ m[1]] for m in (u, v))
-        apart[some] = sum(np.bitwise_count(p ^ q).astype(np.int64) for p, q in zip(u, v))
+    one = maps[0] ^ maps[1] ^ maps[2] ^ maps[3]
+    apart = np.bitwise_count(one[a] ^ one[b]).astype(np.int64)
+    for some in (least > _SMALL) & (least <= _MIDDLE), least > _MIDDLE:
+        if some.any():
+            x, y = [m[a[some]] for m in maps], [m[b[some]] for m in maps]
+            if least[some][0] <= _MIDDLE:
+                x, y = ([m[0] ^ m[2], m[1] ^ m[3]] for m in (x, y))
+            apart[some] = sum(np.bitwise_count(p ^ q).astype(np.int64) for p, q in zip(x, y))
     return apart
 
 
@@ -287,6 +349,24 @@ def listed(line: np.ndarray, other: np.ndarray, end: int) -> tuple[np.ndarray, n
     return line[place < end], other[place < end]
 
 
+def _order(entries: np.ndarray, kept: np.ndarray) -> np.ndarray:
+    """The order of the ``kept`` entries by word, size, line, document, number and place: the least
+    place bounds the least. Most differ in the first two or in a line's first bits."""
+    key = entries["token"][kept].astype(np.uint64) << np.uint64(32)
+    key |= entries["size"][kept].astype(np.uint64) << np.uint64(16)
+    key |= entries["line"][kept] >> np.uint64(48)
+    order = np.argsort(key)
+    key = key[order]
+    tied = np.zeros(len(key), bool)
+    tied[1:] = key[1:] == key[:-1]
+    tied[:-1] |= tied[1:]
+    tied = np.flatnonzero(tied)
+    some = kept[order[tied]]
+    by = [entries[n][some] for n in ("place", "number", "doc", "line")]
+    order[tied] = order[tied[np.lexsort([*by, key[tied]])]]
+    return order
+
+
 def match_entries(
     entries: np.ndarray, end: int, asked: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -300,9 +380,7 @@ def match_entries(
     edge = np.append(np.flatnonzero(np.diff(token[kept])) + 1, len(kept))
     times = np.diff(edge, prepend=0)
     kept = kept[np.repeat(times > 1, times)]
-    by = ("place", "number", "doc", "line", "size", "token")  # the least place bounds the least
-    kept = kept[np.lexsort([entries[n][kept] for n in by])]
-    entries = entries[kept]
+    entries = entries[kept[_order(entries, kept)]]
     same = np.ones(len(entries), bool)
     for name in ("token", "line"):
         same[1:] &= entries[name][1:] == entries[name][:-1]
@@ -467,16 +545,23 @@ def _prefix_words(sets: DataFrame) -> DataFrame:
 
 def _filter(lines: DataFrame) -> np.ndarray:
     """One bit for each of the lines."""
+    return _filter_and_sum(lines.select("line"))[0]
+
+
+def _filter_and_sum(lines: DataFrame) -> tuple[np.ndarray, int]:
+    """One bit for each of the lines, and the sum of their ``n`` if they have it."""
     slot_ = F.pmod("line", F.lit(FILTER_BITS))
+    sums = [F.sum(n).alias(n) for n in lines.columns if n == "n"]
     words = lines.select(
         F.shiftright(slot_, 6).alias("word"),
         F.expr(f"shiftleft(1L, cast(pmod(line, {FILTER_BITS}) & 63 AS INT))").alias("bit"),
+        *(n for n in lines.columns if n == "n"),
     )
     found = np.zeros(FILTER_BITS >> 6, np.int64)
     # at most FILTER_BITS / 64 rows
-    rows = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    rows = words.groupBy("word").agg(F.bit_or("bit").alias("bits"), *sums).toArrow()
     found[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
-    return found.view(np.uint64)
+    return found.view(np.uint64), int(rows.column("n").to_numpy().sum()) if sums else 0
 
 
 def passes(filled: np.ndarray, lines: np.ndarray) -> np.ndarray:
@@ -497,13 +582,13 @@ def _line_sets(
     of those that have one of the words."""
 
     def list_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
+        hasher = LineHasher()
         for batch, data in texts(batches, most=SLICE_BYTES):
             lines = Lines(data, hasher, min_words)
             if wanted is not None:
                 lines.leave(wanted)
             words, starts = lines.sets(ranks)
-            ids, _ = _ids(words, starts)
+            ids = _ids(words, starts)
             some = np.flatnonzero(passes(filled, ids))
             docs_ = batch.column("doc_id").to_numpy()[lines.text[some]]
             # of equal sets of these texts the first
@@ -648,9 +733,12 @@ def _matched(
     while start < most:
         # filters pick lists and sets where they are: joins would exchange all of both each time
         longer = candidates.filter(F.length("others") > 8 * start)
-        open_ = _filter(longer.select("line").join(matched, "line", "left_anti"))
-        if not open_.any():
+        rest = longer.select("line", F.expr(f"length(others) div 8 - {start}").alias("n"))
+        open_, n = _filter_and_sum(rest.join(matched, "line", "left_anti"))
+        if not n:
             break
+        if n <= FEW_PAIRS * shuffle_width(rows.sparkSession):
+            end = most  # further portions would cost more than the pairs that they may save
         pairs = cut_lineage(_portion(longer, start, end, open_))
         found = _verify(pairs, _sets_of(pairs, sets)).unionAll(matched)
         matched = cut_lineage(found.distinct())
